@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference reads only batch inputs (CSV files and request arrays); it has
+no stream sources, watermarks, windows over event time or stateful
+operators, so there is nothing to rebuild here.  Every operator in this
+package returns an ordinary DataFrame, so a caller with a stream can apply
+one per micro-batch through ``foreachBatch``.
+"""
