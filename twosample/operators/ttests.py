@@ -40,9 +40,11 @@ def welch_t(n1, n2, m1, m2, v1, v2) -> tuple[Column, Column]:
     return nan_if_null(t), nan_if_null(dfree)
 
 
-def two_sample_t(frame: DataFrame, keys: Sequence[str], equal_var: bool = True) -> DataFrame:
-    """One row per key with n1, n2, means, variances, t, df, p."""
-    m = moments(frame, keys)
+def two_sample_t(frame: DataFrame, keys: Sequence[str], equal_var: bool = True,
+                 stats: DataFrame | None = None) -> DataFrame:
+    """One row per key with n1, n2, means, variances, t, df, p
+    (``stats``: precomputed ``moments`` of ``frame`` to reuse)."""
+    m = stats if stats is not None else moments(frame, keys)
     args = [F.col("n1"), F.col("n2"), F.col("mean1"), F.col("mean2"),
             F.col("var1"), F.col("var2")]
     t, dfree = pooled_t(*args) if equal_var else welch_t(*args)

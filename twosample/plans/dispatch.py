@@ -122,19 +122,24 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
     keep = [c for c in ([category] if category else []) + list(row_key or [])]
     full = prepare(df, value, group, levels, by, strict, keep=keep)
     frame = sample_groups(full, keys, sample_rows, row_key, seed) if sample_rows else full
-    totals = moments(full, keys).select(*keys, "total_rows")
-    m = moments(frame, keys).drop("total_rows")
+    # one aggregate gives the moments, the group summaries and (unsampled)
+    # the row total, so the source is scanned once for them
+    m = moments(frame, keys)
+    if sample_rows:
+        m = m.drop("total_rows").join(
+            full.groupBy(*keys).agg(F.count("v").alias("total_rows")), keys)
     if test in ("independent_ttest", "welch_ttest"):
-        core = two_sample_t(frame, keys, equal_var=(test == "independent_ttest")).select(
-            *keys, "statistic", "df", "p_value")
-    elif test == "mannwhitney":
-        core = mannwhitney(frame, keys).select(
-            *keys, "statistic", F.lit(None).cast("double").alias("df"), "p_value")
+        out = two_sample_t(frame, keys, equal_var=(test == "independent_ttest"),
+                           stats=m)
     else:
-        core = CS.chisq_auto(frame, keys, category).select(
-            *keys, "statistic", "df", "p_value", "n_total")
-    out = (core.join(m, keys).join(totals, keys)
-               .withColumn("group_stats", group_stats_struct()))
+        if test == "mannwhitney":
+            core = mannwhitney(frame, keys).select(
+                *keys, "statistic", F.lit(None).cast("double").alias("df"), "p_value")
+        else:
+            core = CS.chisq_auto(frame, keys, category).select(
+                *keys, "statistic", "df", "p_value", "n_total")
+        out = core.join(m, keys)
+    out = out.withColumn("group_stats", group_stats_struct())
     if checks and test in ("independent_ttest", "welch_ttest"):
         ac = normality_by_group(frame, keys).join(variance_check(frame, keys), keys)
         ac = ac.select(*keys, F.struct(
