@@ -95,11 +95,11 @@ def test_paired_equals_one_sample_on_differences(spark):
     assert r.statistic == pytest.approx(d.mean() / math.sqrt(d.var(ddof=1) / 60), rel=1e-10)
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_mannwhitney_vs_ranks_and_swap(spark, parts):
+@pytest.mark.parametrize("parts,split", [(1, None), (7, 0), (3, 0)])
+def test_mannwhitney_vs_ranks_and_swap(spark, parts, split):
     g1 = np.round(A, 0)
     g2 = np.round(B, 0)  # heavy ties
-    r = one(mannwhitney(frame(spark, g1, g2, parts), KEYS))
+    r = one(mannwhitney(frame(spark, g1, g2, parts), KEYS, split_rows=split))
     ranks = pd.Series(np.concatenate([g1, g2])).rank().values
     u1 = ranks[:len(g1)].sum() - len(g1) * (len(g1) + 1) / 2
     assert r.statistic == pytest.approx(u1)
@@ -117,7 +117,7 @@ def test_mannwhitney_exact_branch_small_groups(spark):
 def test_midranks_sum_and_partition_invariance(spark):
     vals = list(np.round(A, 0)) + list(np.round(B, 0))
     fr = frame(spark, vals, parts=7)
-    mr = RK.midranks(fr, ["_all"]).collect()
+    mr = RK.midranks(fr, ["_all"], split_rows=0).collect()
     n = len(vals)
     assert sum(r.midrank * r.t for r in mr) == pytest.approx(n * (n + 1) / 2)
     expect = pd.Series(vals).rank()
@@ -126,18 +126,18 @@ def test_midranks_sum_and_partition_invariance(spark):
         assert got[v] == pytest.approx(rk)
 
 
-@pytest.mark.parametrize("levels", [(8, 8), 3])
-def test_exact_quantiles_vs_numpy(spark, levels):
-    vals = np.concatenate([np.round(A, 0), [A.max()] * 30])
+@pytest.mark.parametrize("levels,split", [((8, 8), 0), (3, 0), ((2, 2, 2), 0), ((8, 8), None)])
+def test_exact_quantiles_vs_numpy(spark, levels, split):
+    vals = np.concatenate([np.round(A, 0), [A.max()] * 30, RNG.normal(0, 1, 300)])
     q = one(RK.exact_quantiles(frame(spark, vals, parts=5), ["_all", "g"],
-                               [0.0, 0.25, 0.5, 0.75, 1.0], levels=levels))
+                               [0.0, 0.25, 0.5, 0.75, 1.0], levels=levels, split_rows=split))
     for j, p in enumerate([0.0, 0.25, 0.5, 0.75, 1.0]):
         assert q[f"q{j}"] == pytest.approx(np.percentile(vals, p * 100), rel=1e-12)
 
 
 def test_observation_ranks_cover_every_row(spark):
     vals = [1.0] * 50 + [2.0] * 3 + [0.5]
-    r = RK.observation_ranks(frame(spark, vals), ["_all"], "v", chunk=7).collect()
+    r = RK.observation_ranks(frame(spark, vals), ["_all"], "v", chunk=7, split_rows=0).collect()
     assert sorted(x.i for x in r) == list(range(1, 55))
     assert {x.v for x in r if x.i == 1} == {0.5}
 
@@ -246,3 +246,14 @@ def test_stack_groups_union(spark):
     b = spark.createDataFrame([(3.0,)], "y double")
     got = sorted((r.g, r.v) for r in stack_groups(a, b, "x", "y").collect())
     assert got == [(1, 1.0), (1, 2.0), (2, 3.0)]
+
+
+def test_bucket_split_is_monotone_and_balanced(spark):
+    vals = RNG.exponential(1.0, 4000)
+    vc = RK.value_counts(frame(spark, vals), ["_all"])
+    b = RK.add_buckets(vc, ["_all"], "v", (3, 3), split_rows=0).toPandas().sort_values("v")
+    assert b["_b"].is_monotonic_increasing
+    sizes = b.groupby("_b").size()
+    assert len(sizes) == 64 and sizes.max() < 3 * 4000 / 64
+    small = RK.add_buckets(vc, ["_all"], "v", (3, 3)).toPandas()
+    assert set(small["_b"]) == {0}  # under the split threshold nothing is split

@@ -18,8 +18,9 @@ from twosample.operators.prepare import nan_if_null
 from twosample.operators.ranks import DEFAULT_LEVELS, rank_sums
 
 
-def mannwhitney(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> DataFrame:
-    rs = rank_sums(frame, keys, levels)
+def mannwhitney(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
+                split_rows: int | None = None) -> DataFrame:
+    rs = rank_sums(frame, keys, levels, split_rows)
     n1 = F.col("n1").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1.0) / 2.0
     out = rs.withColumn("statistic", nan_if_null(u1))

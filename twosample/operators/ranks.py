@@ -29,13 +29,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets are refined in passes: each pass splits every current bucket at 255
-# approximate quantiles of its distinct values (one percentile_approx per
-# (key, bucket), so sketches for different buckets build in parallel).  Two
-# passes give 65,536 buckets per key: at 10^12 distinct values per key a
-# bucket window still holds only ~1.5*10^7 rows.  Querying thousands of
-# percentiles from one sketch is slow, hence several small passes.
+# Buckets are refined in passes: each pass splits every bucket that holds more
+# than ``SPLIT_ROWS`` distinct values at 255 approximate quantiles of its
+# distinct values (one percentile_approx per (key, bucket), so sketches for
+# different buckets build in parallel).  Two passes give up to 65,536
+# buckets per key: at 10^12 distinct values per key a bucket window still
+# holds ~1.5*10^7 rows.  A key or bucket at or under ``SPLIT_ROWS`` is left
+# whole (one window task sorts it comfortably), so small inputs build no
+# sketches at all; the gate is a lazy count aggregate, not a driver decision.
 DEFAULT_LEVELS = (8, 8)
+SPLIT_ROWS = 1 << 22
 
 
 def _accuracy(levels: int) -> int:
@@ -52,12 +55,16 @@ def value_counts(frame: DataFrame, keys: Sequence[str], value: str = "v",
 
 
 def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
-              out: str) -> DataFrame:
+              out: str, split_rows: int) -> DataFrame:
     nb = 2 ** levels
     probs = [i / nb for i in range(1, nb)]
-    cuts = vc.groupBy(*keys).agg(
+    big = (vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
+             .filter(F.col("_nd") > F.lit(split_rows)).drop("_nd"))
+    cuts = vc.join(big, list(keys), "left_semi").groupBy(*keys).agg(
         F.percentile_approx(value, probs, _accuracy(levels)).alias("_cuts"))
-    res = vc.join(cuts, list(keys)).withColumn(out, F.lit(0))
+    # keys without cut points (small ones) keep sub-bucket 0: element_at on a
+    # null array is null and the comparison falls to ``otherwise``
+    res = vc.join(cuts, list(keys), "left").withColumn(out, F.lit(0))
     v = F.col(value)
     for lvl in reversed(range(levels)):
         step = 2 ** lvl
@@ -68,7 +75,7 @@ def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
 
 
 def add_buckets(vc: DataFrame, keys: Sequence[str], value: str = "v",
-                levels=DEFAULT_LEVELS) -> DataFrame:
+                levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Adds ``_b``, a bucket number monotone in ``value`` within each key.
 
     Each pass finds the bucket as the number of cut points <= value by a
@@ -77,9 +84,10 @@ def add_buckets(vc: DataFrame, keys: Sequence[str], value: str = "v",
     """
     if isinstance(levels, int):
         levels = (levels,)
+    split = SPLIT_ROWS if split_rows is None else split_rows
     out = vc.withColumn("_b", F.lit(0).cast("long"))
     for lv in levels:
-        out = _one_pass(out, [*keys, "_b"], value, lv, "_sub")
+        out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split)
         out = out.withColumn("_b", F.col("_b") * F.lit(2 ** lv) + F.col("_sub")).drop("_sub")
     return out
 
@@ -100,11 +108,11 @@ def bucket_starts(bt: DataFrame, keys: Sequence[str], total: str = "_T") -> Data
 
 
 def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v",
-                    levels=DEFAULT_LEVELS) -> DataFrame:
+                    levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """E1/E2 building block: one row per distinct value with
     ``t`` (copies), ``before`` (values strictly below, 0-based first position)
     and ``n`` (group size).  Mid-rank = before + (t + 1) / 2."""
-    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels)
+    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels, split_rows)
     bt = bucket_starts(vc.groupBy(*keys, "_b").agg(F.sum("t").alias("_T")), keys)
     out = (vc.join(bt.select(*keys, "_b", "_start", "_n"), [*keys, "_b"])
              .withColumn("before", F.col("_start") + _before_in_bucket(keys, value)))
@@ -112,13 +120,13 @@ def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v",
 
 
 def midranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
-             levels=DEFAULT_LEVELS) -> DataFrame:
+             levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Average rank of each distinct value within its key (ties share)."""
-    pos = value_positions(frame, keys, value, levels)
+    pos = value_positions(frame, keys, value, levels, split_rows)
     return pos.withColumn("midrank", F.col("before") + (F.col("t") + F.lit(1)) / F.lit(2.0))
 
 
-def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> DataFrame:
+def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Mann-Whitney building block over a canonical ``(keys, g, v)`` frame.
 
     Returns one row per key: ``n1, n2, r1`` (sum of group-1 mid-ranks over
@@ -128,7 +136,7 @@ def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> D
     """
     vc = value_counts(frame, keys, "v",
                       [F.count(F.when(F.col("g") == 1, F.lit(1))).alias("t1")])
-    b = add_buckets(vc, keys, "v", levels).withColumn("_pre", _before_in_bucket(keys, "v"))
+    b = add_buckets(vc, keys, "v", levels, split_rows).withColumn("_pre", _before_in_bucket(keys, "v"))
     td = F.col("t").cast("double")
     per_b = b.groupBy(*keys, "_b").agg(
         F.sum("t").alias("_T"),
@@ -146,7 +154,7 @@ def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> D
 
 
 def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFrame,
-                        value: str = "v", levels=DEFAULT_LEVELS) -> DataFrame:
+                        value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Value found at 0-based sorted position ``pos`` within each key.
 
     ``targets``: ``(keys..., tid, pos)``; positions outside ``[0, n)`` find
@@ -154,7 +162,7 @@ def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFram
     work after bucketing is proportional to the number of targets.
     Returns ``(keys..., tid, pos, value)``.
     """
-    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels)
+    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels, split_rows)
     bt = bucket_starts(vc.groupBy(*keys, "_b").agg(F.sum("t").alias("_T")), keys)
     hits = (targets.join(bt, list(keys))
             .filter((F.col("pos") >= F.col("_start"))
@@ -169,7 +177,7 @@ def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFram
 
 
 def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                    value: str = "v", levels=DEFAULT_LEVELS) -> DataFrame:
+                    value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per key (position (n-1)p), the
     definition of ``percentile`` / ``quantile_cont`` -- without holding a
     group's values in one aggregation buffer.
@@ -187,7 +195,7 @@ def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float
                              F.least(lo + 1, F.col("n") - 1).alias("pos")))
     targets = sizes.select(*keys, F.explode(F.array(*rows)).alias("_t")).select(
         *keys, "_t.tid", "_t.pos")
-    found = values_at_positions(frame, keys, targets, value, levels)
+    found = values_at_positions(frame, keys, targets, value, levels, split_rows)
     aggs = []
     for j, p in enumerate(probs):
         lo_v = F.max(F.when(F.col("tid") == 2 * j, F.col("value")))
@@ -215,7 +223,7 @@ def row_order(frame: DataFrame, keys: Sequence[str], value: str = "v") -> DataFr
 
 
 def observation_ranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
-                      chunk: int = 65536, levels=DEFAULT_LEVELS) -> DataFrame:
+                      chunk: int = 65536, levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """E2 for groups of any size: one row per observation with its 1-based
     rank ``i`` in sorted order and the group size ``n``.
 
@@ -224,7 +232,7 @@ def observation_ranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
     the final expansion, so a value holding a third of the table is spread
     over all tasks instead of exploding inside one.
     """
-    pos = value_positions(frame, keys, value, levels)
+    pos = value_positions(frame, keys, value, levels, split_rows)
     nchunks = ((F.col("t") + F.lit(chunk - 1)) / F.lit(chunk)).cast("long")
     chunks = pos.select(*keys, value, "t", "before", "n",
                         F.explode(F.sequence(F.lit(0).cast("long"),
