@@ -29,6 +29,11 @@ def bin_plan(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
     """H1: per key the joint range, bin count and edge array."""
     st = frame.groupBy(*keys).agg(F.count("v").alias("N"), F.min("v").alias("lo0"),
                                   F.max("v").alias("hi0"))
+    # Bin edges are undefined over an infinite range
+    finite = F.abs(F.col("lo0")) < F.lit(float("inf"))
+    finite = finite & (F.abs(F.col("hi0")) < F.lit(float("inf")))
+    st = st.withColumn("lo0", F.when(finite, F.col("lo0")).otherwise(
+        F.raise_error(F.lit("chi-square binning needs finite values")).cast("double")))
     lo, hi = widened_range(F.col("lo0"), F.col("hi0"))
     st = st.withColumn("lo", lo).withColumn("hi", hi).withColumn("k", n_bins_for(F.col("N"), cap))
     return st.withColumn("edges", bin_edges(F.col("lo"), F.col("hi"), F.col("k"))).drop("lo0", "hi0")

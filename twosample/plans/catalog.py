@@ -670,3 +670,46 @@ def q_run_test_full(spark, d):
     from twosample.plans.dispatch import run_test
     return run_test(_t(spark, d, "events"), "independent_ttest", "value", "event_type",
                     ("click", "purchase"), by=())
+
+
+# --------------------------------------------------------------------------
+# A1 / A3 / A4: CSV scan and result sink over files Spark derives from tables
+# --------------------------------------------------------------------------
+@register("csv_group_scan", (
+    "SELECT 'group1' AS grp, count(*) AS n, round(avg(o_totalprice), 4) AS mean, "
+    "min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders "
+    "WHERE o_orderstatus = 'F' AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice) "
+    "UNION ALL SELECT 'group2', count(*), round(avg(o_totalprice), 4), min(o_totalprice), "
+    "max(o_totalprice) FROM orders WHERE o_orderstatus = 'O' AND o_totalprice IS NOT NULL "
+    "AND NOT isnan(o_totalprice)"))
+def q_csv_group_scan(spark, d):
+    """A1: each group written by Spark as a headed CSV file set (value column
+    first, so the first-column default A3 picks it), then scanned back with
+    type inference and lenient coercion."""
+    from twosample.session import scratch_path
+    from twosample.sources.readers import csv_groups
+    o = _t(spark, d, "orders")
+    paths = []
+    for status in ("F", "O"):
+        p = scratch_path(spark, f"csv-{status}")
+        (o.filter(F.col("o_orderstatus") == status)
+          .select("o_totalprice", "o_orderkey").write.option("header", True).csv(p))
+        paths.append(p)
+    g = csv_groups(spark, paths[0], paths[1])
+    return g.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), r(F.avg("value"), 4).alias("mean"),
+                                F.min("value").alias("min"), F.max("value").alias("max"))
+
+
+@register("result_sink", ttest_sql(LI_PRICE, (), True))
+def q_result_sink(spark, d):
+    """A4: the full result written as JSON documents by the executors and
+    read back; the flat columns must survive the round trip."""
+    from twosample.session import scratch_path
+    from twosample.sources.sinks import write_results
+    res = two_sample(_t(spark, d, "lineitem"), "l_extendedprice", "l_returnflag", ("A", "R"),
+                     test="independent_ttest", checks=False)
+    p = scratch_path(spark, "results")
+    write_results(res, p, "json")
+    back = spark.read.json(p)
+    return back.select("n_group1", "n_group2", r("statistic").alias("statistic"),
+                       r("df").alias("df"), r("p_value").alias("p_value"), "significant")

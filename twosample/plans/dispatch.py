@@ -164,10 +164,11 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
 def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: str,
            alpha: float = 0.05, by: Sequence[str] = (), checks: bool = True,
            strict: bool = False, sample_rows: int | None = None, seed: int = 42,
-           bounded_alpha: bool = True) -> DataFrame:
+           bounded_alpha: bool = True, require_complete: bool = False) -> DataFrame:
     """Paired t-test: observation of group 1 and group 2 matched on
     ``pair_key`` (C1), per ``by`` key; whole pairs are sampled when
-    ``sample_rows`` is set."""
+    ``sample_rows`` is set.  ``require_complete`` turns an unmatched key into
+    a query error (B5), as an unequal-length pairing is in the reference."""
     alpha = check_alpha(alpha, bounded_alpha)
     by = list(by or [])
     keys = keys_for(by)
@@ -180,6 +181,14 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
         pairs = first_k(with_row_hash(h, [pair_key], seed), [*keys, "g"], "_h",
                         sample_rows).drop("_h", "g")
     core = paired_t(pairs, keys)
+    if require_complete:
+        # attached to the statistic, which every result keeps, so column
+        # pruning cannot drop the check
+        core = core.withColumn("statistic", F.when(
+            F.col("unmatched") > 0,
+            F.raise_error(F.concat(F.lit("paired test: "), F.col("unmatched").cast("string"),
+                                   F.lit(" pair keys lack one of the two groups"))).cast("double")
+        ).otherwise(F.col("statistic")))
     out = core.join(total, keys).withColumn("group_stats", F.struct(
         F.struct(F.col("mean1").alias("mean"), F.lit(None).cast("double").alias("std"),
                  F.col("n").alias("count"), F.lit(None).cast("double").alias("min"),
