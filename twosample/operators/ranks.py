@@ -54,14 +54,42 @@ def value_counts(frame: DataFrame, keys: Sequence[str], value: str = "v",
     return frame.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("t"), *extra)
 
 
+def _payload(vc: DataFrame, keys: Sequence[str], value: str) -> list[str]:
+    skip = set(keys) | {value, "_b", "_sub", "_cuts"}
+    return [c for c in vc.columns if c not in skip]
+
+
+def _touch(vc: DataFrame, keys: Sequence[str], value: str) -> list[Column]:
+    """Sums of every payload column of the distinct-value table.
+
+    Each aggregate over that table carries them so that all branches of the
+    plan keep the *same* columns: column pruning then leaves one identical
+    partial aggregate + exchange under every branch, and adaptive execution
+    reuses it -- the raw data is scanned and shuffled once, not once per
+    branch."""
+    return [F.sum(c).alias(f"_s_{c}") for c in _payload(vc, keys, value)]
+
+
+def _touched(vc: DataFrame, keys: Sequence[str], value: str) -> Column:
+    """Always true for an existing group; makes the sums above referenced so
+    the optimizer cannot prune them (and the payload columns) away."""
+    sums = [F.col(f"_s_{c}") for c in _payload(vc, keys, value)]
+    if not sums:
+        return F.lit(True)
+    return (F.greatest(*sums) if len(sums) > 1 else sums[0]) > F.lit(-1)
+
+
 def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
               out: str, split_rows: int) -> DataFrame:
     nb = 2 ** levels
     probs = [i / nb for i in range(1, nb)]
-    big = (vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
-             .filter(F.col("_nd") > F.lit(split_rows)).drop("_nd"))
+    big = (vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), *_touch(vc, keys, value))
+             .filter((F.col("_nd") > F.lit(split_rows)) & _touched(vc, keys, value))
+             .select(*keys))
     cuts = vc.join(big, list(keys), "left_semi").groupBy(*keys).agg(
-        F.percentile_approx(value, probs, _accuracy(levels)).alias("_cuts"))
+        F.percentile_approx(value, probs, _accuracy(levels)).alias("_cuts"),
+        *_touch(vc, keys, value))
+    cuts = cuts.select(*keys, F.when(_touched(vc, keys, value), F.col("_cuts")).alias("_cuts"))
     # keys without cut points (small ones) keep sub-bucket 0: element_at on a
     # null array is null and the comparison falls to ``otherwise``
     res = vc.join(cuts, list(keys), "left").withColumn(out, F.lit(0))
@@ -185,7 +213,8 @@ def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float
     Returns one row per key with columns ``q0, q1, ...`` in ``probs`` order
     and ``n``.
     """
-    sizes = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # sizes from the same distinct-value table, so it shares its exchange
+    sizes = value_counts(frame, keys, value).groupBy(*keys).agg(F.sum("t").alias("n"))
     rows = []
     for j, p in enumerate(probs):
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))

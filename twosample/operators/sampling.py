@@ -35,7 +35,8 @@ def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
     """Rows of each key group whose ``order`` value is among the k smallest
     (B4 with a row-order column, F1s with a hash).  Ties at the boundary are
     all kept, so use a unique order column for an exact k."""
-    sizes = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    from twosample.operators.ranks import value_counts
+    sizes = value_counts(frame, keys, order).groupBy(*keys).agg(F.sum("t").alias("_n"))
     targets = sizes.select(*keys, F.lit(0).alias("tid"),
                            (F.least(F.col("_n"), F.lit(k)) - 1).alias("pos"))
     thr = values_at_positions(frame, keys, targets, order, levels).select(

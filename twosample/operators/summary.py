@@ -36,13 +36,16 @@ def group_summary(df: DataFrame, value: str, group: str | None = None,
     if median == "approx":
         return data.groupBy(*keys).agg(*base, F.percentile_approx("v", 0.5, accuracy).alias("median"))
     from twosample.operators.prepare import ALL_KEY
-    from twosample.operators.ranks import values_at_positions
+    from twosample.operators.ranks import value_counts, values_at_positions
     k = keys or [ALL_KEY]
     if not keys:
         data = data.withColumn(ALL_KEY, F.lit(0))
     agg = data.groupBy(*k).agg(*base)
-    targets = agg.select(*k, F.lit(0).alias("tid"),
-                         (F.ceil(F.col("count") / F.lit(2.0)) - 1).cast("long").alias("pos"))
+    # target positions from the distinct-value table the search builds anyway,
+    # so this branch shares its exchange instead of re-scanning the input
+    sizes = value_counts(data, k, "v").groupBy(*k).agg(F.sum("t").alias("_n"))
+    targets = sizes.select(*k, F.lit(0).alias("tid"),
+                           (F.ceil(F.col("_n") / F.lit(2.0)) - 1).cast("long").alias("pos"))
     med = values_at_positions(data, k, targets).select(*k, F.col("value").alias("median"))
     out = agg.join(med, k, "left")
     return out if keys else out.drop(ALL_KEY)
