@@ -41,6 +41,26 @@ def _null_variance() -> Column:
     return F.lit(None).cast(VARIANCE_TYPE)
 
 
+def combine(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Merge one-row-per-key tables into one row per key.
+
+    A union followed by a grouped ``first(ignorenulls)`` instead of a chain
+    of joins: every column is non-null in exactly one input, the shuffle
+    carries a few rows per key, and no join (hence no cross join when the
+    key is a folded constant) appears in the plan.
+    """
+    u = tables[0]
+    for t in tables[1:]:
+        u = u.unionByName(t, allowMissingColumns=True)
+    seen, cols = set(keys), []
+    for t in tables:
+        for c in t.columns:
+            if c not in seen:
+                seen.add(c)
+                cols.append(c)
+    return u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
 def normality_by_group(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Shapiro-Wilk per group, pivoted to ``normality_group1/2`` structs."""
     sw = shapiro(frame, [*keys, "g"])
@@ -126,8 +146,8 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
     # the row total, so the source is scanned once for them
     m = moments(frame, keys)
     if sample_rows:
-        m = m.drop("total_rows").join(
-            full.groupBy(*keys).agg(F.count("v").alias("total_rows")), keys)
+        m = combine([m.drop("total_rows"),
+                     full.groupBy(*keys).agg(F.count("v").alias("total_rows"))], keys)
     if test in ("independent_ttest", "welch_ttest"):
         out = two_sample_t(frame, keys, equal_var=(test == "independent_ttest"),
                            stats=m)
@@ -138,14 +158,13 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
         else:
             core = CS.chisq_auto(frame, keys, category).select(
                 *keys, "statistic", "df", "p_value", "n_total")
-        out = core.join(m, keys)
+        out = combine([core, m], keys)
     out = out.withColumn("group_stats", group_stats_struct())
     if checks and test in ("independent_ttest", "welch_ttest"):
-        ac = normality_by_group(frame, keys).join(variance_check(frame, keys), keys)
-        ac = ac.select(*keys, F.struct(
+        out = combine([out, normality_by_group(frame, keys), variance_check(frame, keys)], keys)
+        out = out.withColumn("assumption_checks", F.struct(
             F.col("normality_group1"), F.col("normality_group2"), F.col("equal_variance"),
-            _null_normality().alias("normality_of_differences")).alias("assumption_checks"))
-        out = out.join(ac, keys)
+            _null_normality().alias("normality_of_differences")))
     else:
         out = out.withColumn("assumption_checks", F.struct(
             _null_normality().alias("normality_group1"), _null_normality().alias("normality_group2"),
@@ -189,7 +208,7 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
             F.raise_error(F.concat(F.lit("paired test: "), F.col("unmatched").cast("string"),
                                    F.lit(" pair keys lack one of the two groups"))).cast("double")
         ).otherwise(F.col("statistic")))
-    out = core.join(total, keys).withColumn("group_stats", F.struct(
+    out = combine([core, total], keys).withColumn("group_stats", F.struct(
         F.struct(F.col("mean1").alias("mean"), F.lit(None).cast("double").alias("std"),
                  F.col("n").alias("count"), F.lit(None).cast("double").alias("min"),
                  F.lit(None).cast("double").alias("max")).alias("group1"),
@@ -199,7 +218,7 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
     if checks:
         sw = normality_by_group(differences(pairs, keys), keys).select(
             *keys, F.col("normality_group1").alias("nd"))
-        out = out.join(sw, keys).withColumn("assumption_checks", F.struct(
+        out = combine([out, sw], keys).withColumn("assumption_checks", F.struct(
             _null_normality().alias("normality_group1"), _null_normality().alias("normality_group2"),
             _null_variance().alias("equal_variance"), F.col("nd").alias("normality_of_differences")))
     else:
