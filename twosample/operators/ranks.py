@@ -83,11 +83,15 @@ def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
               out: str, split_rows: int) -> DataFrame:
     nb = 2 ** levels
     probs = [i / nb for i in range(1, nb)]
-    big = (vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), *_touch(vc, keys, value))
-             .filter((F.col("_nd") > F.lit(split_rows)) & _touched(vc, keys, value))
-             .select(*keys))
-    cuts = vc.join(big, list(keys), "left_semi").groupBy(*keys).agg(
-        F.percentile_approx(value, probs, _accuracy(levels)).alias("_cuts"),
+    # size gate: only keys (buckets) above ``split_rows`` distinct values feed
+    # the sketch.  A flag joined with a *left* join (a semi join would be
+    # pushed below the distinct-value aggregate and fork the plan).
+    flag = vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), *_touch(vc, keys, value))
+    flag = flag.select(*keys, ((F.col("_nd") > F.lit(split_rows))
+                               & _touched(vc, keys, value)).alias("_big"))
+    cuts = vc.join(flag, list(keys), "left").groupBy(*keys).agg(
+        F.percentile_approx(F.when(F.col("_big"), F.col(value)), probs,
+                            _accuracy(levels)).alias("_cuts"),
         *_touch(vc, keys, value))
     cuts = cuts.select(*keys, F.when(_touched(vc, keys, value), F.col("_cuts")).alias("_cuts"))
     # keys without cut points (small ones) keep sub-bucket 0: element_at on a
@@ -113,10 +117,14 @@ def add_buckets(vc: DataFrame, keys: Sequence[str], value: str = "v",
     if isinstance(levels, int):
         levels = (levels,)
     split = SPLIT_ROWS if split_rows is None else split_rows
-    out = vc.withColumn("_b", F.lit(0).cast("long"))
-    for lv in levels:
-        out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split)
-        out = out.withColumn("_b", F.col("_b") * F.lit(2 ** lv) + F.col("_sub")).drop("_sub")
+    out = vc
+    for i, lv in enumerate(levels):
+        if i == 0:
+            out = _one_pass(out, list(keys), value, lv, "_sub", split)
+            out = out.withColumn("_b", F.col("_sub").cast("long")).drop("_sub")
+        else:
+            out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split)
+            out = out.withColumn("_b", F.col("_b") * F.lit(2 ** lv) + F.col("_sub")).drop("_sub")
     return out
 
 
