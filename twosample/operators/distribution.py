@@ -89,11 +89,11 @@ def group_means(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def box_stats(frame: DataFrame, keys: Sequence[str], whis: float = WHISKER,
-              levels=DEFAULT_LEVELS) -> DataFrame:
+              levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """I4: ``(keys, g, n, q1, median, q3, iqr, whisker_low, whisker_high,
     n_outliers)``."""
     gk = [*keys, "g"]
-    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", levels).select(
+    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", levels, split_rows).select(
         *gk, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - F.lit(whis) * F.col("iqr")
@@ -119,9 +119,10 @@ def filliben(i, n):
             .otherwise((i.cast("double") - 0.3175) / (nd + 0.365)))
 
 
-def qq_points(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> DataFrame:
+def qq_points(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
+              split_rows: int | None = None) -> DataFrame:
     """``(keys, g, i, n, theoretical, sample)`` for every observation."""
-    r = observation_ranks(frame, [*keys, "g"], "v", levels=levels)
+    r = observation_ranks(frame, [*keys, "g"], "v", levels=levels, split_rows=split_rows)
     r = with_norm_ppf(r, filliben(F.col("i"), F.col("n")), "theoretical")
     return r.select(*keys, "g", "i", "n", "theoretical", F.col("v").alias("sample"))
 

@@ -19,8 +19,9 @@ from twosample.operators.prepare import assumption_flag, nan_if_null
 from twosample.operators.ranks import DEFAULT_LEVELS, exact_quantiles
 
 
-def group_medians(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> DataFrame:
-    q = exact_quantiles(frame, [*keys, "g"], [0.5], "v", levels)
+def group_medians(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
+                  split_rows: int | None = None) -> DataFrame:
+    q = exact_quantiles(frame, [*keys, "g"], [0.5], "v", levels, split_rows)
     return q.select(*keys, "g", F.col("q0").alias("median"))
 
 
@@ -29,8 +30,9 @@ def rejoin_stats(frame: DataFrame, stats: DataFrame, keys: Sequence[str]) -> Dat
     return frame.join(stats, [*keys, "g"])
 
 
-def levene(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS) -> DataFrame:
-    med = group_medians(frame, keys, levels)
+def levene(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
+           split_rows: int | None = None) -> DataFrame:
+    med = group_medians(frame, keys, levels, split_rows)
     z = rejoin_stats(frame, med, keys).withColumn("z", F.abs(F.col("v") - F.col("median")))
     per_g = z.groupBy(*keys).agg(*[
         a for gi in (1, 2) for a in (

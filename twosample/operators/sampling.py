@@ -31,7 +31,7 @@ def with_row_hash(frame: DataFrame, row_key: Sequence[str] | None = None,
 
 
 def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
-            levels=DEFAULT_LEVELS) -> DataFrame:
+            levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Rows of each key group whose ``order`` value is among the k smallest
     (B4 with a row-order column, F1s with a hash).  Ties at the boundary are
     all kept, so use a unique order column for an exact k."""
@@ -39,23 +39,23 @@ def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
     sizes = value_counts(frame, keys, order).groupBy(*keys).agg(F.sum("t").alias("_n"))
     targets = sizes.select(*keys, F.lit(0).alias("tid"),
                            (F.least(F.col("_n"), F.lit(k)) - 1).alias("pos"))
-    thr = values_at_positions(frame, keys, targets, order, levels).select(
+    thr = values_at_positions(frame, keys, targets, order, levels, split_rows).select(
         *keys, F.col("value").alias("_thr"))
     return frame.join(thr, list(keys)).filter(F.col(order) <= F.col("_thr")).drop("_thr")
 
 
 def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,
                   row_key: Sequence[str] | None = None, seed: int = DEFAULT_SEED,
-                  levels=DEFAULT_LEVELS) -> DataFrame:
+                  levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """F1s: at most ``k`` rows per ``(keys, g)`` group, chosen by seeded hash."""
     h = with_row_hash(frame, row_key, seed)
-    return first_k(h, [*keys, "g"], "_h", k, levels).drop("_h")
+    return first_k(h, [*keys, "g"], "_h", k, levels, split_rows).drop("_h")
 
 
 def head_cap(frame: DataFrame, keys: Sequence[str], order: str, k: int = 5000,
-             levels=DEFAULT_LEVELS) -> DataFrame:
+             levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """The first ``k`` values per group in ``order`` (e.g. a line number)."""
-    return first_k(frame, [*keys, "g"], order, k, levels)
+    return first_k(frame, [*keys, "g"], order, k, levels, split_rows)
 
 
 def limit_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:
