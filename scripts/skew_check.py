@@ -7,7 +7,12 @@ on with a small split threshold) and, for contrast, a naive
 ``rank() over (partition by key order by v)``; prints per operator the worst
 stage's max-task share of shuffle records.  A balanced stage on 32 shuffle
 partitions is about 0.03; a stage dominated by the hot key is about 0.33.
-Usage: python scripts/skew_check.py [sf_dir]
+
+The broadcast threshold is lowered to 1 MB so the size relation matches a
+large cluster: per-key tables (KB) are broadcast, distinct-value tables
+(here ~8 MB, at scale terabytes) are not.  ``BCAST=-1`` disables broadcasts
+entirely (the fallback path for very many keys).
+Usage: [BCAST=bytes] python scripts/skew_check.py [sf_dir]
 """
 
 from __future__ import annotations
@@ -42,7 +47,8 @@ def main(sf_dir: str) -> None:
     spark = local_session(8, shuffle_partitions=32, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": ev,
         "spark.eventLog.compress": "false",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": os.environ.get("BCAST") or str(1 << 20)})
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     hot = (F.col("l_orderkey") % 3) == 0
     skewed = (li.withColumn("seg", F.when(hot, F.lit("hot"))

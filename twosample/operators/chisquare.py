@@ -23,12 +23,19 @@ from twosample.functions.bins import (bin_edges, bin_index, n_bins_for,
                                       rescale_expected, widened_range)
 from twosample.functions.pvalues import chi2_pvalue
 from twosample.operators.prepare import nan_if_null
+from twosample.operators.ranks import attach, value_counts
+
+
+def _vc(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct values per key with both groups' counts."""
+    return value_counts(frame, keys, "v", [F.count(F.when(F.col("g") == 1, 1)).alias("t1")])
 
 
 def bin_plan(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
     """H1: per key the joint range, bin count and edge array."""
-    st = frame.groupBy(*keys).agg(F.count("v").alias("N"), F.min("v").alias("lo0"),
-                                  F.max("v").alias("hi0"))
+    st = _vc(frame, keys).groupBy(*keys).agg(
+        F.sum("t").alias("N"), F.sum("t1").alias("_n1"), F.min("v").alias("lo0"),
+        F.max("v").alias("hi0")).drop("_n1")
     # Bin edges are undefined over an infinite range
     finite = F.abs(F.col("lo0")) < F.lit(float("inf"))
     finite = finite & (F.abs(F.col("hi0")) < F.lit(float("inf")))
@@ -42,11 +49,11 @@ def bin_plan(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
 def binned_counts(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
     """H2/H3: per key and non-empty bin, counts of both groups."""
     plan = bin_plan(frame, keys, cap)
-    b = frame.join(plan, list(keys)).withColumn(
+    b = attach(_vc(frame, keys), plan, keys, "v", "inner").withColumn(
         "bin", bin_index(F.col("v"), F.col("edges"), F.col("lo"), F.col("hi"), F.col("k")))
     return b.groupBy(*keys, "bin").agg(
-        F.count(F.when(F.col("g") == 1, 1)).alias("o1"),
-        F.count(F.when(F.col("g") == 2, 1)).alias("o2"),
+        F.sum("t1").alias("o1"),
+        F.sum(F.col("t") - F.col("t1")).alias("o2"),
         F.first("edges").alias("edges"))
 
 

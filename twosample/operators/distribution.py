@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from twosample.functions.bins import bin_edges, bin_index, edge_at, widened_range
 from twosample.functions.special import with_norm_ppf
-from twosample.operators.ranks import DEFAULT_LEVELS, exact_quantiles, observation_ranks
+from twosample.operators.ranks import (DEFAULT_LEVELS, attach, exact_quantiles,
+                                       observation_ranks, value_counts)
 
 HIST_BINS = 30
 KDE_POINTS = 300
@@ -33,17 +34,19 @@ WHISKER = 1.5
 
 
 def hist_density(frame: DataFrame, keys: Sequence[str], bins: int = HIST_BINS) -> DataFrame:
-    """``(keys, g, bin, left, right, count, density)`` for every bin."""
+    """``(keys, g, bin, left, right, count, density)`` for every bin.
+    Binned from the distinct-value table (values with counts)."""
     gk = [*keys, "g"]
-    st = frame.groupBy(*gk).agg(F.count("v").alias("n"), F.min("v").alias("lo0"),
-                                F.max("v").alias("hi0"))
+    vc = value_counts(frame, gk, "v")
+    st = vc.groupBy(*gk).agg(F.sum("t").alias("n"), F.min("v").alias("lo0"),
+                             F.max("v").alias("hi0"))
     lo, hi = widened_range(F.col("lo0"), F.col("hi0"))
     st = (st.withColumn("lo", lo).withColumn("hi", hi).withColumn("k", F.lit(bins))
             .withColumn("edges", bin_edges(F.col("lo"), F.col("hi"), F.col("k"))))
-    counts = (frame.join(st.select(*gk, "lo", "hi", "k", "edges"), gk)
+    counts = (attach(vc, st.select(*gk, "lo", "hi", "k", "edges"), gk, "v", "inner")
               .withColumn("bin", bin_index(F.col("v"), F.col("edges"), F.col("lo"),
                                            F.col("hi"), F.col("k")))
-              .groupBy(*gk, "bin").agg(F.count(F.lit(1)).alias("count")))
+              .groupBy(*gk, "bin").agg(F.sum("t").alias("count")))
     grid = st.select(*gk, "n", "edges", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*gk, "bin"], "left").fillna(0, subset=["count"])
     left, right = edge_at(F.col("edges"), F.col("bin")), edge_at(F.col("edges"), F.col("bin") + 1)
@@ -61,11 +64,11 @@ def kde_curve(frame: DataFrame, keys: Sequence[str], points: int = KDE_POINTS) -
     st = st.filter((F.col("n") > 1) & (F.col("sd") > 0)).withColumn(
         "h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).withColumn(
         "step", (F.col("hi") - F.col("lo")) / F.lit(float(points - 1)))
-    vc = frame.groupBy(*gk, "v").agg(F.count(F.lit(1)).alias("t"))
+    vc = value_counts(frame, gk, "v")
     reach = F.lit(KDE_REACH) * F.col("h")
     j_lo = F.greatest(F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")), F.lit(0))
     j_hi = F.least(F.floor((F.col("v") + reach - F.col("lo")) / F.col("step")), F.lit(points - 1))
-    contrib = (vc.join(st, gk)
+    contrib = (attach(vc, st, gk, "v", "inner")
                .withColumn("j", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int")))))
     x = F.when(F.col("j") == points - 1, F.col("hi")).otherwise(
         F.col("j").cast("double") * F.col("step") + F.col("lo"))
@@ -99,16 +102,18 @@ def box_stats(frame: DataFrame, keys: Sequence[str], whis: float = WHISKER,
     lo_f = F.col("q1") - F.lit(whis) * F.col("iqr")
     hi_f = F.col("q3") + F.lit(whis) * F.col("iqr")
     # a value below the lower whisker is exactly a value below the lower
-    # fence (the whisker is the smallest value inside it), so one pass counts
-    # outliers and finds both whiskers
-    out = frame.join(q, gk).groupBy(*gk, "n", "q1", "median", "q3", "iqr").agg(
+    # fence (the whisker is the smallest value inside it), so one pass over
+    # the distinct-value table counts outliers and finds both whiskers
+    vc = value_counts(frame, gk, "v")
+    out = attach(vc, q, gk, "v", "inner").groupBy(*gk, "n", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("v") >= lo_f, F.col("v"))).alias("_wl"),
         F.max(F.when(F.col("v") <= hi_f, F.col("v"))).alias("_wh"),
-        F.count(F.when((F.col("v") < lo_f) | (F.col("v") > hi_f), 1)).alias("n_outliers"))
+        F.sum(F.when((F.col("v") < lo_f) | (F.col("v") > hi_f), F.col("t")).otherwise(0))
+        .alias("n_outliers"))
     return out.select(*gk, "n", "q1", "median", "q3", "iqr",
                       F.least(F.coalesce("_wl", "q1"), F.col("q1")).alias("whisker_low"),
                       F.greatest(F.coalesce("_wh", "q3"), F.col("q3")).alias("whisker_high"),
-                      "n_outliers")
+                      F.col("n_outliers").cast("long").alias("n_outliers"))
 
 
 def filliben(i, n):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from twosample.functions.pvalues import t_pvalue
 from twosample.operators.prepare import assumption_flag, nan_if_null
-from twosample.operators.ranks import DEFAULT_LEVELS, exact_quantiles
+from twosample.operators.ranks import DEFAULT_LEVELS, attach, exact_quantiles, value_counts
 
 
 def group_medians(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
@@ -25,25 +25,42 @@ def group_medians(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
     return q.select(*keys, "g", F.col("q0").alias("median"))
 
 
-def rejoin_stats(frame: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-(key, group) statistics to every row."""
+def rejoin_stats(frame: DataFrame, stats: DataFrame, keys: Sequence[str],
+                 spread: str | None = None) -> DataFrame:
+    """Attach per-(key, group) statistics to every row; salted on
+    ``spread`` (a near-unique row column) when given."""
+    if spread:
+        return attach(frame, stats, [*keys, "g"], spread, "inner")
     return frame.join(stats, [*keys, "g"])
 
 
 def levene(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
            split_rows: int | None = None) -> DataFrame:
+    """Works on the distinct-value table (values with counts): deviations
+    from the exact group median, then their weighted mean and sum of squared
+    deviations in a second pass (two passes, no sum-of-squares shortcut)."""
+    gk = [*keys, "g"]
+    vc = value_counts(frame, gk, "v")
     med = group_medians(frame, keys, levels, split_rows)
-    z = rejoin_stats(frame, med, keys).withColumn("z", F.abs(F.col("v") - F.col("median")))
-    per_g = z.groupBy(*keys).agg(*[
+    z = rejoin_stats(vc, med, keys, spread="v").withColumn(
+        "z", F.abs(F.col("v") - F.col("median")))
+    td = F.col("t").cast("double")
+    mean_z = z.groupBy(*gk).agg((F.sum(td * F.col("z")) / F.sum(td)).alias("zbar"))
+    dev = rejoin_stats(z, mean_z, keys, spread="v")
+    per_g = dev.groupBy(*gk).agg(
+        F.sum("t").alias("n"), F.first("zbar").alias("zbar"),
+        F.sum(td * (F.col("z") - F.col("zbar")) ** 2).alias("ss"))
+    per_g = per_g.groupBy(*keys).agg(*[
         a for gi in (1, 2) for a in (
-            F.count(F.when(F.col("g") == gi, F.col("z"))).alias(f"n{gi}"),
-            F.avg(F.when(F.col("g") == gi, F.col("z"))).alias(f"z{gi}"),
-            F.var_samp(F.when(F.col("g") == gi, F.col("z"))).alias(f"s{gi}"))])
-    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
+            F.max(F.when(F.col("g") == gi, F.col("n"))).alias(f"n{gi}"),
+            F.max(F.when(F.col("g") == gi, F.col("zbar"))).alias(f"z{gi}"),
+            F.max(F.when(F.col("g") == gi, F.col("ss"))).alias(f"ss{gi}"))])
+    n1 = F.coalesce(F.col("n1"), F.lit(0)).cast("double")
+    n2 = F.coalesce(F.col("n2"), F.lit(0)).cast("double")
     n = n1 + n2
     zall = (n1 * F.col("z1") + n2 * F.col("z2")) / n
     between = n1 * (F.col("z1") - zall) ** 2 + n2 * (F.col("z2") - zall) ** 2
-    within = (n1 - 1.0) * F.col("s1") + (n2 - 1.0) * F.col("s2")
+    within = F.col("ss1") + F.col("ss2")
     w = nan_if_null(F.try_divide((n - 2.0) * between, within))
     out = per_g.withColumn("levene_w", w)
     out = out.withColumn("levene_p", nan_if_null(

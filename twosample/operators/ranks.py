@@ -79,24 +79,54 @@ def _touched(vc: DataFrame, keys: Sequence[str], value: str) -> Column:
     return (F.greatest(*sums) if len(sums) > 1 else sums[0]) > F.lit(-1)
 
 
+# Joins keyed by the ``by`` keys alone are salted: a distinct value's salt is
+# a hash of the value, and the per-key table is replicated once per salt.  If
+# AQE broadcasts the table nothing changes; if the table is too large to
+# broadcast (very many keys), a hot key's rows still spread over SALTS tasks.
+SALTS = 32
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
+           how: str = "left", salts: int | None = None) -> DataFrame:
+    """Join a one-row-per-key table onto many rows, skew-safe.
+
+    ``spread`` names a row column whose values are (nearly) unique within a
+    key -- a distinct value, a row hash -- and its hash is the salt.  The
+    table side is replicated once per salt, so when it is too large for AQE
+    to broadcast, a key holding a third of the rows is still spread over
+    ``salts`` join tasks.  Deterministic: a retried task salts identically.
+    """
+    n = SALTS if salts is None else salts
+    salt = F.pmod(F.xxhash64(F.col(spread)), F.lit(n)).cast("int")
+    t = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return rows.withColumn("_salt", salt).join(t, [*keys, "_salt"], how).drop("_salt")
+
+
+def _salted_left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str],
+                      value: str) -> DataFrame:
+    return attach(rows, table, keys, value, "left")
+
+
 def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
-              out: str, split_rows: int) -> DataFrame:
+              out: str, split_rows: int, salted: bool) -> DataFrame:
     nb = 2 ** levels
     probs = [i / nb for i in range(1, nb)]
     # size gate: only keys (buckets) above ``split_rows`` distinct values feed
     # the sketch.  A flag joined with a *left* join (a semi join would be
-    # pushed below the distinct-value aggregate and fork the plan).
+    # pushed below the distinct-value aggregate and fork the plan); the flag
+    # and cut tables only hold the keys that are split.
     flag = vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), *_touch(vc, keys, value))
-    flag = flag.select(*keys, ((F.col("_nd") > F.lit(split_rows))
-                               & _touched(vc, keys, value)).alias("_big"))
-    cuts = vc.join(flag, list(keys), "left").groupBy(*keys).agg(
-        F.percentile_approx(F.when(F.col("_big"), F.col(value)), probs,
-                            _accuracy(levels)).alias("_cuts"),
+    flag = flag.filter((F.col("_nd") > F.lit(split_rows)) & _touched(vc, keys, value)) \
+               .select(*keys, F.lit(True).alias("_big"))
+    join = (lambda a, b: _salted_left_join(a, b, keys, value)) if salted else \
+        (lambda a, b: a.join(b, list(keys), "left"))
+    cuts = join(vc, flag).filter(F.col("_big")).groupBy(*keys).agg(
+        F.percentile_approx(F.col(value), probs, _accuracy(levels)).alias("_cuts"),
         *_touch(vc, keys, value))
     cuts = cuts.select(*keys, F.when(_touched(vc, keys, value), F.col("_cuts")).alias("_cuts"))
     # keys without cut points (small ones) keep sub-bucket 0: element_at on a
     # null array is null and the comparison falls to ``otherwise``
-    res = vc.join(cuts, list(keys), "left").withColumn(out, F.lit(0))
+    res = join(vc, cuts).withColumn(out, F.lit(0))
     v = F.col(value)
     for lvl in reversed(range(levels)):
         step = 2 ** lvl
@@ -120,10 +150,10 @@ def add_buckets(vc: DataFrame, keys: Sequence[str], value: str = "v",
     out = vc
     for i, lv in enumerate(levels):
         if i == 0:
-            out = _one_pass(out, list(keys), value, lv, "_sub", split)
+            out = _one_pass(out, list(keys), value, lv, "_sub", split, salted=True)
             out = out.withColumn("_b", F.col("_sub").cast("long")).drop("_sub")
         else:
-            out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split)
+            out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split, salted=False)
             out = out.withColumn("_b", F.col("_b") * F.lit(2 ** lv) + F.col("_sub")).drop("_sub")
     return out
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twosample.operators.ranks import DEFAULT_LEVELS, values_at_positions
+from twosample.operators.ranks import DEFAULT_LEVELS, attach, values_at_positions
 
 DEFAULT_SAMPLE_ROWS = 10_000
 DEFAULT_SEED = 42
@@ -41,7 +41,8 @@ def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
                            (F.least(F.col("_n"), F.lit(k)) - 1).alias("pos"))
     thr = values_at_positions(frame, keys, targets, order, levels, split_rows).select(
         *keys, F.col("value").alias("_thr"))
-    return frame.join(thr, list(keys)).filter(F.col(order) <= F.col("_thr")).drop("_thr")
+    return (attach(frame, thr, keys, order, "inner")
+            .filter(F.col(order) <= F.col("_thr")).drop("_thr"))
 
 
 def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from twosample.functions.pvalues import shapiro_pvalue
 from twosample.functions.special import SW_C1, SW_C2, shapiro_poly, with_norm_ppf
 from twosample.operators.prepare import assumption_flag
-from twosample.operators.ranks import row_order
+from twosample.operators.ranks import attach, row_order, value_counts
 
 MAX_N = 5000
 MIN_N = 3
@@ -30,9 +30,14 @@ MIN_N = 3
 def shapiro(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFrame:
     """One row per key of ``frame`` (``keys`` usually include ``g``) with
     ``n, sw_w, sw_p, is_normal, test_used``."""
-    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # from the distinct-value table: sizes, and the rows of small groups
+    # re-expanded (at most max_n copies per group) before the ordering window
+    vc = value_counts(frame, keys, "v")
+    counts = vc.groupBy(*keys).agg(F.sum("t").alias("n"))
     testable = counts.filter((F.col("n") >= MIN_N) & (F.col("n") <= max_n))
-    small = row_order(frame.join(testable, list(keys)), keys)
+    rows = attach(vc, testable, keys, "v", "inner").select(
+        *keys, "n", F.explode(F.array_repeat(F.col("v"), F.col("t").cast("int"))).alias("v"))
+    small = row_order(rows, keys)
     small = with_norm_ppf(small, (F.col("i").cast("double") - 0.375)
                           / (F.col("n").cast("double") + 0.25), "m")
     agg = small.groupBy(*keys, "n").agg(
