@@ -55,8 +55,9 @@ def main(sf_dir: str) -> None:
                             .otherwise(F.concat(F.lit("k"), (F.col("l_orderkey") % 97).cast("string"))))
                 .withColumn("price", F.when(hot & (F.col("l_linenumber") <= 2), F.lit(1000.0))
                             .otherwise(F.col("l_extendedprice")))
-                .withColumn("pair", F.when(hot, F.lit(-1)).otherwise(F.col("l_orderkey"))))
-    fr = prepare(skewed, "price", "l_returnflag", ("A", "R"), by=["seg"], keep=["pair"])
+                .withColumn("pair", F.when(hot, F.lit(-1)).otherwise(F.col("l_orderkey")))
+                .withColumn("rid", F.monotonically_increasing_id()))
+    fr = prepare(skewed, "price", "l_returnflag", ("A", "R"), by=["seg"], keep=["pair", "rid"])
     keys = ["seg"]
     w = Window.partitionBy("seg").orderBy("v")
     jobs = {
@@ -70,7 +71,7 @@ def main(sf_dir: str) -> None:
         "kde_curve": DI.kde_curve(fr, keys),
         "chisq_binned": CS.chisq_binned(fr, keys),
         "shapiro": shapiro(fr, [*keys, "g"]),
-        "sample_groups": sample_groups(fr, keys, 1000, ["pair", "v"], split_rows=SPLIT),
+        "sample_groups": sample_groups(fr, keys, 1000, ["rid"], split_rows=SPLIT),
         "paired_hot_pair_key": paired_t(pair_align(fr, keys, "pair"), keys),
     }
     for name, df in jobs.items():

@@ -48,7 +48,11 @@ def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
 def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,
                   row_key: Sequence[str] | None = None, seed: int = DEFAULT_SEED,
                   levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """F1s: at most ``k`` rows per ``(keys, g)`` group, chosen by seeded hash."""
+    """F1s: at most ``k`` rows per ``(keys, g)`` group, chosen by seeded hash.
+
+    ``row_key`` should identify a row uniquely: rows sharing a key share a
+    hash, so they are kept or dropped together (and, being one hash value,
+    are handled by one task)."""
     h = with_row_hash(frame, row_key, seed)
     return first_k(h, [*keys, "g"], "_h", k, levels, split_rows).drop("_h")
 
