@@ -30,6 +30,16 @@ def keys_for(by: Sequence[str]) -> list[str]:
     return by if by else [ALL_KEY]
 
 
+def constant_key(df: DataFrame) -> DataFrame:
+    """Adds the constant key used when there are no ``by`` keys.
+
+    Derived from a column (``hash(col) * 0``) rather than a literal: a literal
+    key is folded by the optimizer and turns key joins into cross joins of a
+    one-row side; a column-derived key keeps them ordinary broadcast hash
+    joins.  Every row still carries the same key (0)."""
+    return df.withColumn(ALL_KEY, (F.hash(F.col(df.columns[0])) * F.lit(0)).cast("int"))
+
+
 def drop_internal(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df if by else df.drop(ALL_KEY)
 
@@ -118,9 +128,7 @@ def prepare(df: DataFrame, value: str, group: str | None = None,
     out = df.select(*[F.col(b) for b in by], *[F.col(k) for k in keep],
                     g.alias("g"), cast(F.col(value)).alias("v"))
     out = out.filter(is_usable(F.col("v")))
-    if not by:
-        out = out.withColumn(ALL_KEY, F.lit(0))
-    return out
+    return out if by else constant_key(out)
 
 
 def stack_groups(df1: DataFrame, df2: DataFrame, value1: str, value2: str | None = None,
@@ -135,9 +143,7 @@ def stack_groups(df1: DataFrame, df2: DataFrame, value1: str, value2: str | None
     a = df1.select(*by, F.lit(1).cast("tinyint").alias("g"), cast(F.col(value1)).alias("v"))
     b = df2.select(*by, F.lit(2).cast("tinyint").alias("g"), cast(F.col(value2)).alias("v"))
     out = a.unionByName(b).filter(is_usable(F.col("v")))
-    if not by:
-        out = out.withColumn(ALL_KEY, F.lit(0))
-    return out
+    return out if by else constant_key(out)
 
 
 def nan_if_null(c: Column) -> Column:

@@ -35,11 +35,11 @@ def group_summary(df: DataFrame, value: str, group: str | None = None,
             F.count("v").alias("count"), F.min("v").alias("min"), F.max("v").alias("max")]
     if median == "approx":
         return data.groupBy(*keys).agg(*base, F.percentile_approx("v", 0.5, accuracy).alias("median"))
-    from twosample.operators.prepare import ALL_KEY
+    from twosample.operators.prepare import ALL_KEY, constant_key
     from twosample.operators.ranks import value_counts, values_at_positions
     k = keys or [ALL_KEY]
     if not keys:
-        data = data.withColumn(ALL_KEY, F.lit(0))
+        data = constant_key(data)
     agg = data.groupBy(*k).agg(*base)
     # target positions from the distinct-value table the search builds anyway,
     # so this branch shares its exchange instead of re-scanning the input

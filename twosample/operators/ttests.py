@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twosample.functions.pvalues import t_pvalue
-from twosample.operators.prepare import (ALL_KEY, check_columns, coerce_lenient,
+from twosample.operators.prepare import (ALL_KEY, check_columns, coerce_lenient, constant_key,
                                          is_usable, nan_if_null)
 from twosample.operators.summary import moments
 
@@ -81,7 +81,7 @@ def pair_frames(df1: DataFrame, df2: DataFrame, pair_key: str, value1: str,
                   .groupBy(*by, pair_key).agg(F.avg(name).alias(name)))
     out = side(df1, value1, "x").join(side(df2, value2, "y"), [*by, pair_key], "full")
     out = out.withColumn("complete", F.col("x").isNotNull() & F.col("y").isNotNull())
-    return out if by else out.withColumn(ALL_KEY, F.lit(0))
+    return out if by else constant_key(out)
 
 
 def paired_t(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:

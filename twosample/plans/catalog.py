@@ -19,7 +19,7 @@ from twosample.operators import distribution as DI
 from twosample.operators import ranks as RK
 from twosample.operators.levene import group_medians, levene, rejoin_stats
 from twosample.operators.mannwhitney import mannwhitney
-from twosample.operators.prepare import prepare, stack_groups
+from twosample.operators.prepare import constant_key, prepare, stack_groups
 from twosample.operators.sampling import head_cap, limit_rows
 from twosample.operators.shapiro import shapiro
 from twosample.operators.summary import group_summary, moments
@@ -484,8 +484,8 @@ def q_rescale_expected(spark, d):
     "_all", False) + " " + chisq_final_sql(()))
 def q_chisq_gof_uniform(spark, d):
     ev = _t(spark, d, "events")
-    counts = ev.groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("observed")) \
-        .withColumn("_all", F.lit(0))
+    counts = constant_key(ev.groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("observed")))
+
     res = CS.chisq_gof(counts, ["_all"], "observed", None)
     return res.select(r("statistic").alias("statistic"), r("df").alias("df"),
                       r("p_value").alias("p_value"), "n_total")

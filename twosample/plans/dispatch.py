@@ -17,7 +17,7 @@ from twosample.functions import text as T
 from twosample.operators import chisquare as CS
 from twosample.operators.levene import levene
 from twosample.operators.mannwhitney import mannwhitney
-from twosample.operators.prepare import (ALL_KEY, check_alpha, check_test_name,
+from twosample.operators.prepare import (ALL_KEY, check_alpha, check_test_name, constant_key,
                                          drop_internal, keys_for, prepare,
                                          significance_flag)
 from twosample.operators.sampling import sample_groups
@@ -238,7 +238,7 @@ def chisquare_counts(counts: DataFrame, observed: str, expected: str | None = No
     alpha = check_alpha(alpha, bounded_alpha)
     by = list(by or [])
     keys = keys_for(by)
-    c = counts if by else counts.withColumn(ALL_KEY, F.lit(0))
+    c = counts if by else constant_key(counts)
     core = CS.chisq_gof(c, keys, observed, expected)
     out = core.withColumn("total_rows", F.col("n_total")).withColumn(
         "group_stats", F.lit(None).cast(
