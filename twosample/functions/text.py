@@ -18,15 +18,6 @@ P_SMALL_FMT = "p < 0.0001 (%.2e)"
 HEADLINE_SIGNIFICANT = "SIGNIFICANT DIFFERENCE"
 HEADLINE_NOT_SIGNIFICANT = "NO SIGNIFICANT DIFFERENCE"
 
-TEST_LABELS = {
-    "independent_ttest": "independent (pooled-variance) t-test",
-    "welch_ttest": "Welch t-test",
-    "paired_ttest": "paired t-test",
-    "mannwhitney": "Mann-Whitney U test",
-    "chisquare": "chi-square test",
-}
-
-
 def _d(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast("double")
 

@@ -26,7 +26,6 @@ from twosample.operators.summary import group_stats_struct, moments
 from twosample.operators.ttests import (differences, pair_align, paired_t,
                                         two_sample_t)
 
-NORMALITY_FIELDS = ("is_normal", "statistic", "p_value", "test_used", "interpretation")
 NORMALITY_TYPE = ("struct<is_normal:boolean,statistic:double,p_value:double,"
                   "test_used:string,interpretation:string>")
 VARIANCE_TYPE = ("struct<equal_variance:boolean,statistic:double,p_value:double,"
