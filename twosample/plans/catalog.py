@@ -49,6 +49,11 @@ def _t(spark, d, name):
     return read_table(spark, d, name)
 
 
+def _g():
+    """Group label as INT in query outputs (the SQL twins produce INTEGER)."""
+    return F.col("g").cast("int").alias("g")
+
+
 # --------------------------------------------------------------------------
 # SQL building blocks
 # --------------------------------------------------------------------------
@@ -352,7 +357,7 @@ def q_rejoin_stats(spark, d):
 def q_shapiro_wilk(spark, d):
     fr = prepare(_t(spark, d, "events"), "value", by=["event_type"])
     sw = shapiro(fr, ["event_type", "g"])
-    return sw.select("event_type", "g", "n", r("sw_w").alias("sw_w"), r("sw_p").alias("sw_p"),
+    return sw.select("event_type", _g(), "n", r("sw_w").alias("sw_w"), r("sw_p").alias("sw_p"),
                      "is_normal")
 
 
@@ -361,7 +366,7 @@ def q_shapiro_wilk(spark, d):
 def q_shapiro_wilk_small(spark, d):
     fr = prepare(_t(spark, d, "customer"), "c_acctbal", by=["c_mktsegment"])
     sw = shapiro(fr, ["c_mktsegment", "g"])
-    return sw.select("c_mktsegment", "g", "n", r("sw_w").alias("sw_w"), r("sw_p").alias("sw_p"),
+    return sw.select("c_mktsegment", _g(), "n", r("sw_w").alias("sw_w"), r("sw_p").alias("sw_p"),
                      "is_normal")
 
 
@@ -566,7 +571,7 @@ def _hist_sql(bins: int = 30) -> str:
 @register("hist_density", _hist_sql())
 def q_hist_density(spark, d):
     h = DI.hist_density(li_price(spark, d), ["_all"])
-    return h.select("g", "bin", "left", "right", "count", r("density", 12).alias("density"))
+    return h.select(_g(), "bin", "left", "right", "count", r("density", 12).alias("density"))
 
 
 def _kde_sql(points: int = 300) -> str:
@@ -581,7 +586,7 @@ def _kde_sql(points: int = 300) -> str:
 @register("kde_curve", _kde_sql())
 def q_kde_curve(spark, d):
     k = DI.kde_curve(ev_cp(spark, d), ["_all"])
-    return k.select("g", "j", "x", r("density", 12).alias("density"))
+    return k.select(_g(), "j", "x", r("density", 12).alias("density"))
 
 
 @register("box_stats", (
@@ -595,7 +600,7 @@ def q_kde_curve(spark, d):
     f"count(*) FILTER (WHERE v < lf OR v > hf) AS n_outliers FROM fr JOIN f USING (g) GROUP BY g"))
 def q_box_stats(spark, d):
     b = DI.box_stats(li_price(spark, d), ["_all"])
-    return b.select("g", "n", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"),
+    return b.select(_g(), "n", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"),
                     r("iqr").alias("iqr"), "whisker_low", "whisker_high", "n_outliers")
 
 
