@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosample.functions.bins import (bin_edges, bin_index, n_bins_for,
@@ -58,10 +58,15 @@ def binned_counts(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataF
 
 
 def contingency_2xk(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Chi-square of a 2 x k table given as rows ``(keys, o1, o2)``."""
-    wk = Window.partitionBy(*keys)
-    c = (cells.withColumn("R1", F.sum("o1").over(wk)).withColumn("R2", F.sum("o2").over(wk))
-              .withColumn("K", F.count(F.lit(1)).over(wk)))
+    """Chi-square of a 2 x k table given as rows ``(keys, o1, o2, ...)``.
+
+    Row and table totals come from a per-key aggregate attached back to the
+    cells (salted on a cell hash), not from a window over the key, so a key
+    with millions of categories is not one task."""
+    cells = cells.withColumn("_cid", F.xxhash64(*[F.col(c) for c in cells.columns]))
+    tot = cells.groupBy(*keys).agg(F.sum("o1").alias("R1"), F.sum("o2").alias("R2"),
+                                   F.count(F.lit(1)).alias("K"))
+    c = attach(cells, tot, keys, "_cid", "inner")
     col = (F.col("o1") + F.col("o2")).cast("double")
     n = (F.col("R1") + F.col("R2")).cast("double")
     e1 = F.try_divide(F.col("R1").cast("double") * col, n)
@@ -102,13 +107,16 @@ def category_counts(frame: DataFrame, keys: Sequence[str], category: str,
 def chisq_gof(counts: DataFrame, keys: Sequence[str], observed: str = "observed",
               expected: str | None = "expected") -> DataFrame:
     """D9 (``expected`` given, H4 rescale) / D10 (uniform): one row per key."""
-    wk = Window.partitionBy(*keys)
     o = F.col(observed).cast("double")
-    c = counts.withColumn("_osum", F.sum(o).over(wk)).withColumn("_k", F.count(F.lit(1)).over(wk))
+    # per-key totals by aggregate + salted attach (no window over the key)
+    counts = counts.withColumn("_cid", F.xxhash64(*[F.col(c) for c in counts.columns]))
+    tot_cols = [F.sum(o).alias("_osum"), F.count(F.lit(1)).alias("_k")]
+    if expected is not None:
+        tot_cols.append(F.sum(F.col(expected).cast("double")).alias("_esum"))
+    c = attach(counts, counts.groupBy(*keys).agg(*tot_cols), keys, "_cid", "inner")
     if expected is None:
         e = F.col("_osum") / F.col("_k").cast("double")
     else:
-        c = c.withColumn("_esum", F.sum(F.col(expected).cast("double")).over(wk))
         e = rescale_expected(F.col(expected).cast("double"), F.col("_osum"), F.col("_esum"))
     c = c.withColumn("_e", e).withColumn(
         "_term", F.try_divide((o - F.col("_e")) ** 2, F.col("_e")))
