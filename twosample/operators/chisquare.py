@@ -133,6 +133,19 @@ def chisq_gof(counts: DataFrame, keys: Sequence[str], observed: str = "observed"
     return out.drop("_stat", "_osum", "_finite")
 
 
+def rescaled_counts(counts: DataFrame, keys: Sequence[str], observed: str = "observed",
+                    expected: str = "expected") -> DataFrame:
+    """H4 as a table: each category's expected count scaled to the observed
+    total of its key (totals by aggregate + salted attach)."""
+    counts = counts.withColumn("_cid", F.xxhash64(*[F.col(c) for c in counts.columns]))
+    tot = counts.groupBy(*keys).agg(F.sum(F.col(observed).cast("double")).alias("_osum"),
+                                    F.sum(F.col(expected).cast("double")).alias("_esum"))
+    c = attach(counts, tot, keys, "_cid", "inner")
+    return c.withColumn("expected_scaled", rescale_expected(
+        F.col(expected).cast("double"), F.col("_osum"), F.col("_esum"))).drop(
+        "_cid", "_osum", "_esum")
+
+
 def has_fraction(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D11 flag per key: any value with a fractional part."""
     return frame.groupBy(*keys).agg(

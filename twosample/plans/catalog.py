@@ -476,12 +476,8 @@ def q_chisq_gof_expected(spark, d):
     f"WITH c AS ({PRIO_COUNTS}) SELECT o_orderpriority, observed, "
     f"round(expected * (sum(observed) OVER () / sum(expected) OVER ()), 6) AS expected_scaled FROM c"))
 def q_rescale_expected(spark, d):
-    from pyspark.sql import Window
-    from twosample.functions.bins import rescale_expected
-    c = _prio_counts(spark, d)
-    w = Window.partitionBy("_all")
-    return c.select("o_orderpriority", "observed", r(rescale_expected(
-        F.col("expected"), F.sum("observed").over(w), F.sum("expected").over(w))).alias("expected_scaled"))
+    c = CS.rescaled_counts(_prio_counts(spark, d), ["_all"])
+    return c.select("o_orderpriority", "observed", r("expected_scaled").alias("expected_scaled"))
 
 
 @register("chisq_gof_uniform", "WITH " + gof_sql(
