@@ -714,3 +714,20 @@ def q_result_sink(spark, d):
     back = spark.read.json(p)
     return back.select("n_group1", "n_group2", r("statistic").alias("statistic"),
                        r("df").alias("df"), r("p_value").alias("p_value"), "significant")
+
+
+@register("inline_groups", ttest_sql(
+    "SELECT 0 AS _all, 1 AS g, l_quantity AS v FROM lineitem WHERE l_quantity IS NOT NULL "
+    "AND NOT isnan(l_quantity) UNION ALL SELECT 0, 2, l_discount * 100 FROM lineitem "
+    "WHERE l_discount IS NOT NULL AND NOT isnan(l_discount * 100)", (), False))
+def q_inline_groups(spark, d):
+    """A2: request payloads (JSON arrays) built by Spark from lineitem, one per
+    row, parsed and exploded on the executors, then a Welch test."""
+    from twosample.sources.readers import json_groups
+    li = _t(spark, d, "lineitem")
+    payload = li.select(F.to_json(F.struct(
+        F.array(F.col("l_quantity")).alias("group1"),
+        F.array(F.col("l_discount") * 100).alias("group2"))).alias("payload"))
+    res = two_sample(json_groups(payload, "payload"), "value", "grp", ("group1", "group2"),
+                     test="welch_ttest", checks=False)
+    return _flat_test(res)

@@ -1,7 +1,8 @@
 """Sources and sinks (A1-A4)."""
 from twosample.sources.readers import (csv_group, csv_groups, first_column, inline_groups,
-                                       inline_json, read_csv, read_table)
+                                       inline_json, json_groups, read_csv,
+                                       read_table)
 from twosample.sources.sinks import as_json, write_results
 
-__all__ = ["csv_group", "csv_groups", "first_column", "inline_groups", "inline_json",
+__all__ = ["csv_group", "csv_groups", "first_column", "inline_groups", "inline_json", "json_groups",
            "read_csv", "read_table", "as_json", "write_results"]

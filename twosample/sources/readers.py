@@ -84,3 +84,16 @@ def inline_json(spark: SparkSession, payload: str) -> DataFrame:
     g1 = df.select(F.lit("group1").alias("grp"), F.posexplode("j.group1").alias("pos", "value"))
     g2 = df.select(F.lit("group2").alias("grp"), F.posexplode("j.group2").alias("pos", "value"))
     return g1.unionByName(g2)
+
+
+def json_groups(df, column: str, labels=("group1", "group2")):
+    """A2 at scale: a column of request payloads ``{"group1": [...],
+    "group2": [...]}`` parsed on the executors (``from_json``) and exploded
+    to ``(grp, pos, value)`` rows -- every payload row contributes its values
+    to both groups."""
+    schema = f"{labels[0]} array<double>, {labels[1]} array<double>"
+    parsed = df.select(F.from_json(F.col(column), schema).alias("j"))
+    parts = [parsed.select(F.lit(lab).alias("grp"),
+                           F.posexplode(F.col(f"j.{lab}")).alias("pos", "value"))
+             for lab in labels]
+    return parts[0].unionByName(parts[1])
