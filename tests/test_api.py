@@ -155,3 +155,12 @@ def test_many_by_keys_match_pandas(spark):
             w = (n1 + n2 - 2) * (n1 * (zx.mean() - z.mean()) ** 2 + n2 * (zy.mean() - z.mean()) ** 2) \
                 / ((n1 - 1) * zx.var(ddof=1) + (n2 - 1) * zy.var(ddof=1))
             assert got_w[k] == pytest.approx(w, rel=1e-9)
+
+
+def test_json_groups_column_parsed_on_executors(spark):
+    from twosample.sources import json_groups
+    df = spark.createDataFrame([('{"group1": [1.0, 2.0], "group2": [5.0]}',),
+                                ('{"group1": [3.0], "group2": [6.0, 7.0, 8.0]}',)], "payload string")
+    rows = sorted((r.grp, r.value) for r in json_groups(df, "payload").collect())
+    assert rows == [("group1", 1.0), ("group1", 2.0), ("group1", 3.0),
+                    ("group2", 5.0), ("group2", 6.0), ("group2", 7.0), ("group2", 8.0)]
