@@ -7,8 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import id_remainder
 from .exact_dedup import exact_dedup
+from .hd_langid import identify
 from .kd_sharding import kd_shards
+from .quality_gam import quality_scores
 from .simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +48,15 @@ def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+                          held_out=id_remainder("doc_id", 5) == 0)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 4) == 2
+    return identify(_table(spark, sf_dir, "documents"), train=~held_out).withColumn("held_out", held_out)
