@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bm25_decontam import contaminated
 from .common import id_remainder
 from .exact_dedup import exact_dedup
 from .hd_langid import identify
@@ -60,3 +61,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 4) == 2
     return identify(_table(spark, sf_dir, "documents"), train=~held_out).withColumn("held_out", held_out)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SYMBOLS = 64                # 0: no letter; 1-26: a-z; the others share 27-63
+SYMBOLS = 48                # 0: no letter; 1-26: a-z; all other letters share the rest
 GRAMS = SYMBOLS ** 3
 UND = "und"
 
@@ -30,43 +30,51 @@ def _symbols() -> np.ndarray:
     table = np.zeros(1 << 16, dtype=np.uint8)
     for c in range(1 << 16):
         if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
-            table[c] = c - 96 if 97 <= c <= 122 else 27 + (c * 40503 >> 4) % 37
+            table[c] = c - 96 if 97 <= c <= 122 else 27 + (c * 40503 >> 4) % (SYMBOLS - 27)
     return table
 
 
-def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-    """(codes, counts) of the letter trigrams of a text, words set apart by
-    one blank; None without a letter."""
+def gram_codes(text: str | None) -> np.ndarray | None:
+    """Codes of the letter trigrams of a text, words set apart by one blank;
+    None without a letter."""
     cp = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    far = cp >= 1 << 16
-    s = _symbols()[np.where(far, 0, cp)]
-    if far.any():
-        s[far] = [27 + c % 37 if chr(c).isalpha() else 0 for c in cp[far].tolist()]
+    if len(cp) and cp.max() >= 1 << 16:
+        far = cp >= 1 << 16
+        s = _symbols()[np.where(far, 0, cp)]
+        s[far] = [27 + c % (SYMBOLS - 27) if chr(c).isalpha() else 0 for c in cp[far].tolist()]
+    else:
+        s = _symbols()[cp]
     if not s.any():
         return None
     s = np.r_[np.uint8(0), s, np.uint8(0)]
-    s = s[np.r_[True, (s[1:] != 0) | (s[:-1] != 0)]].astype(np.int64)
+    s = s[np.r_[True, (s[1:] | s[:-1]) != 0]].astype(np.int32)
     codes = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    codes = codes[s[1:-1] != 0]
-    return np.unique(codes, return_counts=True)
+    return codes[s[1:-1] != 0]
 
 
-@lru_cache(4)
-def letter_vectors(dims: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, dims))
+def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and their counts."""
+    codes = np.sort(codes)
+    at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[at], np.diff(np.r_[at, len(codes)])
+
+
+@lru_cache(1)
+def gram_vectors(dims: int, seed: int) -> np.ndarray:
+    """Vector of every trigram: the letters' vectors, permuted by their place
+    and multiplied (one byte an entry)."""
+    v = np.random.default_rng(seed).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, dims))
+    first, second = np.roll(v, 2, axis=1), np.roll(v, 1, axis=1)
+    pairs = (first[:, None, :] * second[None, :, :]).reshape(-1, 1, dims)
+    return (pairs * v[None, :, :]).reshape(-1, dims)
 
 
 def bundle(codes: np.ndarray, counts: np.ndarray, dims: int, seed: int) -> np.ndarray:
     """Sum of the n-gram vectors, each times its count, block by block."""
-    v, out = letter_vectors(dims, seed), np.zeros(dims, dtype=np.float64)
-    first, second = np.roll(v, 2, axis=1), np.roll(v, 1, axis=1)
-    for i in range(0, len(codes), 4096):
-        c = codes[i:i + 4096]
-        grams = first[c // (SYMBOLS * SYMBOLS)]
-        grams *= second[c // SYMBOLS % SYMBOLS]
-        grams *= v[c % SYMBOLS]
-        out += counts[i:i + 4096].astype(np.float32) @ grams.astype(np.float32)
-    return out
+    table, out = gram_vectors(dims, seed), np.zeros(dims, dtype=np.float32)
+    for i in range(0, len(codes), 1024):
+        out += counts[i:i + 1024].astype(np.float32) @ table[codes[i:i + 1024]].astype(np.float32)
+    return out.astype(np.float64)
 
 
 def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang",
@@ -78,8 +86,8 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
         got: dict[str, np.ndarray] = {}
         for b in batches:
             for text, lang in zip(b["text"], b["lang"]):
-                if grams := gram_counts(text):
-                    got.setdefault(lang, np.zeros(GRAMS, dtype=np.int64))[grams[0]] += grams[1]
+                if (codes := gram_codes(text)) is not None:
+                    np.add.at(got.setdefault(lang, np.zeros(GRAMS, dtype=np.int64)), codes, 1)
         for lang, n in got.items():
             at = np.flatnonzero(n)
             yield pd.DataFrame({"lang": lang, "code": at, "n": n[at]})
@@ -114,12 +122,12 @@ def identify(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
         for b in batches:
             pred, cos = [], []
             for t in b.column(1):
-                grams = gram_counts(t.as_py())
-                if grams is None or not langs:
+                codes = gram_codes(t.as_py())
+                if codes is None or not langs:
                     pred.append(UND)
                     cos.append(0.0)
                     continue
-                v = bundle(*grams, dims, seed)
+                v = bundle(*counted(codes), dims, seed)
                 sims = protos @ v / (np.linalg.norm(v) or 1.0)
                 k = int(np.argmax(sims))
                 pred.append(langs[k])

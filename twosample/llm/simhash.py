@@ -18,7 +18,7 @@ that it finds, never all pairs of a group; components come from joins.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +40,10 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     ws = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not ws:
         return 0
-    if len(ws) < words:
-        hs = np.array([xxhash.xxh64_intdigest(b" ".join(ws), 42)], dtype="<u8")
-    else:
-        digest, join = xxhash.xxh64_intdigest, b" ".join
-        hs = np.fromiter((digest(join(ws[i:i + words]), 42) for i in range(len(ws) - words + 1)), dtype="<u8",
-                         count=len(ws) - words + 1)
+    line, digest = b" ".join(ws), xxhash.xxh64_intdigest
+    ends = list(accumulate(map(len, ws), lambda at, n: at + 1 + n))
+    starts = [0, *(e + 1 for e in ends)]
+    hs = np.fromiter((digest(line[a:b], 42) for a, b in zip(starts, ends[words - 1:] or ends[-1:])), dtype="<u8")
     ones = np.zeros(64, dtype=np.int64)
     for i in range(0, len(hs), 1 << 16):
         ones += np.unpackbits(hs[i:i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
