@@ -202,3 +202,20 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         part = rows.mapInArrow(run, SCHEMA)
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+                      n: int = 5, containment: float = 0.8, part_overlap: float = 0.5, block_bytes: int = 16 << 20) -> DataFrame:
+    """``docs`` with all its columns, without the rows that hold an item, as
+    ``contaminated`` defines it: one pass for each block of items, no join."""
+    for block in item_blocks(items, item_id, item_text, block_bytes):
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, n, containment, part_overlap))
+        at = docs.columns.index(text_col)
+
+        def run(batches: Iterator[pa.RecordBatch], index=index, at=at) -> Iterator[pa.RecordBatch]:
+            ix = index.value
+            for b in batches:
+                yield b.filter(pa.array([not ix.ids or not ix.search(words_of(t.as_py())) for t in b.column(at)], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

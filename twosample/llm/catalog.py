@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bm25_decontam import contaminated
 from .common import id_remainder
 from .exact_dedup import exact_dedup
 from .hd_langid import identify
+from .license_scan import scan_licenses
+from .mixing import mix
 from .kd_sharding import kd_shards
 from .quality_gam import quality_scores
 from .simhash import simhash_components
@@ -66,3 +69,52 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+MIX = {"lang_weights": {"en": 4, "de": 2, "fr": 2, "es": 2}, "seed": 11}
+
+
+def domain_of_source() -> Column:
+    """Four domains of sources, by the first hex digit of the md5 of their names."""
+    digit = F.substring(F.md5("source"), 1, 1)
+    return F.when(digit < "4", "domain0").when(digit < "8", "domain1").when(digit < "c", "domain2").otherwise("domain3")
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), domain=domain_of_source(), budget=F.expr("total * 3 div 4"), epochs=3, **MIX)
+
+
+def _fill_sql(name: str, nodes: str, parent: str, names: str) -> str:
+    """DuckDB steps that share out parent_budget among the rows of ``nodes``."""
+    order = f"ORDER BY weight = 0, capacity / greatest(weight, 1)::DOUBLE, capacity, {names}"
+    return f"""
+{name}_1 AS (SELECT *, coalesce(sum(capacity) OVER (PARTITION BY {parent} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+    sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER (PARTITION BY {parent} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
+    FROM ({nodes})),
+{name}_2 AS (SELECT *, weight > 0 AND capacity::HUGEINT * rest <= weight::HUGEINT * (parent_budget - used) AS full_ FROM {name}_1),
+{name}_3 AS (SELECT *, parent_budget - coalesce(sum(CASE WHEN full_ THEN capacity END) OVER (PARTITION BY {parent}), 0) AS open_budget,
+    coalesce(sum(CASE WHEN NOT full_ THEN weight END) OVER (PARTITION BY {parent}), 0) AS open_weight FROM {name}_2),
+{name} AS (SELECT * EXCLUDE (parent_budget), CASE WHEN full_ THEN capacity WHEN weight = 0 THEN 0
+    ELSE open_budget::HUGEINT * weight // open_weight END::BIGINT AS budget FROM {name}_3)"""
+
+
+ORACLE["op8_mixing"] = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    greatest(1, (strlen(coalesce(text, '')) + 3) // 4)::BIGINT AS tokens, substring(md5(coalesce(source, '')), 1, 1) AS x FROM documents),
+docs AS (SELECT * EXCLUDE (x), CASE WHEN x < '4' THEN 'domain0' WHEN x < '8' THEN 'domain1' WHEN x < 'c' THEN 'domain2' ELSE 'domain3' END AS domain FROM d),
+leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * 3 AS capacity FROM docs GROUP BY ALL),""" + ",".join([
+    _fill_sql("dom", "SELECT domain, sum(capacity)::BIGINT AS capacity, 1 AS weight, (SELECT sum(tokens)::BIGINT * 3 // 4 FROM leaf) AS parent_budget FROM leaf GROUP BY domain", "1", "domain"),
+    _fill_sql("lan", "SELECT l.domain, lang, sum(l.capacity)::BIGINT AS capacity, CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END AS weight, any_value(dom.budget) AS parent_budget FROM leaf l JOIN dom USING (domain) GROUP BY l.domain, lang", "domain", "domain, lang"),
+    _fill_sql("src", "SELECT l.*, 1 AS weight, lan.budget AS parent_budget FROM leaf l JOIN lan USING (domain, lang)", "domain, lang", "domain, lang, source")]) + """,
+o AS (SELECT docs.*, src.tokens AS leaf_tokens, src.budget AS leaf_budget, src.budget // src.tokens AS rounds, src.budget % src.tokens AS part_budget,
+    md5(concat_ws('-', '11', (src.budget // src.tokens)::VARCHAR, coalesce(doc_id::VARCHAR, ''), docs.tokens::VARCHAR)) AS h
+    FROM docs JOIN src USING (domain, lang, source)),
+r AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM o)
+SELECT doc_id, domain, lang, source, tokens, leaf_tokens, leaf_budget,
+    (rounds + CASE WHEN part_budget > 0 AND 2 * run - tokens <= 2 * part_budget THEN 1 ELSE 0 END)::BIGINT AS copies FROM r"""

@@ -106,6 +106,17 @@ def learn(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str
     return langs, np.array(protos).reshape(len(langs), dims)
 
 
+def predict(text: str | None, langs: list[str], protos: np.ndarray, dims: int, seed: int) -> tuple[str, float]:
+    """(language, cosine) of one text."""
+    codes = gram_codes(text)
+    if codes is None or not langs:
+        return UND, 0.0
+    v = bundle(*counted(codes), dims, seed)
+    sims = protos @ v / (np.linalg.norm(v) or 1.0)
+    k = int(np.argmax(sims))
+    return langs[k], min(1.0, max(0.0, float(sims[k])))
+
+
 def identify(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", dims: int = 1024, seed: int = 7) -> DataFrame:
     """(doc_id, lang_pred, score), one row per row of ``docs``.
@@ -120,20 +131,24 @@ def identify(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pred, cos = [], []
-            for t in b.column(1):
-                codes = gram_codes(t.as_py())
-                if codes is None or not langs:
-                    pred.append(UND)
-                    cos.append(0.0)
-                    continue
-                v = bundle(*counted(codes), dims, seed)
-                sims = protos @ v / (np.linalg.norm(v) or 1.0)
-                k = int(np.argmax(sims))
-                pred.append(langs[k])
-                cos.append(min(1.0, max(0.0, float(sims[k]))))
-            yield pa.record_batch({"doc_id": b.column(0), "lang_pred": pa.array(pred, pa.string()),
-                                   "score": pa.array(cos, pa.float64())})
+            got = [predict(t.as_py(), langs, protos, dims, seed) for t in b.column(1)]
+            yield pa.record_batch({"doc_id": b.column(0), "lang_pred": pa.array([x[0] for x in got], pa.string()),
+                                   "score": pa.array([x[1] for x in got], pa.float64())})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         score, "doc_id long, lang_pred string, score double")
+
+
+def drop_unidentified(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang",
+                      dims: int = 1024, seed: int = 7, least: float = 0.0) -> DataFrame:
+    """``docs`` with all its columns, without the rows that ``identify`` calls
+    ``und`` or scores below ``least``; every row goes if nothing could be learned."""
+    langs, protos = learn(docs, train, text_col, lang_col, dims, seed)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [predict(t.as_py(), langs, protos, dims, seed) for t in b.column(at)]
+            yield b.filter(pa.array([x != UND and s >= least for x, s in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, partitions_for
 from .components import connected_components
@@ -50,14 +51,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(hs), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 3) -> DataFrame:
+    """``docs`` and, behind its columns, the fingerprints ``fp`` as signed 64-bit numbers."""
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], dtype=np.uint64)
-            yield pa.record_batch({"doc_id": b.column(0), "fp": pa.array(fps.view(np.int64), pa.int64())})
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+            fps = np.array([fingerprint(t.as_py(), words) for t in b.column(at)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64), pa.int64())], names=[*b.schema.names, "fp"])
+    return docs.mapInArrow(run, schema)
 
 
 def tables(blocks: int, max_bits: int) -> list[int]:
@@ -240,13 +243,34 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     separate rows; an empty table gives an empty result; other columns are
     ignored.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, words), "simhash-fp")
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = cut(fingerprints(rows, "text", words).select("doc_id", "fp"), "simhash-fp")
+    by_fp = _components(rows, F.min("doc_id"), max_bits, blocks, task_rows)
+    return (rows.join(by_fp, "fp")
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")))
+
+
+def _components(rows: DataFrame, first: Column, max_bits: int, blocks: int | None, task_rows: int) -> DataFrame:
+    """(fp, first): for each distinct fingerprint of ``rows``, the smallest
+    value of the aggregate ``first`` over its whole component."""
+    distinct = cut(rows.groupBy("fp").agg(first.alias("first")), "simhash-distinct")
     links = hamming_links(distinct.select("fp"), max_bits, blocks, task_rows)
     comp = cut(connected_components(links.toDF("u", "v")), "simhash-components")
     named = (distinct.join(comp, F.col("fp") == F.col("node"), "left")
-             .select("fp", "rep", F.coalesce("component", "fp").alias("c")))
-    least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    by_fp = named.join(least, "c").select("fp", "component_id")
-    return (rows.join(by_fp, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+             .select("fp", "first", F.coalesce("component", "fp").alias("c")))
+    return named.join(named.groupBy("c").agg(F.min("first").alias("least")), "c").select("fp", F.col("least").alias("first"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, max_bits: int = 3,
+                     blocks: int | None = None, task_rows: int = 100_000) -> DataFrame:
+    """``docs`` with all its columns and one row of each component: the one
+    with the smallest id (null ids last; of rows that share it, the first in
+    the table).  Rows get numbers, which are written down with the fingerprints."""
+    numbered = docs.withColumns({"_row": F.monotonically_increasing_id()})
+    rows = fingerprints(numbered.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), "_row",
+                                        *[F.col(f"`{c}`").alias(f"kept_{k}") for k, c in enumerate(docs.columns)]), "text", words)
+    rows = cut(rows.drop("text"), "simhash-rows")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("_row").alias("row"))
+    stay = _components(rows.select("fp", "id", "_row"), F.min(order), max_bits, blocks, task_rows).select(
+        F.col("first.row").alias("_row")).distinct()
+    return rows.join(stay, "_row", "left_semi").select(*[F.col(f"kept_{k}").alias(c) for k, c in enumerate(docs.columns)])
