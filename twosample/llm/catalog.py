@@ -17,6 +17,7 @@ from .mixing import mix
 from .kd_sharding import kd_shards
 from .quality_gam import quality_scores
 from .simhash import simhash_components
+from .suffix_dedup import strip_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +119,8 @@ o AS (SELECT docs.*, src.tokens AS leaf_tokens, src.budget AS leaf_budget, src.b
 r AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM o)
 SELECT doc_id, domain, lang, source, tokens, leaf_tokens, leaf_budget,
     (rounds + CASE WHEN part_budget > 0 AND 2 * run - tokens <= 2 * part_budget THEN 1 ELSE 0 END)::BIGINT AS copies FROM r"""
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strip_repeats(_table(spark, sf_dir, "documents"))
