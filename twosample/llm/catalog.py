@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bm25_decontam import contaminated
 from .common import id_remainder
 from .exact_dedup import exact_dedup
+from .fuzzy_lines import dedup_lines
 from .hd_langid import identify
 from .license_scan import scan_licenses
 from .mixing import mix
@@ -124,3 +125,8 @@ SELECT doc_id, domain, lang, source, tokens, leaf_tokens, leaf_budget,
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strip_repeats(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents"))
