@@ -11,81 +11,61 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twosample.functions import special
 
-# Exact Mann-Whitney distribution is used, as in the usual default, when one
-# group has at most 8 values and there are no ties; the table it needs grows
-# with n1*n2, so beyond this product the normal approximation is used.
+# Fixed value: the exact Mann-Whitney distribution is used when one group has
+# at most this many values and there are no ties, whatever the other's size.
 MW_EXACT_MAX_GROUP = 8
-MW_EXACT_MAX_PRODUCT = 100_000
 
 
-def _f(x) -> float:
-    if x is None:
-        return math.nan
-    try:
-        x = float(x)
-    except (TypeError, ValueError):
-        return math.nan
-    return x
-
-
-def _apply(fn, *series: pd.Series) -> pd.Series:
-    return pd.Series([fn(*args) for args in zip(*series)], dtype="float64")
+def _a(s: pd.Series) -> np.ndarray:
+    return pd.to_numeric(s, errors="coerce").to_numpy(dtype=float, na_value=np.nan)
 
 
 @F.pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of a t statistic."""
-    return _apply(lambda a, b: special.t_two_sided(_f(a), _f(b)), t, df)
+    return pd.Series(special.t_two_sided(_a(t), _a(df)))
 
 
 @F.pandas_udf(T.DoubleType())
 def chi2_pvalue(x: pd.Series, k: pd.Series) -> pd.Series:
     """Upper-tail p-value of a chi-square statistic with k degrees of freedom."""
-    return _apply(lambda a, b: special.chi2_sf(_f(a), _f(b)), x, k)
-
-
-@F.pandas_udf(T.DoubleType())
-def norm_sf(z: pd.Series) -> pd.Series:
-    """Upper tail of the standard normal."""
-    return _apply(lambda a: special.norm_sf(_f(a)), z)
-
-
-def _mw_p(u1, n1, n2, tie_term, max_tie) -> float:
-    u1, n1, n2, tie_term = _f(u1), _f(n1), _f(n2), _f(tie_term)
-    if any(math.isnan(v) for v in (u1, n1, n2)) or n1 < 1 or n2 < 1:
-        return math.nan
-    prod = n1 * n2
-    u = max(u1, prod - u1)
-    ties = max_tie is not None and _f(max_tie) > 1
-    if (not ties and min(n1, n2) <= MW_EXACT_MAX_GROUP
-            and prod <= MW_EXACT_MAX_PRODUCT):
-        return min(1.0, 2.0 * special.mannwhitney_exact_sf(u, int(n1), int(n2)))
-    n = n1 + n2
-    if math.isnan(tie_term):
-        tie_term = 0.0
-    var = prod / 12.0 * ((n + 1.0) - tie_term / (n * (n - 1.0)))
-    if var <= 0:
-        return math.nan
-    z = (u - prod / 2.0 - 0.5) / math.sqrt(var)
-    return min(1.0, 2.0 * special.norm_sf(z))
+    return pd.Series(special.chi2_sf(_a(x), _a(k)))
+
+
+def mannwhitney_p(u1, n1, n2, tie_term, max_tie) -> np.ndarray:
+    """Two-sided Mann-Whitney p-values: exact where one group is small and no
+    value is tied, else normal with continuity and tie corrections.  Where all values
+    are equal, no U is more extreme, so p is 1."""
+    u1, n1, n2, tie_term, max_tie = (np.asarray(v, dtype=float) for v in (u1, n1, n2, tie_term, max_tie))
+    ok = ~(np.isnan(u1) | np.isnan(n1) | np.isnan(n2)) & (n1 >= 1) & (n2 >= 1)
+    prod, n = n1 * n2, n1 + n2
+    u = np.maximum(u1, prod - u1)
+    with np.errstate(all="ignore"):
+        var = prod / 12.0 * ((n + 1.0) - np.nan_to_num(tie_term) / (n * (n - 1.0)))
+        z = (u - prod / 2.0 - 0.5) / np.sqrt(var)
+    out = np.where(var > 0, np.minimum(1.0, 2.0 * special.norm_sf(np.where(var > 0, z, 0.0))), 1.0)
+    exact = ok & (np.minimum(n1, n2) <= MW_EXACT_MAX_GROUP) & ~(max_tie > 1)
+    for k in np.flatnonzero(exact):
+        out[k] = min(1.0, 2.0 * special.mannwhitney_exact_sf(u[k], n1[k], n2[k]))
+    return np.where(ok, out, np.nan)
 
 
 @F.pandas_udf(T.DoubleType())
 def mannwhitney_pvalue(u1: pd.Series, n1: pd.Series, n2: pd.Series,
                        tie_term: pd.Series, max_tie: pd.Series) -> pd.Series:
-    """Two-sided Mann-Whitney p-value (exact for small tie-free groups)."""
-    return _apply(_mw_p, u1, n1, n2, tie_term, max_tie)
+    """``mannwhitney_p`` of one row per test."""
+    return pd.Series(mannwhitney_p(_a(u1), _a(n1), _a(n2), _a(tie_term), _a(max_tie)))
 
 
 @F.pandas_udf(T.DoubleType())
 def shapiro_pvalue(w: pd.Series, n: pd.Series) -> pd.Series:
     """Royston's p-value for the Shapiro-Wilk W."""
-    return _apply(lambda a, b: special.shapiro_p(_f(a), None if b is None or
-                                                 (isinstance(b, float) and math.isnan(b))
-                                                 else int(b)), w, n)
+    return pd.Series([special.shapiro_p(a, None if math.isnan(b) else int(b)) for a, b in zip(_a(w), _a(n))],
+                     dtype="float64")
