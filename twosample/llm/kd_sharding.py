@@ -6,95 +6,75 @@ A point is a document with its metadata: size, language, source, id, each
 mapped to 32 bits (numbers scaled by their range, strings hashed).  Equal texts
 take the metadata of their smallest id, so they are one place in the tree.
 The weighted median of a node is found by counting, not by sorting: bytes per
-16-bit digit of the key (dimension value, text hash, id), then again inside
-the one digit where the target falls.  Each pass is one aggregate with
+leading digits of the key (dimension value, text hash, id in hex), then again
+inside the one prefix where the target falls.  Each pass is one aggregate with
 map-side combine for all nodes of a level, so neither a hot source nor a hot
 text meets in one task; the driver gets one row per node.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
-DIGITS = [("v", 16), ("v", 0)] + [("h", s) for s in (48, 32, 16, 0)] + [("u", s) for s in (48, 32, 16, 0)]
-
-
-def _digit(k: int) -> Column:
-    name, shift = DIGITS[k]
-    return F.shiftrightunsigned(F.col(name), shift).bitwiseAND(F.lit(0xFFFF)).cast("int")
+DIGIT = 4                               # hex digits that a pass tells apart
+DIMS = ["source", "lang", "bytes", "id"]
 
 
 @dataclass
 class _Node:
-    """A node that is to be split: ``leaves`` below it, path of the cut so far."""
+    """A node that is to be split in ``leaves``: the cut's path of digits so far."""
     id: int
     leaves: int
     bytes: int
-    dim: str
-    path: list[int] = field(default_factory=list)
+    dim: int
+    path: str = ""
     below: int = 0          # bytes ahead of the path
-    after: bool = False     # the cut lies behind the path's digit, else ahead of it
+    after: bool = False     # the cut lies behind the path, else ahead of it
     done: bool = False
 
-    @property
-    def left(self) -> int:
-        return self.leaves // 2
-
     @property
     def goal(self) -> float:
-        return self.bytes * self.left / self.leaves
+        return self.bytes * (self.leaves // 2) / self.leaves
 
-    def inside(self) -> Column:
-        c = F.lit(True)
-        for k, d in enumerate(self.path):
-            c = c & (_digit(k) == d)
-        return c
 
-    def is_left(self) -> Column:
-        last = len(self.path) - 1
-        c = (_digit(last) <= self.path[last]) if self.after else (_digit(last) < self.path[last])
-        for k in range(last - 1, -1, -1):
-            c = (_digit(k) < self.path[k]) | ((_digit(k) == self.path[k]) & c)
-        return c
+def _listed(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A table of one short row per node, which Spark knows the size of."""
+    value = lambda x: f"'{x}'" if isinstance(x, str) else str(x)
+    return spark.sql("SELECT * FROM VALUES " + ", ".join("(" + ", ".join(map(value, r)) + ")" for r in rows) + f" AS t({names})")
 
 
-def _case(nodes: list[_Node], what, other: Column) -> Column:
-    c = None
-    for n in nodes:
-        c = F.when(F.col("node") == n.id, what(n)) if c is None else c.when(F.col("node") == n.id, what(n))
-    return other if c is None else c.otherwise(other)
+def _hex(c: Column, digits: int) -> Column:
+    return F.lpad(F.hex(c), digits, "0")
 
 
 def _cut_nodes(points: DataFrame, nodes: list[_Node], slack: float, group_slack: float) -> None:
-    """Sets the cut of every node of one level."""
-    for k in range(len(DIGITS)):
+    """Sets the cut of every node of one level; ``points`` have their key."""
+    spark, digits = points.sparkSession, 8 + 16 + 16
+    for at in range(0, digits, DIGIT):
         open_ = [n for n in nodes if not n.done]
         if not open_:
             return
-        sums = (points.filter(F.col("node").isin([n.id for n in open_]))
-                .filter(_case(open_, _Node.inside, F.lit(False)))
-                .groupBy("node", _digit(k).alias("d"))
+        goals = _listed(spark, [(n.id, n.path, float(n.goal - n.below)) for n in open_], "node, path, goal")
+        sums = (points.join(goals, "node").filter(F.substring("key", 1, at) == F.col("path"))
+                .groupBy("node", "goal", F.substring("key", at + 1, DIGIT).alias("d"))
                 .agg(F.sum("size").alias("b"), F.min("h").alias("h0"), F.max("h").alias("h1"),
                      F.min("u").alias("u0"), F.max("u").alias("u1")))
         run = Window.partitionBy("node").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-        goal = _case(open_, lambda n: F.lit(float(n.goal - n.below)), F.lit(0.0))
-        found = (sums.withColumn("upto", F.sum("b").over(run)).filter(F.col("upto") >= goal)
-                 .groupBy("node").agg(F.min_by(F.struct("d", "b", "upto", "h0", "h1", "u0", "u1"), "d").alias("x")))
-        rows = {r["node"]: r["x"] for r in found.collect()}
+        rank = Window.partitionBy("node").orderBy("d")
+        found = (sums.withColumn("upto", F.sum("b").over(run)).filter(F.col("upto") >= F.col("goal"))
+                 .withColumn("k", F.row_number().over(rank)).filter("k = 1"))
+        rows = {r["node"]: r for r in found.collect()}
         for n in open_:
             x = rows[n.id]
-            n.path.append(x["d"])
+            n.path += x["d"]
             over, under = n.below + x["upto"] - n.goal, n.goal - (n.below + x["upto"] - x["b"])
-            n.after = over <= under
-            one_text = x["h0"] == x["h1"]
-            near = min(over, under)
-            n.done = (near <= slack * n.bytes or (one_text and (x["u0"] == x["u1"] or near <= group_slack * n.bytes))
-                      or k == len(DIGITS) - 1)
+            n.after, near, one_text = over <= under, min(over, under), x["h0"] == x["h1"]
+            n.done = near <= slack * n.bytes or (one_text and (x["u0"] == x["u1"] or near <= group_slack * n.bytes))
             n.below += x["upto"] - x["b"]
 
 
@@ -117,7 +97,7 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
     """
     if (target_bytes is None) == (shards is None):
         raise ValueError("give target_bytes or shards")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    spark, text = docs.sparkSession, F.coalesce(F.col(text_col), F.lit(""))
     rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"),
                            (F.octet_length(text) + 1).cast("long").alias("size"),
                            F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"),
@@ -139,32 +119,35 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
                       F.coalesce("gsource", "source").alias("source"), F.coalesce("glang", "lang").alias("lang"),
                       scaled(F.coalesce("rep", "doc_id"), span["i0"], span["i1"]).alias("id"),
                       scaled(F.col("size"), span["s0"], span["s1"]).alias("bytes")))
-    points = cut(points, "kd-points").withColumn("node", F.lit(0))
-    dims = ["source", "lang", "bytes", "id"]
+    points = cut(points.withColumn("node", F.lit(0)), "kd-points")
     leaves = shards if shards else max(1, -(-total // target_bytes))
     todo, next_id, order = {0: leaves}, 1, [0]
     while total and any(k > 1 for k in todo.values()):
         open_ids = [i for i, k in todo.items() if k > 1]
         wide = (points.filter(F.col("node").isin(open_ids)).groupBy("node")
-                .agg(F.sum("size").alias("b"), *[(F.max(d) - F.min(d)).alias(d) for d in dims]).collect())
-        nodes = [_Node(r["node"], todo[r["node"]], r["b"], max(dims, key=lambda d, r=r: r[d])) for r in wide]
+                .agg(F.sum("size").alias("b"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMS]).collect())
+        nodes = [_Node(r["node"], todo[r["node"]], r["b"], max(range(len(DIMS)), key=lambda k, r=r: r[DIMS[k]])) for r in wide]
+        for i in set(open_ids) - {n.id for n in nodes}:     # nodes without rows
+            todo[i] = 1
         if not nodes:
             break
-        points = points.withColumn("v", _case(nodes, lambda n: F.col(n.dim), F.lit(0)))     # a column of this level
-        _cut_nodes(points, nodes, slack, group_slack)
+        dims = _listed(spark, [(n.id, n.dim + 1) for n in nodes], "node, dim")
+        key = F.concat(_hex(F.element_at(F.array(*DIMS), F.col("dim")), 8), _hex(F.col("h"), 16), _hex(F.col("u"), 16))
+        points = points.join(dims, "node", "left").withColumn("key", key).drop("dim")
+        _cut_nodes(points.filter("key is not null"), nodes, slack, group_slack)
         right = {}
         for n in nodes:
             right[n.id], next_id = next_id, next_id + 1
-            todo[n.id], todo[right[n.id]] = n.left, n.leaves - n.left
+            todo[n.id], todo[right[n.id]] = n.leaves // 2, n.leaves - n.leaves // 2
             order.insert(order.index(n.id) + 1, right[n.id])
-        for i in open_ids:
-            if i not in right:      # a node without rows
-                todo[i] = 1
-        points = cut(points.withColumn("node", _case(
-            nodes, lambda n: F.when(n.is_left(), F.lit(n.id)).otherwise(F.lit(right[n.id])), F.col("node"))).drop("v"),
-            "kd-level")
-    number = F.create_map(*[F.lit(x) for pair in ((i, k) for k, i in enumerate(order)) for x in pair])
-    placed = points.select("doc_id", "size", "text_crc32", number[F.col("node")].alias("shard"), "h")
+        cuts = _listed(spark, [(n.id, n.path, int(n.after), right[n.id]) for n in nodes], "node, path, after, right_id")
+        head = F.expr("substring(key, 1, length(path))")
+        is_left = (head < F.col("path")) | ((head == F.col("path")) & (F.col("after") == 1))
+        points = cut(points.join(cuts, "node", "left").withColumn(
+            "node", F.when(F.col("path").isNull() | is_left, F.col("node")).otherwise(F.col("right_id"))
+        ).drop("key", "path", "after", "right_id"), "kd-level")
+    number = _listed(spark, [(i, k) for k, i in enumerate(order)], "node, shard")
+    placed = points.join(number, "node").select("doc_id", "size", "text_crc32", "shard", "h")
     return _slots(placed, max(1, (span["rows"] or 0) // (len(order) * slot_rows))).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
