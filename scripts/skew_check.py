@@ -71,7 +71,7 @@ def main(sf_dir: str) -> None:
         "kde_curve": DI.kde_curve(fr, keys),
         "chisq_binned": CS.chisq_binned(fr, keys),
         "shapiro": shapiro(fr, [*keys, "g"]),
-        "sample_groups": sample_groups(fr, keys, 1000, ["rid"], split_rows=SPLIT),
+        "sample_groups": sample_groups(fr, keys, 1000, ["rid"]),
         "paired_hot_pair_key": paired_t(pair_align(fr, keys, "pair"), keys),
     }
     for name, df in jobs.items():

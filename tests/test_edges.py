@@ -79,7 +79,7 @@ def test_single_value_groups(spark):
 def test_all_values_tied_mannwhitney(spark):
     from twosample.operators.mannwhitney import mannwhitney
     r = mannwhitney(frame(spark, [5.0] * 10, [5.0] * 12), ["_all"]).collect()[0]
-    assert r.statistic == pytest.approx(60.0) and math.isnan(r.p_value)
+    assert r.statistic == pytest.approx(60.0) and r.p_value == 1.0
 
 
 def test_infinity_t_is_nan_and_binning_raises(spark):
@@ -95,11 +95,76 @@ def test_min_equals_max_binning(spark):
     assert len(r) == 1 and (r[0].o1, r[0].o2) == (5, 3)
 
 
-def test_expected_zero_category_is_nan(spark):
-    c = spark.createDataFrame([(0, "a", 3.0, 0.0), (0, "b", 5.0, 4.0)],
-                              "_all int, cat string, observed double, expected double")
+def test_expected_zero_category(spark):
+    schema = "_all int, cat string, observed double, expected double"
+    c = spark.createDataFrame([(0, "a", 3.0, 0.0), (0, "b", 5.0, 4.0)], schema)
     r = CS.chisq_gof(c, ["_all"]).collect()[0]
-    assert math.isnan(r.statistic)
+    assert r.statistic == math.inf and r.p_value == 0.0
+    c = spark.createDataFrame([(0, "a", 0.0, 0.0), (0, "b", 5.0, 4.0)], schema)
+    assert math.isnan(CS.chisq_gof(c, ["_all"]).collect()[0].statistic)
+
+
+@pytest.mark.parametrize("equal_var", [True, False])
+def test_zero_variance_with_different_means_is_infinite(spark, equal_var):
+    r = two_sample_t(frame(spark, [3.0] * 4, [5.0] * 4), ["_all"], equal_var).collect()[0]
+    assert r.statistic == -math.inf and r.p_value == 0.0
+
+
+def test_constant_paired_difference(spark):
+    df = spark.createDataFrame([(k, g, float(k + (g == "b"))) for k in range(5) for g in "ab"], "k int, grp string, v double")
+    r = paired(df, "v", "grp", ("a", "b"), "k", checks=False).collect()[0]
+    assert r.statistic == -math.inf and r.p_value == 0.0 and r.significant
+
+
+def test_levene_without_spread_inside(spark):
+    from twosample.operators.levene import levene
+    r = levene(frame(spark, [1.0, 3.0], [5.0, 5.0]), ["_all"]).collect()[0]
+    assert r.levene_w == math.inf and r.levene_p == 0.0 and r.equal_variance is False
+
+
+def test_histogram_over_infinity_raises(spark):
+    from twosample.operators.distribution import hist_density, kde_curve
+    fr = frame(spark, [1.0, float("inf"), 3.0], [1.0, 2.0])
+    with pytest.raises(Exception, match="finite"):
+        hist_density(fr, ["_all"]).collect()
+    assert {r.g for r in kde_curve(fr, ["_all"]).collect()} == {2}
+
+
+def test_null_pair_keys_match_nothing(spark):
+    df = spark.createDataFrame([(None, "a", 100.0), (None, "b", 1.0), (1, "a", 1.0), (1, "b", 2.0), (2, "a", 1.0), (2, "b", 4.0)],
+                               "k int, grp string, v double")
+    r = paired(df, "v", "grp", ("a", "b"), "k", checks=False).collect()[0]
+    assert r.rows_tested == 4 and r.statistic == pytest.approx(-2.0)
+    with pytest.raises(Exception, match="pair keys"):
+        paired(df, "v", "grp", ("a", "b"), "k", checks=False, require_complete=True).collect()
+
+
+def test_null_by_key_is_a_group_like_any_other(spark):
+    from twosample.operators import distribution as DI
+    from twosample.operators import ranks as RK
+    from twosample.operators.levene import levene
+    rng = np.random.default_rng(3)
+    vals = [(int(g), float(v)) for g, v in zip(rng.integers(1, 3, 60), rng.normal(10, 3, 60).round(2))]
+    both = spark.createDataFrame([(k, g, v) for k in (None, "x") for g, v in vals], "k string, g tinyint, v double")
+    for op in (lambda f: DI.box_stats(f, ["k"]), lambda f: DI.hist_density(f, ["k"]), lambda f: DI.kde_curve(f, ["k"]),
+               lambda f: levene(f, ["k"]), lambda f: CS.chisq_binned(f, ["k"]), lambda f: CS.chisq_auto(f, ["k"]),
+               lambda f: RK.midranks(f, ["k"]), lambda f: DI.qq_points(f, ["k"]), lambda f: shapiro(f, ["k", "g"])):
+        rows = [r.asDict() for r in op(both).collect()]
+        got = {k: sorted(str({c: v for c, v in r.items() if c != "k"}) for r in rows if r["k"] == k) for k in (None, "x")}
+        assert got[None] and got[None] == got["x"]
+
+
+def test_quantiles_of_squeezed_groups(spark):
+    from twosample.operators.ranks import exact_quantiles
+    x = np.random.default_rng(8).lognormal(0, 2, 30_000).round(1)
+    r = exact_quantiles(frame(spark, x), ["_all"], [0.0, 0.25, 0.5, 0.999, 1.0], whole_rows=10).collect()[0]
+    assert [r.q0, r.q1, r.q2, r.q3, r.q4] == pytest.approx(list(np.quantile(x, [0.0, 0.25, 0.5, 0.999, 1.0])))
+
+
+def test_shapiro_w_above_the_calibrated_size(spark):
+    x = list(np.random.default_rng(5).normal(0, 1, 5200).round(3))
+    r = shapiro(frame(spark, x), ["_all", "g"]).collect()[0]
+    assert r.sw_w == pytest.approx(swilk_reference(x), rel=1e-9) and r.sw_p is None and r.is_normal
 
 
 def test_paired_unmatched_keys(spark):

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 P_DISPLAY_FLOOR = 1e-4
 P_DECIMALS_FMT = "p = %.4f"
 P_SMALL_FMT = "p < 0.0001 (%.2e)"
-# Headline words for the two outcomes.
+# Headline words for the two outcomes, and what parts them.
 HEADLINE_SIGNIFICANT = "SIGNIFICANT DIFFERENCE"
 HEADLINE_NOT_SIGNIFICANT = "NO SIGNIFICANT DIFFERENCE"
+HEADLINE_BAR, HEADLINE_GAP = "   |   ", "   "
 
 def _d(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast("double")
@@ -88,9 +89,9 @@ def headline_text(significant, test_name, p) -> Column:
     sig = significant if isinstance(significant, Column) else F.col(significant)
     tn = test_name if isinstance(test_name, Column) else F.lit(test_name)
     return F.concat_ws(
-        "   |   ",
+        HEADLINE_BAR,
         F.when(sig, F.lit(HEADLINE_SIGNIFICANT)).otherwise(F.lit(HEADLINE_NOT_SIGNIFICANT)),
-        F.concat_ws("   ", F.initcap(F.regexp_replace(tn, "_", " ")),
+        F.concat_ws(HEADLINE_GAP, F.initcap(F.regexp_replace(tn, "_", " ")),
                     F.when(_d(p).isNotNull(), F.format_string("p = %.4f", _d(p)))))
 
 

@@ -23,19 +23,13 @@ from twosample.functions.bins import (bin_edges, bin_index, n_bins_for,
                                       rescale_expected, widened_range)
 from twosample.functions.pvalues import chi2_pvalue
 from twosample.operators.prepare import nan_if_null
-from twosample.operators.ranks import attach, value_counts
-
-
-def _vc(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct values per key with both groups' counts."""
-    return value_counts(frame, keys, "v", [F.count(F.when(F.col("g") == 1, 1)).alias("t1")])
+from twosample.operators.ranks import attach, attach_stats, few_keys, null_safe
 
 
+@null_safe
 def bin_plan(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
     """H1: per key the joint range, bin count and edge array."""
-    st = _vc(frame, keys).groupBy(*keys).agg(
-        F.sum("t").alias("N"), F.sum("t1").alias("_n1"), F.min("v").alias("lo0"),
-        F.max("v").alias("hi0")).drop("_n1")
+    st = frame.groupBy(*keys).agg(F.count("v").alias("N"), F.min("v").alias("lo0"), F.max("v").alias("hi0"))
     # Bin edges are undefined over an infinite range
     finite = F.abs(F.col("lo0")) < F.lit(float("inf"))
     finite = finite & (F.abs(F.col("hi0")) < F.lit(float("inf")))
@@ -46,17 +40,20 @@ def bin_plan(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
     return st.withColumn("edges", bin_edges(F.col("lo"), F.col("hi"), F.col("k"))).drop("lo0", "hi0")
 
 
+@null_safe
 def binned_counts(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFrame:
-    """H2/H3: per key and non-empty bin, counts of both groups."""
-    plan = bin_plan(frame, keys, cap)
-    b = attach(_vc(frame, keys), plan, keys, "v", "inner").withColumn(
+    """H2/H3: per key and non-empty bin, counts of both groups.  Raw rows get
+    their key's plan (broadcast if the keys are few) and are counted per bin
+    before any shuffle."""
+    b = attach_stats(frame.select(*keys, "g", "v"), bin_plan(frame, keys, cap), keys, "v", few_keys(frame, keys)).withColumn(
         "bin", bin_index(F.col("v"), F.col("edges"), F.col("lo"), F.col("hi"), F.col("k")))
     return b.groupBy(*keys, "bin").agg(
-        F.sum("t1").alias("o1"),
-        F.sum(F.col("t") - F.col("t1")).alias("o2"),
+        F.count(F.when(F.col("g") == 1, 1)).alias("o1"),
+        F.count(F.when(F.col("g") == 2, 1)).alias("o2"),
         F.first("edges").alias("edges"))
 
 
+@null_safe
 def contingency_2xk(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Chi-square of a 2 x k table given as rows ``(keys, o1, o2, ...)``.
 
@@ -104,6 +101,7 @@ def category_counts(frame: DataFrame, keys: Sequence[str], category: str,
         F.sum(F.when(F.col("g") == 2, w).otherwise(F.lit(0.0))).alias("expected"))
 
 
+@null_safe
 def chisq_gof(counts: DataFrame, keys: Sequence[str], observed: str = "observed",
               expected: str | None = "expected") -> DataFrame:
     """D9 (``expected`` given, H4 rescale) / D10 (uniform): one row per key."""
@@ -119,20 +117,23 @@ def chisq_gof(counts: DataFrame, keys: Sequence[str], observed: str = "observed"
     else:
         e = rescale_expected(F.col(expected).cast("double"), F.col("_osum"), F.col("_esum"))
     c = c.withColumn("_e", e).withColumn(
-        "_term", F.try_divide((o - F.col("_e")) ** 2, F.col("_e")))
+        "_term", F.when((F.col("_e") == 0) & (o != 0), F.lit(float("inf"))).otherwise(
+            F.try_divide((o - F.col("_e")) ** 2, F.col("_e"))))
     out = c.groupBy(*keys).agg(
         F.sum("_term").alias("_stat"), F.first("_k").alias("k"),
-        F.first("_osum").alias("_osum"), F.count("_term").alias("_finite"))
-    stat = F.when(F.col("_finite") < F.col("k"), F.lit(float("nan"))).otherwise(
+        F.first("_osum").alias("_osum"), F.count("_term").alias("_defined"))
+    # nothing observed where nothing is expected is undefined (0 / 0)
+    stat = F.when(F.col("_defined") < F.col("k"), F.lit(float("nan"))).otherwise(
         nan_if_null(F.col("_stat")))
     out = (out.withColumn("statistic", stat)
               .withColumn("df", (F.col("k") - 1).cast("double"))
               .withColumn("n_total", F.col("_osum").cast("long")))
     out = out.withColumn("p_value", F.when(F.col("k") <= 1, F.lit(float("nan"))).otherwise(
         nan_if_null(chi2_pvalue(F.col("statistic"), F.col("df")))))
-    return out.drop("_stat", "_osum", "_finite")
+    return out.drop("_stat", "_osum", "_defined")
 
 
+@null_safe
 def rescaled_counts(counts: DataFrame, keys: Sequence[str], observed: str = "observed",
                     expected: str = "expected") -> DataFrame:
     """H4 as a table: each category's expected count scaled to the observed
@@ -152,23 +153,28 @@ def has_fraction(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.bool_or(F.pmod(F.col("v"), F.lit(1.0)) != 0).alias("non_integer"))
 
 
+@null_safe
 def chisq_auto(frame: DataFrame, keys: Sequence[str], category: str | None = None,
                cap: int = 10) -> DataFrame:
-    """Pick the binned contingency test or the fit test per key."""
+    """The binned contingency test for keys with a value that is not
+    whole; else a fit test of group 1 to group 2 by ``category``, or, without one,
+    a contingency table of the whole values.  Each key's rows go to its own
+    variant only; ``variant`` names it."""
     flag = has_fraction(frame, keys)
-    binned = chisq_binned(frame, keys, cap).select(
+    routed = attach_stats(frame, flag, keys, "v", few_keys(frame, keys))
+    binned = chisq_binned(routed.filter("non_integer"), keys, cap).select(
         *keys, "statistic", "df", "p_value", "n_total", F.lit("binned").alias("variant"))
+    whole = routed.filter("not non_integer")
     if category is None:
         # integer data without a category key: the values themselves are the
         # categories of a 2 x k contingency table
-        cells = frame.groupBy(*keys, "v").agg(
+        cells = whole.groupBy(*keys, "v").agg(
             F.count(F.when(F.col("g") == 1, 1)).alias("o1"),
             F.count(F.when(F.col("g") == 2, 1)).alias("o2"))
         ints = contingency_2xk(cells, keys).withColumn("n_total", F.col("n1") + F.col("n2"))
         ints = ints.select(*keys, "statistic", "df", "p_value", "n_total",
                            F.lit("contingency").alias("variant"))
     else:
-        ints = chisq_gof(category_counts(frame, keys, category, weight="v"), keys).select(
+        ints = chisq_gof(category_counts(whole, keys, category, weight="v"), keys).select(
             *keys, "statistic", "df", "p_value", "n_total", F.lit("goodness_of_fit").alias("variant"))
-    both = binned.unionByName(ints).join(flag, list(keys))
-    return both.filter(F.col("non_integer") == (F.col("variant") == "binned")).drop("non_integer")
+    return binned.unionByName(ints)

@@ -3,9 +3,8 @@
 * I1 ``hist_density``: 30 equal-width bins over each group's own range,
   density = count / (n * width); empty bins are emitted too.
 * I2 ``kde_curve``: Gaussian kernel density at 300 evenly spaced points from
-  the group min to max, Scott bandwidth (sample std * n^(-1/5)).  Values are
-  collapsed to distinct (value, count) first, and each value only feeds the
-  grid points within 12 bandwidths (the kernel beyond is < 1e-31 of its
+  the group min to max, Scott bandwidth (sample std * n^(-1/5)).  Each
+  value only feeds the grid points within 12 bandwidths (the kernel beyond is < 1e-31 of its
   peak), so no data x grid cross product is formed.
 * I3 ``group_means``.
 * I4 ``box_stats``: exact interpolated quartiles (distributed, see
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 
 from twosample.functions.bins import bin_edges, bin_index, edge_at, widened_range
 from twosample.functions.special import with_norm_ppf
-from twosample.operators.ranks import (DEFAULT_LEVELS, attach, exact_quantiles,
-                                       observation_ranks, value_counts)
+from twosample.operators.ranks import (DEFAULT_LEVELS, attach_stats, exact_quantiles, few_keys,
+                                       null_safe, observation_ranks)
 
 HIST_BINS = 30
 KDE_POINTS = 300
@@ -33,20 +32,23 @@ KDE_REACH = 12.0
 WHISKER = 1.5
 
 
+@null_safe
 def hist_density(frame: DataFrame, keys: Sequence[str], bins: int = HIST_BINS) -> DataFrame:
     """``(keys, g, bin, left, right, count, density)`` for every bin.
-    Binned from the distinct-value table (values with counts)."""
-    gk = [*keys, "g"]
-    vc = value_counts(frame, gk, "v")
-    st = vc.groupBy(*gk).agg(F.sum("t").alias("n"), F.min("v").alias("lo0"),
-                             F.max("v").alias("hi0"))
+    Raw rows get their group's range (broadcast if the keys are few) and are
+    counted per bin before any shuffle; an infinite range is an error."""
+    gk, small = [*keys, "g"], few_keys(frame, keys)
+    st = frame.groupBy(*gk).agg(F.count("v").alias("n"), F.min("v").alias("lo0"), F.max("v").alias("hi0"))
+    finite = (F.abs(F.col("lo0")) < float("inf")) & (F.abs(F.col("hi0")) < float("inf"))
+    st = st.withColumn("lo0", F.when(finite, F.col("lo0")).otherwise(
+        F.raise_error(F.lit("histogram bins need finite values")).cast("double")))
     lo, hi = widened_range(F.col("lo0"), F.col("hi0"))
     st = (st.withColumn("lo", lo).withColumn("hi", hi).withColumn("k", F.lit(bins))
             .withColumn("edges", bin_edges(F.col("lo"), F.col("hi"), F.col("k"))))
-    counts = (attach(vc, st.select(*gk, "lo", "hi", "k", "edges"), gk, "v", "inner")
+    counts = (attach_stats(frame.select(*gk, "v"), st.select(*gk, "lo", "hi", "k", "edges"), gk, "v", small)
               .withColumn("bin", bin_index(F.col("v"), F.col("edges"), F.col("lo"),
                                            F.col("hi"), F.col("k")))
-              .groupBy(*gk, "bin").agg(F.sum("t").alias("count")))
+              .groupBy(*gk, "bin").agg(F.count(F.lit(1)).alias("count")))
     grid = st.select(*gk, "n", "edges", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*gk, "bin"], "left").fillna(0, subset=["count"])
     left, right = edge_at(F.col("edges"), F.col("bin")), edge_at(F.col("edges"), F.col("bin") + 1)
@@ -55,35 +57,32 @@ def hist_density(frame: DataFrame, keys: Sequence[str], bins: int = HIST_BINS) -
                       (F.col("count") / (F.col("n") * (right - left))).alias("density"))
 
 
+@null_safe
 def kde_curve(frame: DataFrame, keys: Sequence[str], points: int = KDE_POINTS) -> DataFrame:
-    """``(keys, g, j, x, density)``; groups with fewer than 2 values or
-    zero spread have no curve."""
-    gk = [*keys, "g"]
+    """``(keys, g, j, x, density)``; groups with fewer than 2 values, zero
+    or undefined spread have no curve.  Contributions beyond ``KDE_REACH``
+    bandwidths (under 1e-31 of the kernel's peak) are left out, so a grid point
+    farther than that from every value has density 0."""
+    gk, small = [*keys, "g"], few_keys(frame, keys)
     st = frame.groupBy(*gk).agg(F.count("v").alias("n"), F.min("v").alias("lo"),
                                 F.max("v").alias("hi"), F.stddev_samp("v").alias("sd"))
-    st = st.filter((F.col("n") > 1) & (F.col("sd") > 0)).withColumn(
+    st = st.filter((F.col("n") > 1) & (F.col("sd") > 0) & ~F.isnan("sd")).withColumn(
         "h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).withColumn(
         "step", (F.col("hi") - F.col("lo")) / F.lit(float(points - 1)))
-    vc = value_counts(frame, gk, "v")
     reach = F.lit(KDE_REACH) * F.col("h")
     j_lo = F.greatest(F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")), F.lit(0))
     j_hi = F.least(F.floor((F.col("v") + reach - F.col("lo")) / F.col("step")), F.lit(points - 1))
-    contrib = (attach(vc, st, gk, "v", "inner")
-               .withColumn("j", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int")))))
-    x = F.when(F.col("j") == points - 1, F.col("hi")).otherwise(
+    at = F.when(F.col("j") == points - 1, F.col("hi")).otherwise(
         F.col("j").cast("double") * F.col("step") + F.col("lo"))
-    contrib = contrib.withColumn("x", x)
     z = (F.col("x") - F.col("v")) / F.col("h")
-    dens = contrib.groupBy(*gk, "j", "x", "n", "h").agg(
-        F.sum(F.col("t") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
-    dens = dens.select(*gk, "j", "x", (F.col("_s") / (F.col("n") * F.col("h")
-                                                      * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
-    # grid points farther than the reach from every value have density 0
-    grid = st.select(*gk, "lo", "hi", "step", F.explode(
-        F.sequence(F.lit(0), F.lit(points - 1))).alias("j"))
-    grid = grid.select(*gk, "j", F.when(F.col("j") == points - 1, F.col("hi")).otherwise(
-        F.col("j").cast("double") * F.col("step") + F.col("lo")).alias("x"))
-    return grid.join(dens.drop("x"), [*gk, "j"], "left").fillna(0.0, subset=["density"])
+    # raw rows feed their grid points and are summed per point before the shuffle
+    dens = (attach_stats(frame.select(*gk, "v"), st, gk, "v", small)
+            .select(*gk, "v", "h", "hi", "lo", "step", F.explode(F.sequence(j_lo.cast("int"), j_hi.cast("int"))).alias("j"))
+            .withColumn("x", at).groupBy(*gk, "j").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s")))
+    grid = st.select(*gk, "n", "h", "lo", "hi", "step", F.explode(
+        F.sequence(F.lit(0), F.lit(points - 1))).alias("j")).withColumn("x", at)
+    return grid.join(dens, [*gk, "j"], "left").select(*gk, "j", "x", (
+        F.coalesce("_s", F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
 def group_means(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,24 +90,24 @@ def group_means(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return frame.groupBy(*keys, "g").agg(F.avg("v").alias("mean"), F.count("v").alias("n"))
 
 
+@null_safe
 def box_stats(frame: DataFrame, keys: Sequence[str], whis: float = WHISKER,
               levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """I4: ``(keys, g, n, q1, median, q3, iqr, whisker_low, whisker_high,
     n_outliers)``."""
-    gk = [*keys, "g"]
-    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", levels, split_rows).select(
+    gk, small = [*keys, "g"], few_keys(frame, keys)
+    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", levels, split_rows, small).select(
         *gk, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - F.lit(whis) * F.col("iqr")
     hi_f = F.col("q3") + F.lit(whis) * F.col("iqr")
     # a value below the lower whisker is exactly a value below the lower
-    # fence (the whisker is the smallest value inside it), so one pass over
-    # the distinct-value table counts outliers and finds both whiskers
-    vc = value_counts(frame, gk, "v")
-    out = attach(vc, q, gk, "v", "inner").groupBy(*gk, "n", "q1", "median", "q3", "iqr").agg(
+    # fence (the whisker is the smallest value inside it), so one aggregate
+    # of raw rows counts outliers and finds both whiskers
+    out = attach_stats(frame.select(*gk, "v"), q, gk, "v", small).groupBy(*gk, "n", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("v") >= lo_f, F.col("v"))).alias("_wl"),
         F.max(F.when(F.col("v") <= hi_f, F.col("v"))).alias("_wh"),
-        F.sum(F.when((F.col("v") < lo_f) | (F.col("v") > hi_f), F.col("t")).otherwise(0))
+        F.sum(F.when((F.col("v") < lo_f) | (F.col("v") > hi_f), 1).otherwise(0))
         .alias("n_outliers"))
     return out.select(*gk, "n", "q1", "median", "q3", "iqr",
                       F.least(F.coalesce("_wl", "q1"), F.col("q1")).alias("whisker_low"),
@@ -124,6 +123,7 @@ def filliben(i, n):
             .otherwise((i.cast("double") - 0.3175) / (nd + 0.365)))
 
 
+@null_safe
 def qq_points(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
               split_rows: int | None = None) -> DataFrame:
     """``(keys, g, i, n, theoretical, sample)`` for every observation."""

@@ -25,9 +25,13 @@ a sort-merge join (with skew splitting) when the number of keys is large.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from twosample.operators.prepare import ALL_KEY
 
 # Buckets are refined in passes: each pass splits every bucket that holds more
 # than ``SPLIT_ROWS`` distinct values at 255 approximate quantiles of its
@@ -35,10 +39,79 @@ from pyspark.sql import functions as F
 # different buckets build in parallel).  Two passes give up to 65,536
 # buckets per key: at 10^12 distinct values per key a bucket window still
 # holds ~1.5*10^7 rows.  A key or bucket at or under ``SPLIT_ROWS`` is left
-# whole (one window task sorts it comfortably), so small inputs build no
+# whole (one window task sorts it in a moment), so small inputs build no
 # sketches at all; the gate is a lazy count aggregate, not a driver decision.
 DEFAULT_LEVELS = (8, 8)
-SPLIT_ROWS = 1 << 22
+SPLIT_ROWS = 1 << 16
+
+# A quantile's bracket (see ``squeeze``): sketch accuracy, its margin in rank,
+# and the group size up to which the bracket is the whole range.
+SKETCH = 10_000
+MARGIN = 4 / SKETCH
+WHOLE_ROWS = 20_000
+
+# Keys that a per-key table may have to be broadcast to raw rows.
+BROADCAST_KEYS = 20_000
+
+_SAFE = "_null_safe_key"
+
+
+def null_safe(fn):
+    """Operators group and join on ``by`` keys that can be null.  Inside the
+    decorated operator each key is a struct around its value: a struct is
+    never null itself and equal structs may hold nulls, so plain equi-joins
+    keep the null key.  Results carry the plain keys again."""
+    @wraps(fn)
+    def run(frame, keys, *args, **kw):
+        plain = [k for k in keys if k not in (ALL_KEY, "g")]
+        if not plain or all(isinstance(frame.schema[k].dataType, T.StructType)
+                            and frame.schema[k].dataType.names == [_SAFE] for k in plain):
+            return fn(frame, keys, *args, **kw)
+
+        def wrap(x):
+            if not isinstance(x, DataFrame) or not set(plain) <= set(x.columns):
+                return x
+            return x.withColumns({k: F.struct(F.col(k).alias(_SAFE)) for k in plain})
+
+        out = fn(wrap(frame), keys, *map(wrap, args), **{k: wrap(v) for k, v in kw.items()})
+        return out.withColumns({k: F.col(k)[_SAFE] for k in plain})
+    return run
+
+
+def few_keys(frame: DataFrame, keys: Sequence[str], limit: int = BROADCAST_KEYS) -> bool:
+    """Whether a table with one row per key is small enough to broadcast.
+    Without ``by`` keys it has two rows at most; else the distinct keys are
+    counted, up to the limit (a scan of the key columns)."""
+    by = [k for k in keys if k not in (ALL_KEY, "g")]
+    return not by or frame.select(*by).distinct().limit(limit + 1).count() <= limit
+
+
+def attach_stats(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: str, small: bool) -> DataFrame:
+    """A one-row-per-key table joined onto raw rows: broadcast if its keys are
+    known to be few, so that the rows do not move; else salted."""
+    return rows.join(F.broadcast(table), list(keys)) if small else attach(rows, table, keys, spread, "inner")
+
+
+def squeeze(frame: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str, small: bool,
+            whole_rows: int = WHOLE_ROWS) -> DataFrame:
+    """``(keys, value, _in)`` with few distinct values, and the same values
+    near the quantiles ``probs``.
+
+    A sketch per key brackets each quantile.  Values in a bracket stay (``_in``
+    = 1); any other becomes the end of the bracket below it, or -infinity.
+    Order is kept, so positions are, too, and nearly all rows collapse before
+    they are shuffled.  Groups of up to ``whole_rows`` rows stay as they are."""
+    marks = [q for p in sorted(probs) for q in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
+    st = frame.groupBy(*keys).agg(F.count(value).alias("_n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
+                                  F.percentile_approx(value, marks, SKETCH).alias("_marks"))
+    rows = attach_stats(frame.select(*keys, value), st, keys, value, small)
+    v, inside, floor = F.col(value), F.lit(False), F.lit(float("-inf"))
+    for j, p in enumerate(sorted(probs)):
+        lo = F.col("_min") if p <= MARGIN else F.when(F.col("_n") <= whole_rows, F.col("_min")).otherwise(F.col("_marks")[2 * j])
+        hi = F.col("_max") if p >= 1 - MARGIN else F.when(F.col("_n") <= whole_rows, F.col("_max")).otherwise(F.col("_marks")[2 * j + 1])
+        inside = inside | ((v >= lo) & (v <= hi))
+        floor = F.when(v > hi, hi).otherwise(floor)
+    return rows.select(*keys, F.when(inside, v).otherwise(floor).alias(value), inside.cast("long").alias("_in"))
 
 
 def _accuracy(levels: int) -> int:
@@ -54,6 +127,12 @@ def value_counts(frame: DataFrame, keys: Sequence[str], value: str = "v",
     return frame.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("t"), *extra)
 
 
+def _solid_counts(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Value counts with ``tin``, the copies that were not collapsed into the value."""
+    solid = F.col("_in") if "_in" in frame.columns else F.lit(1)
+    return value_counts(frame, keys, value, [F.sum(solid).alias("tin")])
+
+
 def _payload(vc: DataFrame, keys: Sequence[str], value: str) -> list[str]:
     skip = set(keys) | {value, "_b", "_sub", "_cuts"}
     return [c for c in vc.columns if c not in skip]
@@ -173,6 +252,7 @@ def bucket_starts(bt: DataFrame, keys: Sequence[str], total: str = "_T") -> Data
               .withColumn("_n", F.sum(total).over(Window.partitionBy(*keys)).cast("long")))
 
 
+@null_safe
 def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v",
                     levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """E1/E2 building block: one row per distinct value with
@@ -185,6 +265,7 @@ def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v",
     return out.select(*keys, value, "t", "before", F.col("_n").alias("n"))
 
 
+@null_safe
 def midranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
              levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Average rank of each distinct value within its key (ties share)."""
@@ -192,6 +273,7 @@ def midranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
     return pos.withColumn("midrank", F.col("before") + (F.col("t") + F.lit(1)) / F.lit(2.0))
 
 
+@null_safe
 def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Mann-Whitney building block over a canonical ``(keys, g, v)`` frame.
 
@@ -219,16 +301,18 @@ def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS, spli
         F.max("_maxt").alias("max_tie"))
 
 
-def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFrame,
-                        value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+@null_safe
+def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFrame, value: str = "v",
+                        levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
     """Value found at 0-based sorted position ``pos`` within each key.
 
     ``targets``: ``(keys..., tid, pos)``; positions outside ``[0, n)`` find
     nothing.  Only the buckets that contain a target are windowed, so the
     work after bucketing is proportional to the number of targets.
-    Returns ``(keys..., tid, pos, value)``.
+    Returns ``(keys..., tid, pos, value)``.  In a squeezed frame a position on
+    a collapsed row finds nothing.
     """
-    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels, split_rows)
+    vc = add_buckets(_solid_counts(frame, keys, value), keys, value, levels, split_rows)
     bt = bucket_starts(vc.groupBy(*keys, "_b").agg(F.sum("t").alias("_T")), keys)
     hits = (targets.join(bt, list(keys))
             .filter((F.col("pos") >= F.col("_start"))
@@ -238,21 +322,28 @@ def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFram
     inside = (vc.join(hit_buckets, [*keys, "_b"])
               .withColumn("_first", F.col("_start") + _before_in_bucket(keys, value)))
     found = inside.join(hits.drop("_start"), [*keys, "_b"]).filter(
-        (F.col("pos") >= F.col("_first")) & (F.col("pos") < F.col("_first") + F.col("t")))
+        (F.col("pos") >= F.col("_first")) & (F.col("pos") < F.col("_first") + F.col("tin")))
     return found.select(*keys, "tid", "pos", F.col(value).alias("value"))
 
 
+@null_safe
 def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                    value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+                    value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None,
+                    small: bool | None = None, whole_rows: int = WHOLE_ROWS) -> DataFrame:
     """Exact linearly interpolated quantiles per key (position (n-1)p), the
     definition of ``percentile`` / ``quantile_cont`` -- without holding a
-    group's values in one aggregation buffer.
+    group's values in one aggregation buffer, and without shuffling values
+    far from the quantiles (``squeeze``).  A quantile outside its bracket, which
+    the sketch's error bound rules out, is an error, not another number.
 
     Returns one row per key with columns ``q0, q1, ...`` in ``probs`` order
     and ``n``.
     """
+    small = few_keys(frame, keys) if small is None else small
+    near = squeeze(frame, keys, probs, value, small, whole_rows)
     # sizes from the same distinct-value table, so it shares its exchange
-    sizes = value_counts(frame, keys, value).groupBy(*keys).agg(F.sum("t").alias("n"))
+    sizes = _solid_counts(near, keys, value).groupBy(*keys).agg(F.sum("t").alias("n"), F.sum("tin").alias("_tin"))
+    sizes = sizes.filter("_tin >= 0").drop("_tin")
     rows = []
     for j, p in enumerate(probs):
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -260,38 +351,28 @@ def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float
         rows.append(F.struct(F.lit(2 * j).alias("tid"), lo.alias("pos")))
         rows.append(F.struct(F.lit(2 * j + 1).alias("tid"),
                              F.least(lo + 1, F.col("n") - 1).alias("pos")))
-    targets = sizes.select(*keys, F.explode(F.array(*rows)).alias("_t")).select(
-        *keys, "_t.tid", "_t.pos")
-    found = values_at_positions(frame, keys, targets, value, levels, split_rows)
-    aggs = []
-    for j, p in enumerate(probs):
-        lo_v = F.max(F.when(F.col("tid") == 2 * j, F.col("value")))
-        hi_v = F.max(F.when(F.col("tid") == 2 * j + 1, F.col("value")))
-        aggs += [lo_v.alias(f"_lo{j}"), hi_v.alias(f"_hi{j}")]
-    wide = found.groupBy(*keys).agg(*aggs)
-    out = sizes.join(wide, list(keys), "left")
+    targets = sizes.select(*keys, "n", F.explode(F.array(*rows)).alias("_t")).select(
+        *keys, "n", "_t.tid", "_t.pos")
+    found = values_at_positions(near, keys, targets, value, levels, split_rows)
+    # sizes and values in one row per key, merged by a union (no join of results)
+    both = sizes.select(*keys, "n", F.lit(None).cast("int").alias("tid"), F.lit(None).cast("double").alias("value")).unionByName(
+        found.select(*keys, F.lit(None).cast("long").alias("n"), "tid", F.col("value").cast("double").alias("value")))
+    aggs = [F.max(F.when(F.col("tid") == k, F.col("value"))).alias(f"_x{k}") for k in range(2 * len(probs))]
+    out = both.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
+    lost = F.raise_error(F.lit("quantile outside the bracket of its sketch")).cast("double")
     for j, p in enumerate(probs):
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
         frac = h - F.floor(h)
-        lo_v, hi_v = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        lo_v, hi_v = (F.coalesce(F.col(f"_x{k}"), lost) for k in (2 * j, 2 * j + 1))
         out = out.withColumn(f"q{j}", F.when(frac == 0, lo_v)
                              .otherwise(lo_v + frac * (hi_v - lo_v)))
     return out.select(*keys, "n", *[f"q{j}" for j in range(len(probs))])
 
 
-def row_order(frame: DataFrame, keys: Sequence[str], value: str = "v") -> DataFrame:
-    """E2 for *bounded* groups: ``i`` = 1-based position in sorted order.
-
-    Callers filter to groups of at most a few thousand rows first (Shapiro-
-    Wilk runs only up to 5,000), so each window partition is bounded.
-    """
-    w = Window.partitionBy(*keys).orderBy(value)
-    return frame.withColumn("i", F.row_number().over(w))
-
-
+@null_safe
 def observation_ranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
                       chunk: int = 65536, levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """E2 for groups of any size: one row per observation with its 1-based
+    """One row per observation with its 1-based
     rank ``i`` in sorted order and the group size ``n``.
 
     Tied copies of a value are expanded from ``(value, t, before)`` in chunks

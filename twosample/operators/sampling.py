@@ -1,66 +1,84 @@
 """Row caps and sampling (F1s, F2s, B4).
 
-Exact-size, reproducible per-group samples: every row gets a 64-bit hash of
-its row key and a seed; a group keeps the rows whose hash is at or below the
-k-th smallest hash of the group.  That threshold is found with the
-distributed position search of ``ranks`` (no per-group sort), and the
-filter is a join with a one-row-per-group table.  The same machinery gives
-"the first k rows by an order column" (B4).
+Exact-size, reproducible per-group samples: every row has a 60-bit number from
+the md5 of a seed and its row key; a group keeps its ``k`` rows with the
+smallest (number, key).  Only rows under a coarse limit, about k / n of the
+number range plus slack, go to the window that picks them, so the table is not
+ranked.  A group whose limit let too few through (repeated keys can do that) is picked
+from all its rows instead.  B4 picks the first k by an order column the same way
+without a coarse limit on values: its limit is a quantile sketch of the column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twosample.operators.ranks import DEFAULT_LEVELS, attach, values_at_positions
+from twosample.operators.ranks import attach_stats, few_keys, null_safe
 
-DEFAULT_SAMPLE_ROWS = 10_000
-DEFAULT_SEED = 42
+DEFAULT_SAMPLE_ROWS = 10_000    # fixed value: rows kept per group
+DEFAULT_SEED = 42               # fixed value
+HASH_DIGITS = 15                # hex digits of the md5: numbers below 16 ** 15
 
 
-def with_row_hash(frame: DataFrame, row_key: Sequence[str] | None = None,
-                  seed: int = DEFAULT_SEED) -> DataFrame:
-    """``_h`` = xxhash64(seed, row key).  Without a row key the scan position
-    (``monotonically_increasing_id`` right after the scan) stands in for one:
-    stable for a given input layout, not across re-partitioned copies."""
-    cols = [F.col(c) for c in row_key] if row_key else [F.monotonically_increasing_id()]
-    return frame.withColumn("_h", F.xxhash64(F.lit(seed), *cols).cast("double"))
+def row_number_hash(seed: int, row_key: Sequence[str]) -> Column:
+    """The first 60 bits of md5(seed | key | ...), null keys as empty text."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in row_key])
+    return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
-def first_k(frame: DataFrame, keys: Sequence[str], order: str, k: int,
-            levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """Rows of each key group whose ``order`` value is among the k smallest
-    (B4 with a row-order column, F1s with a hash).  Ties at the boundary are
-    all kept, so use a unique order column for an exact k."""
-    from twosample.operators.ranks import value_counts
-    sizes = value_counts(frame, keys, order).groupBy(*keys).agg(F.sum("t").alias("_n"))
-    targets = sizes.select(*keys, F.lit(0).alias("tid"),
-                           (F.least(F.col("_n"), F.lit(k)) - 1).alias("pos"))
-    thr = values_at_positions(frame, keys, targets, order, levels, split_rows).select(
-        *keys, F.col("value").alias("_thr"))
-    return (attach(frame, thr, keys, order, "inner")
-            .filter(F.col(order) <= F.col("_thr")).drop("_thr"))
+def _pick(rows: DataFrame, keys: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,
-                  row_key: Sequence[str] | None = None, seed: int = DEFAULT_SEED,
-                  levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """F1s: at most ``k`` rows per ``(keys, g)`` group, chosen by seeded hash.
-
-    ``row_key`` should identify a row uniquely: rows sharing a key share a
-    hash, so they are kept or dropped together (and, being one hash value,
-    are handled by one task)."""
-    h = with_row_hash(frame, row_key, seed)
-    return first_k(h, [*keys, "g"], "_h", k, levels, split_rows).drop("_h")
+def _first(frame: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, limits: DataFrame, small: bool) -> DataFrame:
+    """The first ``k`` rows per key by ``order``, given coarse ``limits``
+    (keys, _n, _limit) on the first order column."""
+    rows = attach_stats(frame, limits, keys, order[0], small)
+    coarse = rows.filter(F.col(order[0]) <= F.col("_limit"))
+    # keys whose limit was too low; the others' rows never meet this branch
+    got = coarse.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
+    short = (limits.select(*keys, "_n", F.lit(0).alias("_got")).unionByName(got.withColumn("_n", F.lit(0).cast("long")))
+             .groupBy(*keys).agg(F.max("_n").alias("_n"), F.max("_got").alias("_got"))
+             .filter(F.col("_got") < F.least("_n", F.lit(k))).select(*keys))
+    rest = attach_stats(frame, short, keys, order[0], small)
+    enough = coarse.join(F.broadcast(short) if small else short, list(keys), "left_anti")
+    return _pick(enough.select(*frame.columns).unionByName(rest.select(*frame.columns)), keys, order, k)
 
 
-def head_cap(frame: DataFrame, keys: Sequence[str], order: str, k: int = 5000,
-             levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """The first ``k`` values per group in ``order`` (e.g. a line number)."""
-    return first_k(frame, [*keys, "g"], order, k, levels, split_rows)
+@null_safe
+def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,
+                  row_key: Sequence[str] | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
+    """F1s: exactly ``min(k, n)`` rows per ``(keys, g)`` group, by seeded hash.
+
+    ``row_key`` should tell rows apart; by default all columns do, so that only
+    rows equal in all of them are interchangeable."""
+    gk = [*keys, "g"]
+    row_key = list(row_key or [c for c in frame.columns if c not in keys])
+    h = frame.withColumn("_h", row_number_hash(seed, row_key))
+    slack = 8 * int(k ** 0.5) + 50
+    limits = frame.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_limit", F.when(F.col("_n") <= k + slack, F.lit(16 ** HASH_DIGITS)).otherwise(
+            F.ceil(F.lit(float(k + slack)) / F.col("_n") * F.lit(float(16 ** HASH_DIGITS)))).cast("long"))
+    return _first(h, gk, ["_h", *[c for c in row_key if c in frame.columns], "v"], k, limits, few_keys(frame, keys)).drop("_h")
+
+
+@null_safe
+def head_cap(frame: DataFrame, keys: Sequence[str], order: Sequence[str] | str, k: int = 5000) -> DataFrame:
+    """Exactly the first ``min(k, n)`` rows per ``(keys, g)`` group by
+    ``order`` (one or more columns that tell rows apart, then the value)."""
+    gk = [*keys, "g"]
+    order = [order] if isinstance(order, str) else list(order)
+    st = frame.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.max(order[0]).alias("_max"), F.percentile_approx(
+        order[0], [min(1.0, q / 1000) for q in range(1, 1001)], 20_000).alias("_q"))
+    # the first permille mark past k rows, with the sketch's error to spare
+    mark = F.ceil((F.lit(float(k)) / F.col("_n") + F.lit(3e-4)) * 1000)
+    limits = st.select(*gk, "_n", F.when(mark >= 1000, F.col("_max")).otherwise(
+        F.get("_q", (F.least(mark, F.lit(1000)) - 1).cast("int"))).alias("_limit"))
+    return _first(frame, gk, [*order, "v"], k, limits, few_keys(frame, keys))
 
 
 def limit_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:

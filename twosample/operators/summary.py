@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twosample.operators.prepare import check_columns, coerce_lenient, is_usable
+from twosample.operators.prepare import ALL_KEY, check_columns, coerce_lenient, constant_key, is_usable
+from twosample.operators.ranks import _solid_counts, few_keys, null_safe, squeeze, values_at_positions
 
 SUMMARY_FIELDS = ("mean", "std", "count", "min", "max")
 
@@ -35,22 +36,23 @@ def group_summary(df: DataFrame, value: str, group: str | None = None,
             F.count("v").alias("count"), F.min("v").alias("min"), F.max("v").alias("max")]
     if median == "approx":
         return data.groupBy(*keys).agg(*base, F.percentile_approx("v", 0.5, accuracy).alias("median"))
-    from twosample.operators.prepare import ALL_KEY, constant_key
-    from twosample.operators.ranks import value_counts, values_at_positions
     k = keys or [ALL_KEY]
-    if not keys:
-        data = constant_key(data)
-    agg = data.groupBy(*k).agg(*base)
-    # target positions from the distinct-value table the search builds anyway,
-    # so this branch shares its exchange instead of re-scanning the input
-    sizes = value_counts(data, k, "v").groupBy(*k).agg(F.sum("t").alias("_n"))
-    targets = sizes.select(*k, F.lit(0).alias("tid"),
-                           (F.ceil(F.col("_n") / F.lit(2.0)) - 1).cast("long").alias("pos"))
-    med = values_at_positions(data, k, targets).select(*k, F.col("value").alias("median"))
-    out = agg.join(med, k, "left")
+    out = _exact_summary(data if keys else constant_key(data), k, base)
     return out if keys else out.drop(ALL_KEY)
 
 
+@null_safe
+def _exact_summary(data: DataFrame, keys: Sequence[str], base: Sequence[Column]) -> DataFrame:
+    small = few_keys(data, keys)
+    near = squeeze(data, keys, [0.5], "v", small)
+    # the position from the squeezed values, so this branch shares their exchange
+    sizes = _solid_counts(near, keys, "v").groupBy(*keys).agg(F.sum("t").alias("_n"), F.sum("tin").alias("_tin"))
+    targets = sizes.filter("_tin >= 0").select(*keys, F.lit(0).alias("tid"),
+                                               (F.ceil(F.col("_n") / F.lit(2.0)) - 1).cast("long").alias("pos"))
+    med = values_at_positions(near, keys, targets).select(*keys, F.col("value").alias("median"))
+    return data.groupBy(*keys).agg(*base).join(med, list(keys), "left")
+
+
 def moments(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """D2/D3 core: per key, both groups' count, mean, variance, std, min,
     max and the usable-row total, from a canonical ``(keys, g, v)`` frame."""
@@ -75,10 +77,3 @@ def group_stats_struct() -> F.Column:
                         F.col(f"n{gi}").alias("count"), F.col(f"min{gi}").alias("min"),
                         F.col(f"max{gi}").alias("max"))
     return F.struct(one(1).alias("group1"), one(2).alias("group2"))
-
-
-def two_group_summary(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """D2 + D3: one row per key with ``group1``/``group2`` summary structs
-    and ``total_rows``."""
-    m = moments(frame, keys)
-    return m.select(*keys, group_stats_struct().alias("group_stats"), "total_rows")

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twosample.functions.pvalues import t_pvalue
-from twosample.operators.prepare import (ALL_KEY, check_columns, coerce_lenient, constant_key,
-                                         is_usable, nan_if_null)
+from twosample.operators.prepare import nan_if_null
 from twosample.operators.summary import moments
 
 
@@ -22,22 +21,29 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def ratio_t(diff: Column, se: Column) -> Column:
+    """``diff / se``; no spread gives a signed infinity (p = 0) for a
+    difference that is not zero, and NaN for none."""
+    inf = F.lit(float("inf"))
+    return nan_if_null(F.when(se == 0, F.when(diff > 0, inf).when(diff < 0, -inf)).otherwise(_div(diff, se)))
+
+
 def pooled_t(n1, n2, m1, m2, v1, v2) -> tuple[Column, Column]:
     """D4 formula columns: (t, df) with pooled variance."""
     n1d, n2d = n1.cast("double"), n2.cast("double")
     dfree = n1d + n2d - 2.0
     sp2 = _div((n1d - 1.0) * v1 + (n2d - 1.0) * v2, dfree)
     se = F.sqrt(sp2 * (_div(F.lit(1.0), n1d) + _div(F.lit(1.0), n2d)))
-    return nan_if_null(_div(m1 - m2, se)), dfree
+    return ratio_t(m1 - m2, se), dfree
 
 
 def welch_t(n1, n2, m1, m2, v1, v2) -> tuple[Column, Column]:
-    """D5 formula columns: (t, Welch-Satterthwaite df)."""
+    """D5 formula columns: (t, Welch-Satterthwaite df, 1 if nothing varies)."""
     n1d, n2d = n1.cast("double"), n2.cast("double")
     a, b = _div(v1, n1d), _div(v2, n2d)
-    t = _div(m1 - m2, F.sqrt(a + b))
-    dfree = _div((a + b) * (a + b), _div(a * a, n1d - 1.0) + _div(b * b, n2d - 1.0))
-    return nan_if_null(t), nan_if_null(dfree)
+    t = ratio_t(m1 - m2, F.sqrt(a + b))
+    dfree = F.when(a + b == 0, F.lit(1.0)).otherwise(_div((a + b) * (a + b), _div(a * a, n1d - 1.0) + _div(b * b, n2d - 1.0)))
+    return t, nan_if_null(dfree)
 
 
 def two_sample_t(frame: DataFrame, keys: Sequence[str], equal_var: bool = True,
@@ -58,30 +64,13 @@ def pair_align(frame: DataFrame, keys: Sequence[str], pair_key: str) -> DataFram
     A canonical frame carrying ``pair_key`` is pivoted with one conditional
     aggregate per ``(keys, pair_key)`` -- a single shuffle with map-side
     combine, no join -- and a key seen more than once in a group contributes
-    the mean of its values.  Returns ``(keys, pair_key, x, y, complete)``.
+    the mean of its values.  Rows without a pair key match nothing: they are one
+    incomplete pair.  Returns ``(keys, pair_key, x, y, complete)``.
     """
     a = frame.groupBy(*keys, pair_key).agg(
         F.avg(F.when(F.col("g") == 1, F.col("v"))).alias("x"),
         F.avg(F.when(F.col("g") == 2, F.col("v"))).alias("y"))
-    return a.withColumn("complete", F.col("x").isNotNull() & F.col("y").isNotNull())
-
-
-def pair_frames(df1: DataFrame, df2: DataFrame, pair_key: str, value1: str,
-                value2: str | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """C1 for two separate inputs: both sides are reduced to one row per key
-    first, so the equi-join is one-to-one (no fan-out on repeated keys)."""
-    value2 = value2 or value1
-    by = list(by or [])
-    check_columns(df1, pair_key, value1, *by)
-    check_columns(df2, pair_key, value2, *by)
-
-    def side(df, col, name):
-        v = coerce_lenient(F.col(col))
-        return (df.select(*by, pair_key, v.alias(name)).filter(is_usable(F.col(name)))
-                  .groupBy(*by, pair_key).agg(F.avg(name).alias(name)))
-    out = side(df1, value1, "x").join(side(df2, value2, "y"), [*by, pair_key], "full")
-    out = out.withColumn("complete", F.col("x").isNotNull() & F.col("y").isNotNull())
-    return out if by else constant_key(out)
+    return a.withColumn("complete", F.col("x").isNotNull() & F.col("y").isNotNull() & F.col(pair_key).isNotNull())
 
 
 def paired_t(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,8 +83,7 @@ def paired_t(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(F.when(~F.col("complete"), 1).otherwise(0)).alias("unmatched"),
         F.avg(F.when(F.col("complete"), F.col("x"))).alias("mean1"),
         F.avg(F.when(F.col("complete"), F.col("y"))).alias("mean2"))
-    t = nan_if_null(_div(F.col("mean_diff"),
-                         F.sqrt(_div(F.col("var_diff"), F.col("n").cast("double")))))
+    t = ratio_t(F.col("mean_diff"), F.sqrt(_div(F.col("var_diff"), F.col("n").cast("double"))))
     dfree = (F.col("n") - 1).cast("double")
     return (m.withColumn("statistic", t).withColumn("df", dfree)
              .withColumn("p_value", nan_if_null(t_pvalue(F.col("statistic"), F.col("df")))))

@@ -25,7 +25,7 @@ from twosample.operators.shapiro import shapiro
 from twosample.operators.summary import group_summary, moments
 from twosample.operators.ttests import pair_align
 from twosample.plans import oracle as O
-from twosample.plans.dispatch import paired, two_sample
+from twosample.plans.dispatch import paired, run_test, two_sample
 from twosample.sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,8 +138,8 @@ def levene_sql(frame: str, by: tuple) -> str:
 
 
 def shapiro_sql(frame: str, keys: tuple) -> str:
-    """Keys must include g; assumes 12 <= n <= 5000 in every group (the
-    driver tables' groups); the n < 12 branches are covered by pytest."""
+    """Keys must include g; assumes n >= 12 in every group (the driver tables'
+    groups); the n < 12 branches are covered by pytest."""
     k = ", ".join(keys)
     m = O.norm_ppf_sql("((i - 0.375) / (n + 0.25))")
     c1 = "(0.221157 * u - 0.147981 * u * u - 2.071190 * pow(u, 3) + 4.434685 * pow(u, 4) - 2.706056 * pow(u, 5))"
@@ -161,8 +161,8 @@ def shapiro_sql(frame: str, keys: tuple) -> str:
             f"f AS (SELECT *, ln(1 - w) AS y, ln(n) AS ll FROM e), "
             f"h AS (SELECT *, (y - (-1.5861 - 0.31082 * ll - 0.083751 * ll * ll + 0.0038915 * pow(ll, 3))) / "
             f"exp(-0.4803 - 0.082676 * ll + 0.0030302 * ll * ll) AS zz FROM f) "
-            f"SELECT {k}, n, round(w, 6) AS sw_w, round({O.norm_sf_sql('zz')}, 6) AS sw_p, "
-            f"{O.norm_sf_sql('zz')} >= 0.05 AS is_normal FROM h")
+            f"SELECT {k}, n, round(w, 6) AS sw_w, CASE WHEN n <= 5000 THEN round({O.norm_sf_sql('zz')}, 6) END AS sw_p, "
+            f"n > 5000 OR {O.norm_sf_sql('zz')} >= 0.05 AS is_normal FROM h")
 
 
 def contingency_sql(cells: str, k: str) -> str:
@@ -260,7 +260,9 @@ PAIRS_SQL = ("SELECT l_orderkey, avg(l_quantity) FILTER (WHERE l_linenumber = 1)
     f"s AS (SELECT count(dd) AS n, avg(dd) AS md, var_samp(dd) AS vd FROM d), "
     f"t AS (SELECT *, md / sqrt(vd / n) AS stat, (n - 1)::DOUBLE AS dfree FROM s), "
     f"p AS (SELECT *, {O.t_two_sided_sql('stat', 'dfree')} AS pv FROM t) "
-    f"SELECT n AS n_group1, n AS n_group2, round(stat, 6) AS statistic, round(dfree, 6) AS df, "
+    f"SELECT (SELECT count(*) FROM lineitem WHERE l_linenumber = 1 AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)) AS n_group1, "
+    f"(SELECT count(*) FROM lineitem WHERE l_linenumber = 2 AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)) AS n_group2, "
+    f"round(stat, 6) AS statistic, round(dfree, 6) AS df, "
     f"round(pv, 6) AS p_value, pv < 0.05 AS significant FROM p"))
 def q_ttest_paired(spark, d):
     res = paired(_t(spark, d, "lineitem"), "l_quantity", "l_linenumber", (1, 2), "l_orderkey",
@@ -633,8 +635,8 @@ def q_qq_fit(spark, d):
 # B4, F1s, F2s: caps and samples
 # --------------------------------------------------------------------------
 @register("head_cap", (
-    "WITH o AS (SELECT l_returnflag, l_extendedprice, rank() OVER (PARTITION BY l_returnflag "
-    "ORDER BY l_orderkey * 8 + l_linenumber) AS rk FROM lineitem WHERE l_returnflag IN ('A', 'R') "
+    "WITH o AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag "
+    "ORDER BY l_orderkey * 8 + l_linenumber, l_extendedprice) AS rk FROM lineitem WHERE l_returnflag IN ('A', 'R') "
     "AND l_extendedprice IS NOT NULL AND NOT isnan(l_extendedprice)) "
     "SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 4) AS total FROM o WHERE rk <= 5000 "
     "GROUP BY l_returnflag"))
@@ -654,23 +656,225 @@ def q_limit_rows(spark, d):
     return limit_rows(o, 10, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
 
 
-@register("sampled_test")
+SAMPLE_KEY = ("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@register("sampled_test", (
+    "WITH fr AS (" + frame_sql("lineitem", "l_extendedprice", "l_returnflag", "'A'", "'R'", SAMPLE_KEY) + "), "
+    "pick AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY substr(md5(concat_ws('|', '42', l_orderkey, l_linenumber, "
+    "l_partkey)), 1, 15), l_orderkey, l_linenumber, l_partkey, v) AS k FROM fr), "
+    "m AS (SELECT count(*) FILTER (WHERE g = 1) AS n1, count(*) FILTER (WHERE g = 2) AS n2, avg(v) FILTER (WHERE g = 1) AS mean1, "
+    "avg(v) FILTER (WHERE g = 2) AS mean2, var_samp(v) FILTER (WHERE g = 1) AS var1, var_samp(v) FILTER (WHERE g = 2) AS var2 "
+    "FROM pick WHERE k <= 5000), "
+    "t AS (SELECT *, (mean1 - mean2) / sqrt(var1 / n1 + var2 / n2) AS stat, pow(var1 / n1 + var2 / n2, 2) / "
+    "(pow(var1 / n1, 2) / (n1 - 1.0) + pow(var2 / n2, 2) / (n2 - 1.0))::DOUBLE AS dfree FROM m), "
+    "f AS (SELECT count(*) FILTER (WHERE g = 1) AS n_group1, count(*) FILTER (WHERE g = 2) AS n_group2, "
+    "round(avg(v) FILTER (WHERE g = 1), 4) AS mean1, count(*) AS total_rows FROM fr) "
+    f"SELECT f.n_group1, f.n_group2, f.mean1, round(stat, 6) AS statistic, round({O.t_two_sided_sql('stat', 'dfree')}, 6) AS p_value, "
+    "f.total_rows, n1 + n2 AS rows_tested FROM t, f"))
 def q_sampled_test(spark, d):
-    """F1s: exact-size seeded sample of 5,000 rows per group, then the test;
-    rows-only check (the hash has no DuckDB twin)."""
+    """F1s: a Welch test of an exact-size seeded sample of 5,000 rows per
+    group; counts, summaries and the total are those of all rows."""
     res = two_sample(_t(spark, d, "lineitem"), "l_extendedprice", "l_returnflag", ("A", "R"),
-                     test="welch_ttest", checks=False, sample_rows=5000,
-                     row_key=["l_orderkey", "l_linenumber", "l_partkey"])
-    return res.select("n_group1", "n_group2", r("statistic").alias("statistic"),
+                     test="welch_ttest", checks=False, sample_rows=5000, row_key=list(SAMPLE_KEY))
+    return res.select("n_group1", "n_group2", r("group_stats.group1.mean", 4).alias("mean1"), r("statistic").alias("statistic"),
                       r("p_value").alias("p_value"), "total_rows", "rows_tested")
 
 
-@register("run_test_full")
+def _run_test_sql() -> str:
+    sw, lv, tt = shapiro_sql(EV_CP, ("_all", "g")), levene_sql(EV_CP, ()), ttest_sql(EV_CP, (), True)
+    return (f"WITH s AS ({sw}), l AS ({lv}), t AS ({tt}), fm AS ({EV_CP}) SELECT 'independent_ttest' AS test_name, t.*, "
+            + ", ".join(f"(SELECT sw_w FROM s WHERE g = {g}) AS sw_w{g}, (SELECT is_normal FROM s WHERE g = {g}) AS normal{g}, "
+                        f"(SELECT round(avg(v), 4) FROM fm WHERE g = {g}) AS mean{g}, (SELECT round(stddev_samp(v), 4) FROM fm WHERE g = {g}) AS std{g}, "
+                        f"(SELECT min(v) FROM fm WHERE g = {g}) AS min{g}, (SELECT max(v) FROM fm WHERE g = {g}) AS max{g}" for g in (1, 2))
+            + ", l.levene_w, l.levene_p, l.equal_variance, (SELECT count(*) FROM fm) AS total_rows, 'click' AS level1, 'purchase' AS level2 FROM t, l")
+
+
+@register("run_test_full", _run_test_sql())
 def q_run_test_full(spark, d):
-    """D14 + D15: the full result row (nested structs and text); rows-only."""
-    from twosample.plans.dispatch import run_test
-    return run_test(_t(spark, d, "events"), "independent_ttest", "value", "event_type",
-                    ("click", "purchase"), by=())
+    """D14 + D15: the dispatcher's full result row, flattened."""
+    res = run_test(_t(spark, d, "events"), "independent_ttest", "value", "event_type", ("click", "purchase"), by=())
+    ac, cols = "assumption_checks", []
+    for g in (1, 2):
+        gs, sw = f"group_stats.group{g}", f"{ac}.normality_group{g}"
+        cols += [r(f"{sw}.statistic").alias(f"sw_w{g}"), F.col(f"{sw}.is_normal").alias(f"normal{g}"),
+                 r(f"{gs}.mean", 4).alias(f"mean{g}"), r(f"{gs}.std", 4).alias(f"std{g}"),
+                 F.col(f"{gs}.min").alias(f"min{g}"), F.col(f"{gs}.max").alias(f"max{g}")]
+    return res.select("test_name", "n_group1", "n_group2", r("statistic").alias("statistic"), r("df").alias("df"),
+                      r("p_value").alias("p_value"), "significant", *cols, r(f"{ac}.equal_variance.statistic").alias("levene_w"),
+                      r(f"{ac}.equal_variance.p_value").alias("levene_p"), F.col(f"{ac}.equal_variance.equal_variance").alias("equal_variance"),
+                      "total_rows", "level1", "level2")
+
+
+# --------------------------------------------------------------------------
+# Dirty text, strict casts, complete pairs; null keys
+# --------------------------------------------------------------------------
+DIRTY_SQL = ("SELECT l_returnflag, CASE WHEN l_orderkey % 7 = 0 THEN 'n/a' WHEN l_orderkey % 11 = 0 THEN 'NaN' "
+             "WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST(l_linenumber * 3 AS VARCHAR) END AS txt FROM lineitem")
+
+
+def _dirty(spark, d):
+    k = F.col("l_orderkey")
+    return _t(spark, d, "lineitem").select("l_returnflag", "l_linenumber", F.when(k % 7 == 0, "n/a").when(k % 11 == 0, "NaN").when(
+        k % 13 == 0, F.lit(None).cast("string")).otherwise((F.col("l_linenumber") * 3).cast("string")).alias("txt"))
+
+
+@register("coerce_dirty", (
+    f"WITH x AS ({DIRTY_SQL}), fr AS (SELECT l_returnflag, TRY_CAST(txt AS DOUBLE) AS v FROM x) "
+    "SELECT l_returnflag, count(*) AS n, sum(v) AS total FROM fr WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY l_returnflag"))
+def q_coerce_dirty(spark, d):
+    """B2 + B3: text that is no number, NaN and null drop out."""
+    fr = prepare(_dirty(spark, d), "txt", by=["l_returnflag"])
+    return fr.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+
+
+@register("coerce_strict", (
+    "SELECT l_returnflag, count(*) AS n, sum(CAST(CAST(l_linenumber * 3 AS VARCHAR) AS DOUBLE)) AS total FROM lineitem GROUP BY l_returnflag"))
+def q_coerce_strict(spark, d):
+    """B1: clean text passes the strict cast (text that is no number is an error)."""
+    li = _t(spark, d, "lineitem").select("l_returnflag", (F.col("l_linenumber") * 3).cast("string").alias("txt"))
+    fr = prepare(li, "txt", by=["l_returnflag"], strict=True)
+    return fr.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+
+
+@register("paired_complete", (
+    "WITH pr AS (SELECT o_orderkey, o_totalprice AS x, o_totalprice * 0.9 + o_orderkey % 5 AS y FROM orders "
+    "WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)), "
+    "s AS (SELECT count(*) AS n, avg(x - y) AS md, var_samp(x - y) AS vd, round(stddev_samp(x), 4) AS std1, min(y) AS min2 FROM pr), "
+    "t AS (SELECT *, md / sqrt(vd / n) AS stat FROM s) "
+    "SELECT n AS n_group1, n AS n_group2, round(stat, 4) AS statistic, std1, round(min2, 6) AS min2, 2 * n AS rows_tested FROM t"))
+def q_paired_complete(spark, d):
+    """Every pair key has both groups, so the required completeness holds;
+    D2: the paired result carries full group summaries."""
+    o = _t(spark, d, "orders").filter(F.col("o_totalprice").isNotNull() & ~F.isnan("o_totalprice"))
+    x = o.select("o_orderkey", F.lit("x").alias("side"), F.col("o_totalprice").alias("v"))
+    y = o.select("o_orderkey", F.lit("y").alias("side"), (F.col("o_totalprice") * 0.9 + F.col("o_orderkey") % 5).alias("v"))
+    res = paired(x.unionByName(y), "v", "side", ("x", "y"), "o_orderkey", checks=False, require_complete=True)
+    return res.select("n_group1", "n_group2", r("statistic", 4).alias("statistic"), r("group_stats.group1.std", 4).alias("std1"),
+                      r("group_stats.group2.min").alias("min2"), "rows_tested")
+
+
+def _null_key(spark, d):
+    li = _t(spark, d, "lineitem").withColumn("status", F.when(F.col("l_linestatus") != "O", F.col("l_linestatus")))
+    return prepare(li, "l_quantity", "l_returnflag", ("A", "N"), by=["status"])
+
+
+NULL_KEY_SQL = ("SELECT NULLIF(l_linestatus, 'O') AS status, CASE WHEN l_returnflag = 'A' THEN 1 ELSE 2 END AS g, l_quantity AS v FROM lineitem "
+                "WHERE l_returnflag IN ('A', 'N') AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)")
+
+
+@register("null_key_box", (
+    f"WITH fr AS ({NULL_KEY_SQL}), q AS (SELECT status, g, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, "
+    "quantile_cont(v, 0.75) AS q3 FROM fr GROUP BY status, g) SELECT status, g, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3 FROM q"))
+def q_null_key_box(spark, d):
+    b = DI.box_stats(_null_key(spark, d), ["status"])
+    return b.select("status", _g(), "n", r("q1").alias("q1"), r("median").alias("median"), r("q3").alias("q3"))
+
+
+@register("null_key_midrank", (
+    f"WITH fr AS ({NULL_KEY_SQL}), vc AS (SELECT status, v, count(*) AS t FROM fr GROUP BY status, v) SELECT status, v, t, coalesce(sum(t) OVER "
+    "(PARTITION BY status ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (t + 1) / 2.0 AS midrank FROM vc"))
+def q_null_key_midrank(spark, d):
+    return RK.midranks(_null_key(spark, d), ["status"]).select("status", "v", "t", "midrank")
+
+
+@register("null_key_levene", (
+    f"WITH fr AS ({NULL_KEY_SQL}), md AS (SELECT status, g, quantile_cont(v, 0.5) AS med FROM fr GROUP BY status, g) "
+    "SELECT fr.status, fr.g, round(avg(abs(v - med)), 6) AS mean_dev, count(*) AS n FROM fr JOIN md ON fr.g = md.g AND fr.status IS NOT DISTINCT FROM md.status GROUP BY fr.status, fr.g"))
+def q_null_key_levene(spark, d):
+    fr = _null_key(spark, d)
+    z = rejoin_stats(fr, group_medians(fr, ["status"]), ["status"])
+    return z.groupBy("status", "g").agg(r(F.avg(F.abs(F.col("v") - F.col("median")))).alias("mean_dev"), F.count(F.lit(1)).alias("n")).select(
+        "status", _g(), "mean_dev", "n")
+
+
+@register("null_key_chisq", (
+    f"WITH fr AS ({NULL_KEY_SQL}), x AS (SELECT coalesce(status, '-') AS ks, * FROM fr), "
+    + contingency_sql("SELECT ks, v, count(*) FILTER (WHERE g = 1) AS o1, count(*) FILTER (WHERE g = 2) AS o2 FROM x GROUP BY ks, v", "ks")
+    + " SELECT NULLIF(ks, '-') AS status, round(stat, 4) AS statistic, dfree AS df, n_total::BIGINT AS n_total, 'contingency' AS variant FROM s WHERE stat IS NOT NULL AND NOT isnan(stat)"))
+def q_null_key_chisq(spark, d):
+    res = CS.chisq_auto(_null_key(spark, d), ["status"]).filter(~F.isnan("statistic"))
+    return res.select("status", r("statistic", 4).alias("statistic"), "df", F.col("n_total").cast("long").alias("n_total"), "variant")
+
+
+@register("group_summary_approx", (
+    "SELECT l_returnflag, round(avg(l_quantity), 4) AS mean, count(l_quantity) AS count, quantile_disc(l_quantity, 0.5) AS median "
+    "FROM lineitem WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity) GROUP BY l_returnflag"))
+def q_group_summary_approx(spark, d):
+    """D1 with the sketch median; ties make the sketch's value the exact one."""
+    s = group_summary(_t(spark, d, "lineitem"), "l_quantity", "l_returnflag")
+    return s.select("l_returnflag", r("mean", 4).alias("mean"), "count", "median")
+
+
+@register("chisq_dispatch_binned", "WITH " + binned_cells_sql(frame_sql("orders", "o_totalprice", "o_orderstatus", "'F'", "'O'"), ()) + ", "
+          + contingency_sql("SELECT _all, o1, o2 FROM cells", "_all") + " " + chisq_final_sql((), ", 'binned' AS variant"))
+def q_chisq_dispatch_binned(spark, d):
+    res = run_test(_t(spark, d, "orders"), "chisquare", "o_totalprice", "o_orderstatus", ("F", "O"))
+    return res.select(r("statistic").alias("statistic"), r("df").alias("df"), r("p_value").alias("p_value"),
+                      F.col("n_group1").alias("n_total"), "variant")
+
+
+@register("chisq_dispatch_gof", "WITH " + gof_sql(
+    "SELECT 0 AS _all, l_linenumber, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END)::DOUBLE AS observed, "
+    "sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)::DOUBLE AS expected FROM lineitem WHERE l_returnflag IN ('A', 'R') "
+    "GROUP BY l_linenumber", "_all", True) + " SELECT round(stat, 4) AS statistic, dfree AS df, n_total::BIGINT AS n_total, "
+    "'goodness_of_fit' AS variant FROM s")
+def q_chisq_dispatch_gof(spark, d):
+    res = run_test(_t(spark, d, "lineitem"), "chisquare", "l_quantity", "l_returnflag", ("A", "R"), category="l_linenumber")
+    return res.select(r("statistic", 4).alias("statistic"), "df", F.col("n_group1").alias("n_total"), "variant")
+
+
+@register("chisq_dispatch_uniform", "WITH " + gof_sql(
+    "SELECT 0 AS _all, event_type, count(*)::DOUBLE AS observed, 0.0 AS expected FROM events GROUP BY event_type",
+    "_all", False) + " " + chisq_final_sql((), ", 'uniform' AS variant"))
+def q_chisq_dispatch_uniform(spark, d):
+    """D10 through the dispatcher: no second group."""
+    counts = _t(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("observed"))
+    res = run_test(counts, "chisquare", "observed")
+    return res.select(r("statistic").alias("statistic"), r("df").alias("df"), r("p_value").alias("p_value"),
+                      F.col("n_group1").alias("n_total"), "variant")
+
+
+def _texts_sql() -> str:
+    fr = "l_returnflag IN ('A', 'R') AND l_quantity IS NOT NULL AND NOT isnan(l_quantity)"
+    n = {g: f"(SELECT format('{{:,}}', count(*)) FROM lineitem WHERE {fr} AND l_returnflag = '{g}')" for g in "AR"}
+    both = f"(SELECT format('{{:,}}', count(*)) FROM lineitem WHERE {fr})"
+    pairs = f"(SELECT format('{{:,}}', count(*)) FROM ({PAIRS_SQL}) WHERE x IS NOT NULL AND y IS NOT NULL)"
+    groups = f"{n['A']} || ' and ' || {n['R']} || ' observations.'"
+    return (f"SELECT 'independent_ttest' AS test_name, 'Compares the means of two independent groups assuming a common variance; groups of ' || {groups} AS interpretation "
+            f"UNION ALL SELECT 'welch_ttest', 'Compares the means of two independent groups without assuming equal variances; groups of ' || {groups} "
+            f"UNION ALL SELECT 'mannwhitney', 'Rank-based comparison of two independent groups with no normality assumption; groups of ' || {groups} "
+            f"UNION ALL SELECT 'paired_ttest', 'Tests whether the mean within-pair difference is zero; ' || {pairs} || ' complete pairs.' "
+            f"UNION ALL SELECT 'chisquare', 'Compares observed with expected frequencies over ' || {both} || ' observations; '")
+
+
+@register("interpretation_tests", _texts_sql())
+def q_interpretation_tests(spark, d):
+    """H7 for all five tests (of chi-square's, the part before its outcome)."""
+    li = _t(spark, d, "lineitem")
+    out = None
+    for test in ("independent_ttest", "welch_ttest", "mannwhitney", "chisquare"):
+        res = two_sample(li, "l_quantity", "l_returnflag", ("A", "R"), test=test, checks=False).select(
+            "test_name", F.regexp_replace("interpretation", "the pattern.*", "").alias("interpretation"))
+        out = res if out is None else out.unionByName(res)
+    return out.unionByName(paired(li, "l_quantity", "l_linenumber", (1, 2), "l_orderkey", checks=False).select("test_name", "interpretation"))
+
+
+@register("json_requests", (
+    "SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS n1, count(*) FILTER (WHERE o_orderstatus <> 'F') AS n2, "
+    "round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 4) AS mean1, count(*) AS total FROM orders "
+    "WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice) GROUP BY o_custkey"))
+def q_json_requests(spark, d):
+    """A2: one request per customer, each payload its own test."""
+    from twosample.sources.readers import json_groups
+    o = _t(spark, d, "orders").filter(F.col("o_totalprice").isNotNull() & ~F.isnan("o_totalprice"))
+    payload = o.groupBy("o_custkey").agg(F.to_json(F.struct(
+        F.collect_list(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("group1"),
+        F.collect_list(F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))).alias("group2"))).alias("payload"))
+    res = two_sample(json_groups(payload, "payload", keep=["o_custkey"]), "value", "grp", ("group1", "group2"),
+                     test="welch_ttest", by=["o_custkey"], checks=False)
+    return res.select("o_custkey", F.col("n_group1").alias("n1"), F.col("n_group2").alias("n2"),
+                      r("group_stats.group1.mean", 4).alias("mean1"), F.col("total_rows").alias("total"))
 
 
 # --------------------------------------------------------------------------
@@ -686,7 +890,7 @@ def q_run_test_full(spark, d):
 def q_csv_group_scan(spark, d):
     """A1: each group written by Spark as a headed CSV file set (value column
     first, so the first-column default A3 picks it), then scanned back with
-    type inference and lenient coercion."""
+    an explicit schema."""
     from twosample.session import scratch_path
     from twosample.sources.readers import csv_groups
     o = _t(spark, d, "orders")
@@ -696,7 +900,7 @@ def q_csv_group_scan(spark, d):
         (o.filter(F.col("o_orderstatus") == status)
           .select("o_totalprice", "o_orderkey").write.option("header", True).csv(p))
         paths.append(p)
-    g = csv_groups(spark, paths[0], paths[1])
+    g = csv_groups(spark, paths[0], paths[1], schema="o_totalprice double, o_orderkey long")
     return g.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), r(F.avg("value"), 4).alias("mean"),
                                 F.min("value").alias("min"), F.max("value").alias("max"))
 

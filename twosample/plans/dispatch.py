@@ -20,6 +20,7 @@ from twosample.operators.mannwhitney import mannwhitney
 from twosample.operators.prepare import (ALL_KEY, check_alpha, check_test_name, constant_key,
                                          drop_internal, keys_for, prepare,
                                          significance_flag)
+from twosample.operators.ranks import attach_stats, few_keys, null_safe
 from twosample.operators.sampling import sample_groups
 from twosample.operators.shapiro import shapiro
 from twosample.operators.summary import group_stats_struct, moments
@@ -100,7 +101,11 @@ def recommendation(test: str) -> Column:
 
 
 def _finish(core: DataFrame, test: str, alpha: float, by: Sequence[str],
-            n1: Column, n2: Column, rows_tested: Column) -> DataFrame:
+            n1: Column, n2: Column, rows_tested: Column, levels: Sequence = (None, None)) -> DataFrame:
+    if "variant" not in core.columns:
+        core = core.withColumn("variant", F.lit(None).cast("string"))
+    for i, level in enumerate(levels, 1):
+        core = core.withColumn(f"level{i}", F.lit(None if level is None else str(level)).cast("string"))
     sig = significance_flag(F.col("p_value"), alpha)
     out = (core.withColumn("test_name", F.lit(test))
                .withColumn("alpha", F.lit(float(alpha)))
@@ -111,7 +116,8 @@ def _finish(core: DataFrame, test: str, alpha: float, by: Sequence[str],
     out = (out.withColumn("verdict", T.verdict_text(F.col("significant"), F.col("p_value"),
                                                     F.col("alpha")))
               .withColumn("interpretation", T.interpretation_text(
-                  F.col("test_name"), F.col("n_group1"), F.col("n_group2"), F.col("significant")))
+                  F.col("test_name"), (F.col("rows_tested") / 2 if test == "paired_ttest" else F.col("n_group1")),
+                  F.col("n_group2"), F.col("significant")))
               .withColumn("recommendation", recommendation(test))
               .withColumn("headline", T.headline_text(F.col("significant"), F.col("test_name"),
                                                       F.col("p_value")))
@@ -120,7 +126,7 @@ def _finish(core: DataFrame, test: str, alpha: float, by: Sequence[str],
     cols = [*list(by), "test_name", "statistic", "df", "p_value", "significant", "alpha",
             "verdict", "interpretation", "recommendation", "assumption_checks",
             "n_group1", "n_group2", "group_stats", "total_rows", "rows_tested",
-            "headline", "coverage_note"]
+            "headline", "coverage_note", "level1", "level2", "variant"]
     return out.select(*cols)
 
 
@@ -141,24 +147,20 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
     keep = [c for c in ([category] if category else []) + list(row_key or [])]
     full = prepare(df, value, group, levels, by, strict, keep=keep)
     frame = sample_groups(full, keys, sample_rows, row_key, seed) if sample_rows else full
-    # one aggregate gives the moments, the group summaries and (unsampled)
-    # the row total, so the source is scanned once for them
-    m = moments(frame, keys)
-    if sample_rows:
-        m = combine([m.drop("total_rows"),
-                     full.groupBy(*keys).agg(F.count("v").alias("total_rows"))], keys)
+    # one aggregate of all rows gives counts, group summaries and the total;
+    # a sampled test gets its own moments from the sample
+    m = moments(full, keys).withColumn("group_stats", group_stats_struct())
+    sampled = moments(frame, keys) if sample_rows else m
     if test in ("independent_ttest", "welch_ttest"):
-        out = two_sample_t(frame, keys, equal_var=(test == "independent_ttest"),
-                           stats=m)
+        core = two_sample_t(frame, keys, equal_var=(test == "independent_ttest"), stats=sampled).select(
+            *keys, "statistic", "df", "p_value", (F.col("n1") + F.col("n2")).alias("n_tested"))
+    elif test == "mannwhitney":
+        core = mannwhitney(frame, keys).select(
+            *keys, "statistic", F.lit(None).cast("double").alias("df"), "p_value", (F.col("n1") + F.col("n2")).alias("n_tested"))
     else:
-        if test == "mannwhitney":
-            core = mannwhitney(frame, keys).select(
-                *keys, "statistic", F.lit(None).cast("double").alias("df"), "p_value")
-        else:
-            core = CS.chisq_auto(frame, keys, category).select(
-                *keys, "statistic", "df", "p_value", "n_total")
-        out = combine([core, m], keys)
-    out = out.withColumn("group_stats", group_stats_struct())
+        core = CS.chisq_auto(frame, keys, category).select(
+            *keys, "statistic", "df", "p_value", F.col("n_total").alias("n_tested"), "variant")
+    out = combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
     if checks and test in ("independent_ttest", "welch_ttest"):
         out = combine([out, normality_by_group(frame, keys), variance_check(frame, keys)], keys)
         out = out.withColumn("assumption_checks", F.struct(
@@ -170,12 +172,10 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
             _null_variance().alias("equal_variance"),
             _null_normality().alias("normality_of_differences")))
     if test == "chisquare":
-        n1, n2 = F.col("n_total"), F.lit(None)
-        tested = F.col("n_total")
+        n1, n2 = F.col("n_tested"), F.lit(None)
     else:
         n1, n2 = F.col("n1"), F.col("n2")
-        tested = F.col("n1") + F.col("n2")
-    res = _finish(out, test, alpha, by, n1, n2, tested)
+    res = _finish(out, test, alpha, by, n1, n2, F.col("n_tested"), levels)
     return drop_internal(res, by)
 
 
@@ -192,28 +192,16 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
     keys = keys_for(by)
     frame = prepare(df, value, group, levels, by, strict, keep=[pair_key])
     pairs = pair_align(frame, keys, pair_key)
-    total = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_rows"))
-    if sample_rows:
-        h = pairs.filter(F.col("complete")).withColumn("g", F.lit(1))
-        from twosample.operators.sampling import first_k, with_row_hash
-        pairs = first_k(with_row_hash(h, [pair_key], seed), [*keys, "g"], "_h",
-                        sample_rows).drop("_h", "g")
-    core = paired_t(pairs, keys)
     if require_complete:
-        # attached to the statistic, which every result keeps, so column
-        # pruning cannot drop the check
-        core = core.withColumn("statistic", F.when(
-            F.col("unmatched") > 0,
-            F.raise_error(F.concat(F.lit("paired test: "), F.col("unmatched").cast("string"),
-                                   F.lit(" pair keys lack one of the two groups"))).cast("double")
-        ).otherwise(F.col("statistic")))
-    out = combine([core, total], keys).withColumn("group_stats", F.struct(
-        F.struct(F.col("mean1").alias("mean"), F.lit(None).cast("double").alias("std"),
-                 F.col("n").alias("count"), F.lit(None).cast("double").alias("min"),
-                 F.lit(None).cast("double").alias("max")).alias("group1"),
-        F.struct(F.col("mean2").alias("mean"), F.lit(None).cast("double").alias("std"),
-                 F.col("n").alias("count"), F.lit(None).cast("double").alias("min"),
-                 F.lit(None).cast("double").alias("max")).alias("group2")))
+        # computed before any sampling, and a filter, which no column pruning drops
+        bad = pairs.groupBy(*keys).agg(F.count(F.when(~F.col("complete"), 1)).alias("_bad"))
+        pairs = _complete_or_error(pairs, keys, bad, pair_key)
+    m = moments(frame, keys).withColumn("group_stats", group_stats_struct())
+    if sample_rows:
+        whole = pairs.filter("complete").withColumns({"g": F.lit(1).cast("tinyint"), "v": F.col("x")})
+        pairs = sample_groups(whole, keys, sample_rows, [pair_key], seed).drop("g", "v")
+    core = paired_t(pairs, keys).select(*keys, "statistic", "df", "p_value", "n")
+    out = combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
     if checks:
         sw = normality_by_group(differences(pairs, keys), keys).select(
             *keys, F.col("normality_group1").alias("nd"))
@@ -225,10 +213,18 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
             _null_normality().alias("normality_group1"), _null_normality().alias("normality_group2"),
             _null_variance().alias("equal_variance"),
             _null_normality().alias("normality_of_differences")))
-    res = _finish(out, "paired_ttest", alpha, by, F.col("n"), F.col("n"), F.col("n") * 2)
+    res = _finish(out, "paired_ttest", alpha, by, F.col("n1"), F.col("n2"), F.col("n") * 2, levels)
     return drop_internal(res, by)
 
 
+@null_safe
+def _complete_or_error(pairs: DataFrame, keys: Sequence[str], bad: DataFrame, pair_key: str) -> DataFrame:
+    """``pairs`` unchanged; reading them fails if a key has incomplete ones."""
+    checked = attach_stats(pairs, bad, keys, pair_key, few_keys(pairs, keys))
+    text = F.concat(F.lit("paired test: "), F.col("_bad").cast("string"), F.lit(" pair keys lack one of the two groups"))
+    return checked.filter(F.when(F.col("_bad") > 0, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).drop("_bad")
+
+
 def chisquare_counts(counts: DataFrame, observed: str, expected: str | None = None,
                      alpha: float = 0.05, by: Sequence[str] = (),
                      bounded_alpha: bool = True) -> DataFrame:
@@ -238,7 +234,7 @@ def chisquare_counts(counts: DataFrame, observed: str, expected: str | None = No
     by = list(by or [])
     keys = keys_for(by)
     c = counts if by else constant_key(counts)
-    core = CS.chisq_gof(c, keys, observed, expected)
+    core = CS.chisq_gof(c, keys, observed, expected).withColumn("variant", F.lit("uniform" if expected is None else "goodness_of_fit"))
     out = core.withColumn("total_rows", F.col("n_total")).withColumn(
         "group_stats", F.lit(None).cast(
             "struct<group1:struct<mean:double,std:double,count:bigint,min:double,max:double>,"
@@ -250,11 +246,17 @@ def chisquare_counts(counts: DataFrame, observed: str, expected: str | None = No
     return drop_internal(res, by)
 
 
-def run_test(df: DataFrame, test: str, value: str, group: str, levels: Sequence,
+def run_test(df: DataFrame, test: str, value: str, group: str | None = None, levels: Sequence | None = None,
              alpha: float = 0.05, by: Sequence[str] = (), pair_key: str | None = None,
              **kw) -> DataFrame:
-    """Dispatch on the test name; unknown names are an argument error."""
+    """Dispatch on the test name; unknown names are an argument error.
+    A chi-square test without a second group (no ``group``) takes ``value`` as
+    observed counts, one row per category, against equal frequencies (D10)."""
     check_test_name(test)
+    if test == "chisquare" and group is None:
+        return chisquare_counts(df, value, alpha=alpha, by=by, **kw)
+    if group is None or levels is None:
+        raise ValueError(f"{test} needs a group column and its two levels")
     if test == "paired_ttest":
         if pair_key is None:
             raise ValueError("paired_ttest needs pair_key")

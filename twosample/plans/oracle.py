@@ -1,16 +1,12 @@
 """SQL fragments for the DuckDB oracle.
 
 DuckDB has no t / chi-square / normal tail functions, so tails are written as
-Simpson quadrature (4,000 panels) directly in SQL: an independent method
-from the continued fractions used on the Spark side.
+Simpson quadrature (4,000 panels) directly in SQL, and the inverse normal as
+Newton steps on a power series: methods independent of the Spark side's.
 """
 
 from __future__ import annotations
 
-from twosample.functions.special import (AS241_CENTRAL_DEN, AS241_CENTRAL_NUM,
-                                         AS241_MID_DEN, AS241_MID_NUM, AS241_TAIL_DEN,
-                                         AS241_TAIL_NUM)
-
 PANELS = 4000
 
 
@@ -43,29 +39,15 @@ def chi2_sf_sql(x: str, k: str) -> str:
     return f"least(1.0, {_simpson(body, lo, '14.0')} / {norm})"
 
 
-def _horner_sql(x: str, coeffs) -> str:
-    def lit(c):  # scientific notation keeps DuckDB literals DOUBLE
-        return "%.17e" % c
-    acc = lit(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
-        acc = f"(({acc}) * ({x}) + {lit(c)})"
-    return acc
-
-
 def norm_ppf_sql(p: str) -> str:
-    """AS241 inverse normal CDF in SQL."""
-    q = f"(({p}) - 0.5)"
-    rc = f"(0.180625 - {q} * {q})"
-    central = f"({q} * {_horner_sql(rc, AS241_CENTRAL_NUM)} / {_horner_sql(rc, AS241_CENTRAL_DEN)})"
-    r = f"sqrt(-ln(CASE WHEN {q} < 0 THEN ({p}) ELSE 1.0 - ({p}) END))"
-    rm, rt = f"({r} - 1.6)", f"({r} - 5.0)"
-    mid = f"({_horner_sql(rm, AS241_MID_NUM)} / {_horner_sql(rm, AS241_MID_DEN)})"
-    far = f"({_horner_sql(rt, AS241_TAIL_NUM)} / {_horner_sql(rt, AS241_TAIL_DEN)})"
-    outer = f"(CASE WHEN {r} <= 5.0 THEN {mid} ELSE {far} END)"
-    return (f"(CASE WHEN abs({q}) <= 0.425 THEN {central} "
-            f"WHEN {q} < 0 THEN -{outer} ELSE {outer} END)")
-
-
-def r6(expr: str) -> str:
-    """Both sides round statistics and p-values to 6 decimals."""
-    return f"round({expr}, 6)"
+    """Inverse normal CDF by Newton steps on the CDF's power series
+    Phi(x) = 1/2 + phi(x) * sum x^(2k+1) / (2k+1)!!, from a rough start; it
+    shares nothing with the rational approximations of the Spark side."""
+    tail = f"least({p}, 1.0 - ({p}))"
+    start = f"(4.91 * (pow(1.0 - {tail}, 0.14) - pow({tail}, 0.14)))"          # of 1 - tail, so at least 0
+    phi = "(exp(-0.5 * nx * nx) / sqrt(2 * pi()))"
+    series = ("list_sum([exp((2 * nk + 1) * ln(greatest(nx, 1e-300)) - (nk + 1) * ln(2.0) - lgamma(nk + 1.5) + 0.5 * ln(pi())) "
+              "for nk in range(0, 90)])")
+    step = f"nx - (0.5 + {phi} * {series} - (1.0 - {tail})) / {phi}"
+    solved = f"list_reduce([{start}, 0.0, 0.0, 0.0, 0.0, 0.0], lambda nx, round_: {step})"
+    return f"(sign(({p}) - 0.5) * {solved})"

@@ -46,15 +46,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir`` for tables a
-    plan writes and reads back; on a local master without one, a temporary
-    folder is used (tests only)."""
+    """A fresh folder for tables a query writes and reads back: under the
+    shared ``spark.checkpoint.dir``, or the warehouse, which is shared too."""
     import uuid
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        import tempfile
-        base = tempfile.mkdtemp(prefix="twosample-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/twosample/{name}-{uuid.uuid4().hex}"

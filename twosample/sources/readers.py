@@ -52,10 +52,11 @@ def csv_group(spark: SparkSession, path: str, column: str | None = None,
 
 def csv_groups(spark: SparkSession, path1: str, path2: str, column1: str | None = None,
                column2: str | None = None, strict: bool = False,
-               labels: Sequence[str] = ("group1", "group2")) -> DataFrame:
-    """Two CSV files as one ``(grp, value)`` table, ready for ``two_sample``."""
-    a = csv_group(spark, path1, column1, strict=strict).withColumn("grp", F.lit(labels[0]))
-    b = csv_group(spark, path2, column2, strict=strict).withColumn("grp", F.lit(labels[1]))
+               labels: Sequence[str] = ("group1", "group2"), schema: T.StructType | str | None = None) -> DataFrame:
+    """Two CSV files as one ``(grp, value)`` table, ready for ``two_sample``.
+    ``schema``, of both files, saves the scan that infers types."""
+    a = csv_group(spark, path1, column1, schema, strict).withColumn("grp", F.lit(labels[0]))
+    b = csv_group(spark, path2, column2, schema, strict).withColumn("grp", F.lit(labels[1]))
     return a.unionByName(b)
 
 
@@ -78,22 +79,17 @@ def inline_groups(spark: SparkSession, group1: Sequence[float],
 def inline_json(spark: SparkSession, payload: str) -> DataFrame:
     """A2 from JSON text ``{"group1": [...], "group2": [...]}`` parsed with
     ``from_json`` on the executors."""
-    schema = "group1 array<double>, group2 array<double>"
-    df = spark.createDataFrame([(payload,)], "payload string").select(
-        F.from_json("payload", schema).alias("j"))
-    g1 = df.select(F.lit("group1").alias("grp"), F.posexplode("j.group1").alias("pos", "value"))
-    g2 = df.select(F.lit("group2").alias("grp"), F.posexplode("j.group2").alias("pos", "value"))
-    return g1.unionByName(g2)
+    return json_groups(spark.createDataFrame([(payload,)], "payload string"), "payload")
 
 
-def json_groups(df, column: str, labels=("group1", "group2")):
+def json_groups(df: DataFrame, column: str, labels: Sequence[str] = ("group1", "group2"),
+                keep: Sequence[str] = ()) -> DataFrame:
     """A2 at scale: a column of request payloads ``{"group1": [...],
-    "group2": [...]}`` parsed on the executors (``from_json``) and exploded
-    to ``(grp, pos, value)`` rows -- every payload row contributes its values
-    to both groups."""
-    schema = f"{labels[0]} array<double>, {labels[1]} array<double>"
-    parsed = df.select(F.from_json(F.col(column), schema).alias("j"))
-    parts = [parsed.select(F.lit(lab).alias("grp"),
-                           F.posexplode(F.col(f"j.{lab}")).alias("pos", "value"))
-             for lab in labels]
-    return parts[0].unionByName(parts[1])
+    "group2": [...]}`` parsed once each on the executors (``from_json``) and
+    exploded to ``(keep..., grp, pos, value)`` rows.  With a request id in
+    ``keep`` and in the test's ``by`` keys, every payload is its own test."""
+    schema = ", ".join(f"`{lab}` array<double>" for lab in labels)
+    parsed = df.select(*keep, F.from_json(F.col(column), schema).alias("j"))
+    sides = F.array(*[F.struct(F.lit(lab).alias("grp"), F.col("j")[lab].alias("vals")) for lab in labels])
+    return (parsed.select(*keep, F.explode(sides).alias("s"))
+            .select(*keep, F.col("s.grp").alias("grp"), F.posexplode("s.vals").alias("pos", "value")))
