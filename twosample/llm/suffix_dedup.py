@@ -19,7 +19,7 @@ first cut into pieces of bounded width that can be sorted apart:
   and go through the rounds, whole classes to a task.  Wherever neighbours share
   ``length`` bytes, the window that starts at that column occurs elsewhere.
 * A class with more variants than ``class_rows`` does not go to one task: all
-  windows of its variants are counted by 128-bit digests instead.
+  windows of its variants are counted by column and 128-bit digest instead.
 
 Windows on one anchor overlap, so an occurrence has one repeated span at most.
 Spans are joined per text and cut out.  Tables are handed on through
@@ -262,8 +262,10 @@ def repeated_spans(texts: DataFrame, length: int, class_rows: int, task_rows: in
     sorted_out = (few.select("h", "hs", "piece").repartition(tasks, "h").sortWithinPartitions("h")
                   .mapInArrow(_rounds(length, task_rows), "h long, hs long, first int, last int"))
     windows = pieces.filter("many").select("h", "hs", "piece").mapInArrow(_windows(length), "h long, hs long, c int, d binary")
-    twice = windows.groupBy("d").agg(F.count("*").alias("k")).filter("k > 1").select("d")
-    counted = windows.join(twice, "d").groupBy("h", "hs").agg(F.min("c").alias("first"), F.max("c").alias("last"))
+    # equal windows of a class stand at equal columns; other classes can hold the same place again
+    same = ["h", "c", "d"]
+    twice = windows.groupBy(*same).agg(F.count("*").alias("k")).filter("k > 1").select(*same)
+    counted = windows.join(twice, same).groupBy("h", "hs").agg(F.min("c").alias("first"), F.max("c").alias("last"))
     left = length - GRAM
     across = sorted_out.union(counted).select("h", "hs", F.lit(left).alias("base"), (left - F.col("last")).alias("near"),
                                               (left - F.col("first")).alias("far"))
