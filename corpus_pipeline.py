@@ -35,7 +35,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Four fifths of the tokens stay, shared out by weights, each document once."""
-    mixed = mix(docs, domain=domain_of_source(), budget=F.expr("total * 4 div 5"), epochs=1, keep=docs.columns, **MIX)
+    mixed = mix(docs, domain=domain_of_source(), budget=lambda total: total * 4 // 5, epochs=1, keep=docs.columns, **MIX)
     return mixed.filter("copies > 0").select(*[F.col(f"`kept_{c}`").alias(c) for c in docs.columns])
 
 

@@ -89,7 +89,7 @@ def domain_of_source() -> Column:
 
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(_table(spark, sf_dir, "documents"), domain=domain_of_source(), budget=F.expr("total * 3 div 4"), epochs=3, **MIX)
+    return mix(_table(spark, sf_dir, "documents"), domain=domain_of_source(), budget=lambda total: total * 3 // 4, epochs=3, **MIX)
 
 
 def _fill_sql(name: str, nodes: str, parent: str, names: str) -> str:

@@ -17,10 +17,15 @@ documents of one range meet in a window, never a leaf.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 LEVELS = ["domain", "lang", "source"]
+BROADCAST_LEAVES = 50_000
 
 
 def weights_column(col: str, weights: dict[str, int], other: int) -> Column:
@@ -55,16 +60,13 @@ def waterfill(nodes: DataFrame, parent: list[str]) -> DataFrame:
             .drop("used", "rest", "full", "open_budget", "open_weight"))
 
 
-def leaf_budgets(leaves: DataFrame, budget: Column, lang_weight: Column, domain_weight: Column,
+def leaf_budgets(leaves: DataFrame, budget: int, lang_weight: Column, domain_weight: Column,
                  source_weight: Column, epochs: int) -> DataFrame:
-    """``leaves`` (domain, lang, source, tokens) with ``budget`` tokens each;
-    ``budget``: an expression over ``total``, all tokens of all leaves."""
+    """``leaves`` (domain, lang, source, tokens) with ``budget`` tokens each."""
     caps = leaves.withColumn("capacity", F.col("tokens") * F.lit(epochs))
-    total = caps.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total")).select(
-        F.greatest(F.lit(0), budget.cast("long")).alias("parent_budget"), F.lit(0).alias("root"))
     domains = (caps.groupBy("domain").agg(F.sum("capacity").alias("capacity"))
-               .withColumn("weight", domain_weight).withColumn("root", F.xxhash64("domain").cast("int") * 0))
-    domains = waterfill(domains.join(total, "root"), ["root"])
+               .withColumns({"weight": domain_weight, "parent_budget": F.lit(max(0, budget)), "root": F.lit(0)}))
+    domains = waterfill(domains, ["root"])
     langs = (caps.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity")).withColumn("weight", lang_weight)
              .join(domains.select("domain", F.col("budget").alias("parent_budget")), "domain"))
     langs = waterfill(langs, ["domain"])
@@ -73,7 +75,7 @@ def leaf_budgets(leaves: DataFrame, budget: Column, lang_weight: Column, domain_
     return waterfill(sources, ["domain", "lang"]).select(*LEVELS, "tokens", "budget")
 
 
-def mix(docs: DataFrame, domain: Column, budget: Column, lang_weights: dict[str, int], lang_other: int = 1,
+def mix(docs: DataFrame, domain: Column, budget: Callable[[int], int], lang_weights: dict[str, int], lang_other: int = 1,
         domain_weights: dict[str, int] | None = None, domain_other: int = 1, source_weights: dict[str, int] | None = None,
         source_other: int = 1, epochs: int = 1, seed: int = 1, keep: list[str] | None = None, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang", source_col: str = "source", range_digits: int = 3) -> DataFrame:
@@ -83,7 +85,7 @@ def mix(docs: DataFrame, domain: Column, budget: Column, lang_weights: dict[str,
     ``copies`` is how often the document is taken: full epochs of its leaf,
     and one more if it is in the prefix of the last, partial epoch.
     ``tokens``: UTF-8 bytes / 4, rounded up, 1 at least (null and empty texts: 1).
-    ``domain``: an expression over ``source``; ``budget``: over ``total``, all tokens.
+    ``domain``: an expression over ``source``; ``budget``: tokens to take, given all tokens.
     Weights are whole numbers; a weight of 0 takes nothing.  Null languages,
     sources and domains count as the value '' .  Documents of a leaf are ordered
     by md5 of seed, epoch, id and tokens; rows equal in these follow each other.
@@ -96,12 +98,18 @@ def mix(docs: DataFrame, domain: Column, budget: Column, lang_weights: dict[str,
                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
                        F.greatest(F.lit(1), F.ceil(F.octet_length(text) / 4)).cast("long").alias("tokens"))
     rows = rows.withColumn("domain", F.coalesce(domain, F.lit("")))
-    leaves = leaf_budgets(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), budget,
-                          weights_column("lang", lang_weights, lang_other), weights_column("domain", domain_weights or {}, domain_other),
+    # one row per leaf: written once, the plans of the budgets stay small
+    sums = cut(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
+    total = sums.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    leaves = leaf_budgets(sums, budget(total), weights_column("lang", lang_weights, lang_other),
+                          weights_column("domain", domain_weights or {}, domain_other),
                           weights_column("source", source_weights or {}, source_other), epochs)
     leaves = (leaves.withColumn("rounds", F.expr("budget div tokens"))
               .withColumn("part_budget", F.col("budget") - F.col("rounds") * F.col("tokens"))
               .select(*LEVELS, F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget"), "rounds", "part_budget"))
+    leaves = cut(leaves, "mix-budgets")
+    if leaves.count() <= BROADCAST_LEAVES:       # else a shuffled join, whose hot leaf AQE splits
+        leaves = F.broadcast(leaves)
     sized = rows.join(leaves, LEVELS).withColumn("o", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("rounds").cast("string"),
                                                             F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("tokens").cast("string"))))
     sized = sized.withColumn("part", F.substring("o", 1, range_digits))
