@@ -170,7 +170,7 @@ def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text", n: int = 5, containment: float = 0.8,
-                 part_overlap: float = 0.5, block_bytes: int = 16 << 20) -> DataFrame:
+                 part_overlap: float = 0.5, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, item_id, passage_word, bm25, containment, question_overlap,
     answer_overlap): one row per document row and test item that it holds.
 
@@ -205,7 +205,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-                      n: int = 5, containment: float = 0.8, part_overlap: float = 0.5, block_bytes: int = 16 << 20) -> DataFrame:
+                      n: int = 5, containment: float = 0.8, part_overlap: float = 0.5, block_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` with all its columns, without the rows that hold an item, as
     ``contaminated`` defines it: one pass for each block of items, no join."""
     for block in item_blocks(items, item_id, item_text, block_bytes):
