@@ -19,7 +19,7 @@ from twosample.llm import simhash as SH  # noqa: E402
 from twosample.llm import suffix_dedup as SD  # noqa: E402
 from twosample.llm.common import cut  # noqa: E402
 from twosample.llm.components import connected_components  # noqa: E402
-from twosample.llm.fuzzy_lines import dedup_lines, line_links  # noqa: E402
+from twosample.llm.fuzzy_lines import dedup_lines, line_links, signatures  # noqa: E402
 
 
 # --- exact -------------------------------------------------------------------
@@ -227,7 +227,7 @@ def test_line_links_recall(spark):
     sets = [shingles_brute(x) for x in lines]
     pairs = [(i, j) for i, j in all_pairs(len(lines)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     df = cut(spark.createDataFrame(list(enumerate(lines)), "lid long, line string"), "test-lines")
-    links = [(r.u, r.v) for r in line_links(df, 0.8, 6, 3, 5).collect()]
+    links = [(r.u, r.v) for r in line_links(df, cut(signatures(df, 6, 3, 5), "test-keys"), 0.8, 6, 3, 5).collect()]
     assert {tuple(sorted(x)) for x in links} <= set(pairs)
     want, got = components(len(lines), pairs), components(len(lines), links)
     assert sum(a == b for a, b in zip(want, got)) >= 0.97 * len(lines)
