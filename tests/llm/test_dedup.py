@@ -231,3 +231,26 @@ def test_line_links_recall(spark):
     assert {tuple(sorted(x)) for x in links} <= set(pairs)
     want, got = components(len(lines), pairs), components(len(lines), links)
     assert sum(a == b for a, b in zip(want, got)) >= 0.97 * len(lines)
+
+
+def test_line_links_of_a_base_with_many_edited_copies(spark):
+    """Copies near the base but far from each other: components are those of all pairs that share a key."""
+    rng = random.Random(3)
+    base = words(rng, 42).split()
+    lines = [" ".join(base)]
+    for _ in range(1000):
+        ws = list(base)
+        for at in rng.sample(range(1, 40, 3), 2):
+            ws[at] = words(rng, 1, 1000)
+        lines.append(" ".join(ws))
+    lines = sorted(set(lines))
+    sets = [frozenset(x[i:i + 9] for i in range(len(x) - 8)) for x in lines]
+    df = cut(spark.createDataFrame(list(enumerate(lines)), "lid long, line string"), "test-lines")
+    keyed = cut(signatures(df, 6, 3, 5), "test-keys")
+    keys = {r.lid: set(r["keys"]) for r in keyed.collect()}
+    pairs = [(i, j) for i, j in all_pairs(len(lines)) if keys[i] & keys[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = components(len(lines), pairs)
+    assert collections.Counter(want).most_common(1)[0][1] > 0.97 * len(lines)
+    for rounds in (10, 1):                             # 1: nearly all is left to the last step
+        links = [(r.u, r.v) for r in line_links(df, keyed, 0.8, 6, 3, 5, rounds).collect()]
+        assert components(len(lines), links) == want
