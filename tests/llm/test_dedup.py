@@ -19,7 +19,7 @@ from twosample.llm import simhash as SH  # noqa: E402
 from twosample.llm import suffix_dedup as SD  # noqa: E402
 from twosample.llm.common import cut  # noqa: E402
 from twosample.llm.components import connected_components  # noqa: E402
-from twosample.llm.fuzzy_lines import dedup_lines, line_links, signatures  # noqa: E402
+from twosample.llm.fuzzy_lines import dedup_lines, line_links, shingle_hashes, signatures  # noqa: E402
 
 
 # --- exact -------------------------------------------------------------------
@@ -254,3 +254,17 @@ def test_line_links_of_a_base_with_many_edited_copies(spark):
     for rounds in (10, 1):                             # 1: nearly all is left to the last step
         links = [(r.u, r.v) for r in line_links(df, keyed, 0.8, 6, 3, 5, rounds).collect()]
         assert components(len(lines), links) == want
+
+
+def test_line_shingles_are_all_runs_of_characters(spark):
+    """Lines that differ beyond the first characters of their words only are apart; scripts without blanks are compared whole."""
+    rng = random.Random(4)
+    far = [("2024-01-01T00:00:01 request ok", "2024-01-01T23:59:59 request ok"), ("see https://example.org/a/1 here", "see https://example.org/zzzz/99 here")]
+    wide = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(150)) + "\U0001F600" * 3
+    near = [("x" + wide, "y" + wide)]                  # no word start in common
+    lines = [x for pair in far + near for x in pair] + ["short", "short2"]
+    df = cut(spark.createDataFrame(list(enumerate(lines)), "lid long, line string"), "test-lines")
+    sets = df.select("lid", "line", shingle_hashes(F.col("line")).alias("hs")).collect()
+    assert [len(r.hs) for r in sorted(sets)] == [len({x[i:i + 9] for i in range(max(1, len(x) - 8))}) for x in lines]
+    links = [(r.u, r.v) for r in line_links(df, cut(signatures(df, 6, 3, 5), "test-keys"), 0.8, 6, 3, 5).collect()]
+    assert {tuple(sorted(x)) for x in links} == {(4, 5)}
