@@ -171,6 +171,28 @@ def test_license_rules_number_in_the_hundreds_and_compile():
         re.compile(r[4])
 
 
+def test_license_gate_and_keywords_lose_nothing(spark):
+    """Labels are those of all rules tried on all texts, without gate or keyword."""
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of it"
+    texts = [grant, "released under the MIT.", "Distributed under the terms of the GNU GPL v3.", "available under bsd", "Use is granted under the Apache.",
+             "Rights are hereby granted under Zlib", "Distributed under CC BY-SA 4.0", "under the University of Illinois license", "released under university of Illinois",
+             "redistributed under ISC", "granted, under the MIT", "understood and available", "you may not use this file except in compliance with the License",
+             "free and unencumbered software released into the public domain"]
+    words_of = {"ncsa": ["ncsa", "university of illinois"], "mulan": ["mulan"], "cc-by": ["cc by", "creative commons attribution"]}
+    shapes = ["spdx license identifier {}", "released under {}", "available under the terms of the {} 2", "use is granted under {}", "{} licence 2", "{} license"]
+    texts += [sh.format(n) for names in words_of.values() for n in names for sh in shapes]
+    texts += [sh.format(key) for _, key, _ in LS.FAMILIES for sh in shapes]
+    got = {r.doc_id: (set(r["labels"].split(",")) - {""}, r.score) for r in LS.scan_licenses(docs(spark, list(enumerate(texts)), extra=False)).collect()}
+    for k, t in enumerate(texts):
+        norm = " " + " ".join(re.findall(LS.WORD, t.lower())) + " "
+        found = [(m.start(), -m.end(), prio, label) for label, _, prio, _, rx in LS.rules() for m in re.finditer(f"(?<= )(?:{rx})(?= )", norm)]
+        kept = {d[3] for d in found if not any(o[0] <= d[0] and o[1] <= d[1] and o[2] <= d[2] and o < d for o in found)}
+        base = {label for phrase, label in LS.BASE if f" {phrase} " in norm}
+        assert got[k][0] == kept | base, t
+    assert got[0][0] == got[1][0] == {"mit"} and got[7][0] == got[8][0] == {"ncsa"}
+    assert all(got[k][0] for k in range(10))
+
+
 # --- mixing ------------------------------------------------------------------
 def fill_brute(budget, children):
     """children: {name: (capacity, weight)} to {name: budget}, by rounds."""

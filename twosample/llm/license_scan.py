@@ -21,7 +21,7 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# label, name as its words stand in running text (a pattern), keyword of the prefilter
+# label, name as its words stand in running text (a pattern), keyword: a start of a word in every match
 FAMILIES = [
     ("mit", "mit", "mit"), ("apache", "apache", "apache"), ("gpl", "(?:gnu )?(?:gpl|general public)", "g"),
     ("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public)", "l"), ("agpl", "(?:gnu )?(?:agpl|affero general public)", "a"),
@@ -30,7 +30,7 @@ FAMILIES = [
     ("eupl", "(?:eupl|european union public)", "eu"), ("zlib", "zlib(?: libpng)?", "zlib"), ("boost", "boost(?: software)?", "boost"),
     ("artistic", "artistic", "artistic"), ("unlicense", "unlicense", "unlicense"), ("wtfpl", "wtfpl", "wtfpl"),
     ("python", "(?:python software foundation|psf)", "p"), ("php", "php", "php"), ("ruby", "ruby", "ruby"), ("openssl", "openssl", "openssl"),
-    ("w3c", "w3c", "w3c"), ("ofl", "(?:ofl|(?:sil )?open font)", "o"), ("ncsa", "(?:ncsa|university of illinois)", "n"),
+    ("w3c", "w3c", "w3c"), ("ofl", "(?:ofl|(?:sil )?open font)", "o"), ("ncsa", "ncsa", "ncsa"), ("ncsa", "university of illinois", "university"),
     ("postgresql", "postgresql", "postgresql"), ("vim", "vim", "vim"), ("afl", "(?:afl|academic free)", "a"), ("osl", "(?:osl|open software)", "o"),
     ("bsl", "business source", "business"), ("sspl", "(?:sspl|server side public)", "s"), ("elastic", "elastic", "elastic"),
     ("odbl", "(?:odbl|open database)", "o"), ("x11", "x11", "x11"), ("curl", "curl", "curl"), ("ms-pl", "microsoft public", "microsoft"),
@@ -53,7 +53,7 @@ SHAPES = [
 # rules that stand by themselves: label, keyword, priority, confidence, pattern
 NOTICES = [
     ("proprietary", "reserved", 2, 0.60, "all rights reserved"),
-    ("mit", "merchantability", 1, 0.90, "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "hereby", 1, 0.90, "permission is hereby granted free of charge to any person obtaining a copy"),
     ("bsd", "redistribution", 1, 0.90, "redistribution and use in source and binary forms with or without modification are permitted"),
     ("gpl", "redistribute", 1, 0.90, "you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("apache", "compliance", 1, 0.90, "you may not use this file except in compliance with the license"),
@@ -62,7 +62,8 @@ NOTICES = [
     ("copyright", "copyright", 3, 0.30, "copyright (?:c )?[0-9]{4}"),
 ]
 
-GATE = "licen|reserved|public domain|copyright|permission|redistribut|wtfpl"
+# every match of a rule or base phrase holds one of these
+GATE = "licen|reserved|public domain|copyright|permission|redistribut|released under|distributed under|available under|granted under"
 
 
 def rules() -> list[tuple[str, str, int, float, str]]:
