@@ -291,6 +291,18 @@ def test_decontamination(spark):
     assert BM.contaminated(docs(spark, rows), none).count() == 0 and BM.contaminated(docs(spark, []), table).count() == 0
 
 
+def test_decontamination_finds_spread_items_at_all_offsets():
+    """An item with a gap inside, over a span of at most twice the longest item, is found wherever it stands."""
+    rng = random.Random(21)
+    question, answer = words(rng, 30), words(rng, 10)
+    index = BM.ItemIndex([(1, f"{question}. {answer}."), (2, words(rng, 20) + ". " + words(rng, 10) + ".")], 5, 0.8, 0.5)
+    filler = words(rng, 700, 9999).split()
+    for gap in (10, 20, 30, 40):
+        for at in range(0, 560, 3):
+            text = filler[:at] + question.split() + filler[600:600 + gap] + answer.split() + filler[at:560]
+            assert [h[0] for h in index.search(BM.words_of(" ".join(text)))] == [1], (gap, at)
+
+
 def test_retrieval_gives_all_items_at_or_above_theta():
     rng = random.Random(2)
     items = [(k, words(rng, 30, vocab=40)) for k in range(100)]

@@ -10,9 +10,10 @@ words at most, at worst the heaviest ones.  No verified item is thus lost.
 
 A text is first taken whole.  Postings per block of items give upper bounds
 (block maxima); blocks below their smallest ``theta`` are skipped, items in the
-others are scored.  A text that is longer than a passage is halved, with
-an overlap as long as the longest item, for the items that are left; what
-remains at passage length is verified.
+others are scored.  A text that is longer than a passage is halved for the items
+that are left, and what remains at passage length is verified.  An item counts
+with other text inside it, over a span of at most twice the longest item; the
+halves overlap by such a span, so each lies whole in one passage.
 """
 
 from __future__ import annotations
@@ -134,7 +135,7 @@ class ItemIndex:
             if not len(items):
                 continue
             if b - a > 3 * self.longest:
-                mid, half = (a + b) // 2, (self.longest + 1) // 2
+                mid, half = (a + b) // 2, self.longest         # an overlap of a span: 2 * longest
                 todo += [(mid - half, b), (a, mid + half)]
                 continue
             passage = words[a:b]
