@@ -303,6 +303,14 @@ def test_decontamination_finds_spread_items_at_all_offsets():
             assert [h[0] for h in index.search(BM.words_of(" ".join(text)))] == [1], (gap, at)
 
 
+def test_items_without_an_id_count(spark):
+    text = words(random.Random(30), 40)
+    table = spark.createDataFrame([(None, text), (None, None), (7, words(random.Random(31), 40))], "item_id long, text string")
+    rows = [(1, text), (2, words(random.Random(32), 40))]
+    assert [(r.doc_id, r.item_id) for r in BM.contaminated(docs(spark, rows), table).collect()] == [(1, None)]
+    assert [r.doc_id for r in BM.drop_contaminated(docs(spark, rows), table).collect()] == [2]
+
+
 def test_retrieval_gives_all_items_at_or_above_theta():
     rng = random.Random(2)
     items = [(k, words(rng, 30, vocab=40)) for k in range(100)]

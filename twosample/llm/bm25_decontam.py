@@ -157,7 +157,7 @@ class ItemIndex:
 def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about ``block_bytes`` of text, one after the other."""
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter(
-        "i is not null and t is not null").distinct()
+        "t is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("t").cast("long")).alias("n")).first()["n"] or 0
     if total <= block_bytes:
         yield [tuple(r) for r in rows.orderBy("i", "t").collect()]
@@ -182,8 +182,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     item) with the highest containment, the first of equals.
 
     Items are taken in blocks of ``block_bytes``, each sent to all tasks.  Null
-    texts hold nothing and null items are left out, as are items without
-    a word; repeated documents give a row each, repeated items count once; null doc_ids
+    texts hold nothing and items without a word are left out; an item
+    with a null id counts and keeps it; repeated documents give a row each, repeated items count once; null doc_ids
     are passed on; empty tables give an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
