@@ -17,6 +17,7 @@ from helpers import all_pairs, components, docs, odd_rows, words  # noqa: E402
 from twosample.llm import exact_dedup as ED  # noqa: E402
 from twosample.llm import simhash as SH  # noqa: E402
 from twosample.llm import suffix_dedup as SD  # noqa: E402
+from twosample.llm.catalog import QUERIES  # noqa: E402
 from twosample.llm.common import cut  # noqa: E402
 from twosample.llm.components import connected_components  # noqa: E402
 from twosample.llm.fuzzy_lines import dedup_lines, line_links, shingle_hashes, signatures  # noqa: E402
@@ -268,3 +269,11 @@ def test_line_shingles_are_all_runs_of_characters(spark):
     assert [len(r.hs) for r in sorted(sets)] == [len({x[i:i + 9] for i in range(max(1, len(x) - 8))}) for x in lines]
     links = [(r.u, r.v) for r in line_links(df, cut(signatures(df, 6, 3, 5), "test-keys"), 0.8, 6, 3, 5).collect()]
     assert {tuple(sorted(x)) for x in links} == {(4, 5)}
+
+
+def test_registered_line_dedup_takes_short_lines(spark, tmp_path):
+    wide = "".join(chr(0x4E00 + 7 * k) for k in range(60))
+    rows = [(1, f"Yes.\none two\n\n{wide}"), (2, f"Yes.\n \none two\n{wide}\nNo."), (3, "\nYes.")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 0, rows[0][1]), 2: (5, 3, " \nNo."), 3: (2, 1, "")}

@@ -129,4 +129,4 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(_table(spark, sf_dir, "documents"))
+    return dedup_lines(_table(spark, sf_dir, "documents"), min_words=1)
