@@ -104,6 +104,16 @@ def test_quality_odd_rows(spark):
     assert QG.quality_scores(docs(spark, []), spark.createDataFrame([], schema), F.lit(False)).count() == 0
 
 
+def test_quality_learns_a_repeated_id_once(spark, monkeypatch):
+    """Rows that repeat a labelled id do not all reach the driver."""
+    seen, fit = [], QG.fit
+    monkeypatch.setattr(QG, "fit", lambda x, y: seen.append(len(y)) or fit(x, y))
+    rows = [(1, f"text {k}") for k in range(300)] + [(2, "other text"), (3, "third")]
+    known = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    got = QG.quality_scores(docs(spark, rows), known, F.lit(False), max_train_rows=3).collect()
+    assert len(got) == 302 and seen == [3]
+
+
 def test_gam_learns_steps_and_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.uniform(-1, 1, (4000, 3))

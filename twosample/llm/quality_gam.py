@@ -172,6 +172,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col:
     The model learns from at most ``max_train_rows`` labelled rows where
     ``held_out`` (an expression over ``doc_id``) is false: those with the
     smallest md5 of their id, so the choice does not depend on the layout.
+    A label is learned once however many rows share its id (least features).
     Null labels are left out; with no row or one class to learn from, the
     score is that share of labels.  Null texts count as empty.  Repeated rows
     stay; an empty table gives an empty result; other columns are ignored.
@@ -180,7 +181,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col:
     known = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
         "label is not null and doc_id is not null").filter(~held_out)
     pick = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "label").limit(max_train_rows)
-    train = rows.join(pick, "doc_id").select("doc_id", "x", "label").toPandas().sort_values(["doc_id", "label"])
+    one = rows.join(pick.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("x").alias("x"))
+    train = one.join(pick, "doc_id").select("doc_id", "x", "label").toPandas().sort_values(["doc_id", "label"])
     x = np.array(train["x"].tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
     model = fit(x, train["label"].to_numpy(dtype=np.float64))
 
