@@ -236,10 +236,14 @@ def test_filter_audit_of_nothing(spark):
 def test_router_steps_over_a_shared_opening(spark):
     rng = random.Random(9)
     opening = "The same first line of a great many documents. " * 20
-    texts = [opening + words(rng, 4) for _ in range(600)] + ["copy of one text"] * 400 + [words(rng, 6) for _ in range(500)]
+    base = words(rng, 300)
+    texts = ([opening + words(rng, 4) for _ in range(600)] + ["copy of one text"] * 400 + [words(rng, 6) for _ in range(500)]
+             + [edited(rng, base, 1) for _ in range(400)] + [base] * 300)
     rng.shuffle(texts)
-    router = FA.text_router(spark.createDataFrame([(t,) for t in texts], "text string"), leaf_rows=50, tasks=4)
-    assert any(depth >= len(opening) for depth, *_ in router.nodes)
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    router = FA.text_router(table, leaf_rows=50, tasks=4)
+    assert any(isinstance(at, int) and at >= len(opening) for at, *_ in router.nodes)
+    assert len(router.nodes) < 30                   # copies edited at hundreds of places need no node each
     leaf = {t: router.leaf(t.encode()) for t in texts}
     ordered = [leaf[t] for t in sorted(leaf, key=str.encode)]
     assert ordered == sorted(ordered)               # a range partition

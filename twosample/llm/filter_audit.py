@@ -4,11 +4,11 @@ Five filters, four on a text alone and one on identical texts, give each documen
 a mask of the filters that it fails.  All orders are then sums over masks.
 
 Identical texts are found with radix tries.  Texts are range-partitioned by
-prefixes that adapt to the data: a node of the router cuts the next six bytes
-of its texts into ranges of about equal counts, and where one value of these bytes holds
-more than a range's share, a child node goes on behind the longest prefix that all
-texts of that value share.  So a line that opens a third of all documents is
-stepped over at once.  Every task inserts the full texts of its ranges, in order, into one
+prefixes that adapt to the data: a node of the router cuts the next six bytes of its
+texts into ranges of about equal counts.  Where one value of these bytes holds more
+than a range's share, a child cuts its texts by where they leave the path of one of
+them, so a line that opens a third of all documents is stepped over at once, and
+so are thousands of edited copies.  Every task inserts the full texts of its ranges, in order, into one
 compressed trie per range (a range larger than memory gets several); a terminal holds the smallest id seen for its text,
 with what is needed of the rows that carry it.  A larger id is a duplicate at once; a
 smaller one turns the holder out as a duplicate.  The traversal at the end gives the
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 FILTERS = "ABCDE"
 DUPLICATE = 16                  # the mask's bit of filter E
 SYMBOL = re.compile(rb"[#$%&*|]")
@@ -34,6 +36,7 @@ CAPITALS = bytes(range(65, 91))
 DIGIT = 6                       # bytes that a node looks at: the sketch holds them as doubles, whole below 53 bits
 HELD_BYTES = 32 << 20           # texts that a task holds at once, to collapse copies or in a trie
 LEAF_ROWS = 4_000               # rows a range should hold
+LONGEST = 1 << 40               # more than any text's bytes
 MOST_RANGES = 10_000            # of one node; a larger table gets larger ranges, not a larger sketch
 
 
@@ -111,12 +114,22 @@ def _digit(text: Column, depth: Column) -> Column:
     return F.conv(part, 16, 10).cast("long")
 
 
+def path_code(text: bytes, path: bytes) -> int:
+    """A number that orders texts as their bytes do, told by where they leave ``path``:
+    the earlier a text does, the smaller or the larger it is."""
+    if text == path:
+        return 0
+    at = shared_prefix(text, path)
+    return (at - LONGEST) if text < path else (LONGEST - at)
+
+
 class Router:
-    """Nodes (depth, cut points, {digit: child}) of the adaptive prefixes; ``leaf`` numbers
-    a text's range in text order."""
+    """Nodes (depth or path, cut points, {code: child}) of the adaptive prefixes.  A node
+    with a depth tells texts apart by the bytes there, one with a path by where they leave
+    it.  ``leaf`` numbers a text's range, in text order."""
 
     def __init__(self) -> None:
-        self.nodes: list[tuple[int, list[int], dict[int, int]]] = []
+        self.nodes: list[tuple[int | bytes, list[int], dict[int, int]]] = []
         self.first: dict[tuple[int, int], int] = {}
         self.leaves = 0
 
@@ -132,61 +145,71 @@ class Router:
     def leaf(self, text: bytes) -> int:
         node = 0
         while True:
-            depth, cuts, children = self.nodes[node]
-            digit = int.from_bytes(text[depth:depth + DIGIT].ljust(DIGIT, b"\0"), "big")
-            if digit not in children:
-                # a heavy value without a child (equal texts) has the range in front of its cut
-                return self.first[node, bisect_left(cuts, digit)]
-            node = children[digit]
+            at, cuts, children = self.nodes[node]
+            if isinstance(at, bytes):
+                code = path_code(text, at)
+            else:
+                code = int.from_bytes(text[at:at + DIGIT].ljust(DIGIT, b"\0"), "big")
+            if code not in children:
+                # a heavy code without a child (equal texts) has the range in front of its cut
+                return self.first[node, bisect_left(cuts, code)]
+            node = children[code]
 
 
-def _common_depth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Depth behind the longest shared prefix; null where going on parts nothing (equal
-    texts, or texts that differ in trailing zero bytes only)."""
-    for b in batches:
-        low, high, above = (b.column(k).to_pylist() for k in ("low", "high", "above"))
-        depth = [shared_prefix(x.encode(), y.encode()) if x != y else 0 for x, y in zip(low, high)]
-        depth = [d if d >= a + DIGIT else None for d, a in zip(depth, above)]
-        yield pa.record_batch({"node": b.column("node"), "digit": b.column("digit"), "depth": pa.array(depth, pa.int32())})
+def _path_codes(paths: dict[int, bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = [path_code(t.encode(), paths[k]) for k, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.int64())], names=[*b.schema.names, "code"])
+    return run
 
 
 def text_router(texts: DataFrame, leaf_rows: int = LEAF_ROWS, tasks: int = 12) -> Router:
-    """Adaptive prefixes of ``texts`` (text, not null) so that a range holds about
+    """Adaptive prefixes of ``texts`` (text, not null; id) so that a range holds about
     ``leaf_rows`` rows, or fewer so that there are a few ranges a task.
 
-    A round gives all open nodes their cut points by one quantile sketch each; a digit that is
-    two cut points in a row is heavy, and its longest shared prefix comes from its smallest
-    and largest text.  What reaches the driver is a few numbers a range."""
+    Rounds take turns.  One cuts the bytes at its nodes' depths by a quantile sketch each;
+    bytes that are two cut points in a row are heavy, and their texts go on to a node
+    with a path, some text of theirs.  The next round cuts these nodes by the places at which texts leave
+    the path, so texts with a long shared prefix, or copies edited at many places, are
+    parted at once; a heavy place gives a node with that depth.  Only texts of heavy codes
+    are written for the next round.  What reaches the driver is a few numbers a range
+    and a text a path."""
     spark, router, share = texts.sparkSession, Router(), None
-    open_nodes: list[tuple] = [(None, None, 0)]         # (parent, its digit, depth)
-    routed = texts.select("text", F.lit(0).alias("node"), F.lit(0).alias("depth"))
+    open_nodes: list[tuple] = [(None, None, 0)]         # (parent, its code, depth)
+    rows = texts.select("text", "id", F.lit(0).alias("node"))
+    by_path = False
     while open_nodes:
-        sizes = {r.node: r.n for r in routed.groupBy("node").agg(F.count("*").alias("n")).collect()}
+        sizes = {r.node: r.n for r in rows.groupBy("node").agg(F.count("*").alias("n")).collect()}
         if share is None:
             share = max(1, min(leaf_rows, sum(sizes.values()) // (4 * tasks)))
+        if by_path:
+            some = rows.groupBy("node").agg(F.min_by("text", F.xxhash64("text", "id")).alias("path"))
+            at = {r.node: r.path.encode() for r in some.collect()}
+            coded = rows.mapInArrow(_path_codes(at), "text string, id long, node int, code long")
+        else:
+            at = {k: depth for k, (_, _, depth) in enumerate(open_nodes)}
+            depths = F.get(F.array(*[F.lit(d) for _, _, d in open_nodes]), F.col("node"))
+            coded = rows.withColumn("code", _digit(F.col("text"), depths))
         most = max(1, min(max(sizes.values(), default=0) // share, MOST_RANGES))
-        marks = {r.node: r.q for r in routed.select("node", _digit(F.col("text"), F.col("depth")).alias("digit")).groupBy("node").agg(
-            F.percentile_approx("digit", [k / most for k in range(1, most + 1)], 20 * most).alias("q")).collect()}
+        marks = {r.node: r.q for r in coded.groupBy("node").agg(
+            F.percentile_approx("code", [k / most for k in range(1, most + 1)], 20 * most).alias("q")).collect()}
         heavy = []
-        for k, (parent, digit, depth) in enumerate(open_nodes):
+        for k, (parent, code, depth) in enumerate(open_nodes):
             every = max(1, most // max(1, sizes.get(k, 0) // share))       # a smaller node has fewer ranges
             q, node = marks.get(k, [])[every - 1:most - 1:every], len(router.nodes)
-            router.nodes.append((depth, sorted(set(q)), {}))
+            router.nodes.append((at.get(k, 0), sorted(set(q)), {}))
             if parent is not None:
-                router.nodes[parent][2][digit] = node
-            heavy += [(k, node, x) for x in sorted({x for x, y in zip(q, q[1:]) if x == y})]
-        if not heavy:
-            break
-        keys = spark.createDataFrame([(k, x) for k, _, x in heavy], "node int, digit long")
-        rows = routed.withColumn("digit", _digit(F.col("text"), F.col("depth"))).join(F.broadcast(keys), ["node", "digit"])
-        ends = rows.groupBy("node", "digit").agg(F.max("depth").alias("above"), F.min("text").alias("low"), F.max("text").alias("high"))
-        depths = {(r.node, r.digit): r.depth for r in ends.mapInArrow(_common_depth, "node int, digit long, depth int").collect()}
-        deeper = [(k, node, x, depths[k, x]) for k, node, x in heavy if depths[k, x] is not None]
-        open_nodes = [(node, x, depth) for _, node, x, depth in deeper]
-        if deeper:
-            to = spark.createDataFrame([(k, x, i, depth) for i, (k, _, x, depth) in enumerate(deeper)], "node int, digit long, to int, deeper int")
-            routed = rows.select("text", "node", "digit").join(F.broadcast(to), ["node", "digit"]).select(
-                "text", F.col("to").alias("node"), F.col("deeper").alias("depth"))
+                router.nodes[parent][2][code] = node
+            for x in sorted({x for x, y in zip(q, q[1:]) if x == y}):
+                below = depth + DIGIT if not by_path else LONGEST - abs(x)
+                if not by_path or x and below >= depth:         # else equal texts, or trailing zero bytes: nothing to part
+                    heavy.append((k, x, node, below))
+        open_nodes = [(node, x, below) for _, x, node, below in heavy]
+        if heavy:
+            keys = spark.createDataFrame([(k, x, i) for i, (k, x, *_) in enumerate(heavy)], "node int, code long, to int")
+            rows = cut(coded.join(F.broadcast(keys), ["node", "code"]).select("text", "id", F.col("to").alias("node")), "audit-heavy")
+        by_path = not by_path
     router.number()
     return router
 
@@ -201,7 +224,7 @@ def fail_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    router = text_router(rows.select("text"), leaf_rows, tasks)
+    router = text_router(rows.select("text", "id"), leaf_rows, tasks)
     schema = "id long, part string, mask int, rows long, leaf int, text binary"
 
     def batch(found: list, leaves: list | None = None, texts: list | None = None) -> pa.RecordBatch:
