@@ -85,6 +85,23 @@ def test_ngram_join_of_nothing(spark):
     assert sorted(map(tuple, GJ.jaccard_components(docs(spark, [(2, None), (1, "")])).collect())) == [(1, 0, 1), (2, 0, 2)]
 
 
+def test_shingle_sets_do_not_depend_on_how_texts_are_hashed_together(monkeypatch):
+    rng = random.Random(1)
+    texts = [r[1] for r in odd_rows()] + ["a\0 b", "a b", "x" * 700, "x" * 700 + " y", "p q r s t " * 3, "P\tq\nr  s t p", " "] + [
+        words(rng, rng.randrange(200)) for _ in range(50)]
+    whole = [s.tolist() for s in GJ.shingle_sets(texts)]
+    want = []
+    for t in texts:
+        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
+        want.append(len({tuple(w[i:i + 5]) for i in range(len(w) - 4)}) if len(w) >= 5 else min(1, len(w)))
+    assert [len(s) for s in whole] == want
+    assert whole == [s.tolist() for t in texts for s in GJ.shingle_sets([t])]
+    monkeypatch.setattr(GJ, "SEGMENT", 300)         # long texts go segment by segment
+    small = [s.tolist() for s in GJ.shingle_sets(texts)]
+    assert [s for s, t in zip(small, texts) if "x" * 700 not in (t or "")] == [s for s, t in zip(whole, texts) if "x" * 700 not in (t or "")]
+    assert [len(s) for s in small] == want
+
+
 def test_similar_sets_share_a_prefix_token_that_passes_the_place_filter():
     rng = random.Random(2)
     for _ in range(400):

@@ -24,7 +24,7 @@ all documents in 2 ** ``ORDER_BITS`` classes of tokens, a table of fixed size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,32 +38,91 @@ from .components import connected_components
 ORDER_BITS = 18                 # classes of tokens whose frequency is told: 1 MB in every task
 BROADCAST_KEYS = 500_000        # keys (16 bytes each) that may be broadcast
 CHUNK = 256                     # members that one task compares with a copy of their hub
-HELD_WORDS = 500_000            # word hashes that a task keeps
+SEGMENT = 1 << 18               # bytes of text hashed together
 NUM, DEN = 4, 5                 # the similarity, 0.8, in whole numbers
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def shingle_set(text: str | None, hashes: WordHashes, words: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles (fewer words: of the
-    whole sequence; none: empty).  Words are parted by the bytes 0x20 and 0x09-0x0D, A-Z lower-cased."""
-    ws = (text or "").encode().lower().split()
-    if not ws:
-        return np.empty(0, dtype=np.uint64)
-    h = np.array([hashes[w] for w in ws], dtype=np.uint64)
-    k = min(words, len(h))
-    x = np.full(len(h) - k + 1, k, dtype=np.uint64)
-    for i in range(k):          # a polynomial in the word hashes, then mixed
-        x = x * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - k + 1 + i]
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(SEGMENT + 1, base, dtype=np.uint64)], dtype=np.uint64)
+
+
+SEPARATORS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BASE = 0x9E3779B97F4A7C15                               # odd, so it has an inverse modulo 2 ** 64
+POWERS, INVERSES = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the words of at most ``SEGMENT`` bytes that begin and end with a blank:
+    each word's polynomial in its bytes, from one running sum over all of them."""
+    a = np.frombuffer(data, dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(SEPARATORS[a].view(np.int8))) + 1
+    starts, ends = edges[::2], edges[1::2]
+    total = np.cumsum((a.astype(np.uint64) + np.uint64(1)) * POWERS[:len(a)], dtype=np.uint64)
+    return starts, _mixed((total[ends - 1] - total[starts - 1]) * INVERSES[starts])
+
+
+def _long_words(data: bytes) -> np.ndarray:
+    """Word hashes of one text, segment by segment; each ends where a blank is.  A word
+    longer than a segment gets a hash of its own kind."""
+    data, at, out = b" " + data + b" ", 0, []
+    while at < len(data) - 1:
+        part = data[at:at + SEGMENT]
+        blanks = np.flatnonzero(SEPARATORS[np.frombuffer(part, dtype=np.uint8)])
+        if blanks[-1] > 0:
+            out.append(_words(part[:blanks[-1] + 1])[1])
+            at += int(blanks[-1])
+        else:
+            end = at + 1
+            while not SEPARATORS[data[end]]:
+                end += 1
+            out.append(np.array([xxhash.xxh64_intdigest(data[at + 1:end])], dtype=np.uint64))
+            at = end
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def _shingled(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` word hashes."""
+    x = np.full(max(0, len(h) - k + 1), k, dtype=np.uint64)
+    for i in range(k):
+        x = x * np.uint64(BASE) + h[i:len(x) + i]
         x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(x ^ (x >> np.uint64(32)))
+    return _mixed(x)
+
+
+def shingle_sets(texts: Iterable[str | None], words: int = 5) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its word shingles (fewer words: of
+    the whole sequence; none: empty).  Words are parted by the bytes 0x20 and 0x09-0x0D, A-Z
+    lower-cased.  Texts are hashed together, about ``SEGMENT`` bytes at a time."""
+    def sets(h: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        x = _shingled(h, words)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            yield np.unique(x[a:b - words + 1] if b - a >= words else _shingled(h[a:b], b - a)) if a < b else h[:0]
+
+    held, size = [], 0
+
+    def flush() -> Iterator[np.ndarray]:
+        offsets = np.cumsum([1, *(len(t) + 1 for t in held)])
+        starts, h = _words(b" " + b" ".join(held) + b" ")
+        yield from sets(h, np.searchsorted(starts, offsets))
+
+    for text in texts:
+        data = (text or "").encode().lower()
+        if held and size + len(data) + len(held) > SEGMENT - 8:
+            yield from flush()
+            held, size = [], 0
+        if len(data) > SEGMENT - 8:
+            h = _long_words(data)
+            yield from sets(h, np.array([0, len(h)]))
+        else:
+            held.append(data)
+            size += len(data)
+    if held:
+        yield from flush()
 
 
 def prefix_size(n: int) -> int:
@@ -78,17 +137,14 @@ def _class(tokens: np.ndarray) -> np.ndarray:
 def _count(words: int):
     """(kind 0: id, key, n; kind 1: class, count) of one task's documents (id, key, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, counts = WordHashes(), {}, np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        seen, counts = {}, np.zeros(1 << ORDER_BITS, dtype=np.int64)
         for b in batches:
-            keys, ns = b.column(1).to_pylist(), []
-            for key, text in zip(keys, b.column(2).to_pylist()):
-                n = seen.get(key)
-                if n is None:
-                    tokens = shingle_set(text, hashes, words)
-                    n = seen[key] = len(tokens)
-                    np.add.at(counts, _class(tokens), 1)
-                ns.append(n)
-            yield _rows(b.num_rows, kind=np.zeros(b.num_rows, np.int32), id=b.column(0), key=b.column(1), n=np.array(ns, np.int64))
+            keys = b.column(1).to_pylist()
+            new = {k: t for k, t in zip(keys, b.column(2).to_pylist()) if k not in seen}
+            for key, tokens in zip(new, shingle_sets(new.values(), words)):
+                seen[key] = len(tokens)
+                np.add.at(counts, _class(tokens), 1)
+            yield _rows(b.num_rows, kind=np.zeros(b.num_rows, np.int32), id=b.column(0), key=b.column(1), n=[seen[k] for k in keys])
         at = np.flatnonzero(counts)
         yield _rows(len(at), kind=np.ones(len(at), np.int32), id=at, n=counts[at])
     return run
@@ -114,7 +170,7 @@ def _post(words: int, counts: np.ndarray):
     """Postings (token, g, size, pos) of one task's groups, and for each distinct text a row
     (token = g, pos = -1, key) that makes it a member of its group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, groups = WordHashes(), set(), set()
+        seen, groups = set(), set()
         got: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
@@ -126,11 +182,9 @@ def _post(words: int, counts: np.ndarray):
             got.clear()
             return out
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if key in seen:
-                    continue
-                seen.add(key)
-                tokens = shingle_set(text, hashes, words)
+            new = {k: t for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if k not in seen}
+            seen.update(new)
+            for key, tokens in zip(new, shingle_sets(new.values(), words)):
                 n = len(tokens)
                 if not n:
                     continue
@@ -195,11 +249,10 @@ def _can_be_similar(size: Column, pos: Column, other_size: Column, other_pos: Co
 def _verify(words: int):
     """Links (a, b) among the sorted rows (a, chunk, role, b, text): a hub's text, then its members'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, hub, at = WordHashes(), None, None
+        hub, at = None, None
         for b in batches:
-            out = []
-            for a, chunk, role, other, text in zip(*(c.to_pylist() for c in b.columns)):
-                tokens = shingle_set(text, hashes, words)
+            out, cols = [], [c.to_pylist() for c in b.columns]
+            for a, chunk, role, other, tokens in zip(*cols[:4], shingle_sets(cols[4], words)):
                 if role == 0:
                     hub, at = tokens, (a, chunk)
                 elif at == (a, chunk):
