@@ -8,8 +8,9 @@ documents it stands for.
 
 The posting lists come from one sorted shuffle and are streamed; a token of one group
 only leaves nothing.  Group pairs are filtered by their sizes and by the places of
-the token: behind them both must have enough tokens left.  Then groups are
-expanded to members, the distinct texts, which are compared on their whole sets.
+each shared token, which bound the overlap, and by how many tokens their prefixes
+share.  Then groups are expanded to members, the distinct texts, which are compared on
+their whole sets.
 
 No list is paired with itself.  First every group goes to one hub, the group that
 most of its lists name; a list names the group in whose prefix its token comes first, which
@@ -241,9 +242,17 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _can_be_similar(size: Column, pos: Column, other_size: Column, other_pos: Column) -> Column:
-    """Whether two sets whose first common token stands at these places can be similar: behind
-    them each has the tokens for the overlap that the similarity asks for."""
-    return F.least(size - pos, other_size - other_pos) * F.lit(NUM + DEN) >= F.lit(NUM) * (size + other_size)
+    """Whether two sets with a common token at these places can be similar: what both have in
+    front of it, it itself and what both have behind it make the overlap at most."""
+    most = F.least(pos, other_pos) + F.least(size - pos, other_size - other_pos)
+    return most * F.lit(NUM + DEN) >= F.lit(NUM) * (size + other_size)
+
+
+def _enough_shared(shared: Column, size: Column, other_size: Column) -> Column:
+    """Whether two sets with that many common tokens in their prefixes can be similar: common
+    tokens that are not in both prefixes lie behind the prefix that ends first."""
+    behind = F.greatest(F.ceil(size * F.lit(NUM) / F.lit(DEN)), F.ceil(other_size * F.lit(NUM) / F.lit(DEN))) - 1
+    return (shared + behind) * F.lit(NUM + DEN) >= F.lit(NUM) * (size + other_size)
 
 
 def _verify(words: int):
@@ -265,16 +274,21 @@ def _verify(words: int):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, tasks: int) -> DataFrame:
-    """(u, v): the ``pairs`` (a, b; numbers of ``texts``) whose whole sets are similar.  A hub's
-    text goes once to every ``CHUNK`` of its members."""
+def verified(pairs: DataFrame, nodes: DataFrame, base: DataFrame, words: int, tasks: int) -> DataFrame:
+    """(u, v): the ``pairs`` (a, b; numbers of ``nodes``) whose whole sets are similar.  Only their
+    texts leave ``base`` (key, text).  A hub's text goes once to every ``CHUNK`` of its members."""
+    ends = cut(pairs.select(F.col("a").alias("num")).union(pairs.select("b")).distinct().join(nodes, "num"), "join-ends")
+    keys = F.broadcast(ends.select("key")) if ends.count() <= BROADCAST_KEYS else ends.select("key")
+    # the first of equal texts, where it is read
+    texts = base.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    texts = cut(texts.join(ends, "key").select("num", "text"), "join-texts")
     stars = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     dealt = pairs.join(stars, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
-    members = dealt.join(texts.select(F.col("num").alias("b"), "text"), "b").select("a", "chunk", F.lit(1).alias("role"), "b", "text")
-    hubs = stars.join(texts.select(F.col("num").alias("a"), "text"), "a").select(
+    members = dealt.join(texts.withColumnRenamed("num", "b"), "b").select("a", "chunk", F.lit(1).alias("role"), "b", "text")
+    hubs = stars.join(texts.withColumnRenamed("num", "a"), "a").select(
         "a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role"), F.col("a").alias("b"), "text")
     rows = hubs.unionByName(members).repartition(tasks, "a", "chunk").sortWithinPartitions("a", "chunk", "role")
-    return rows.mapInArrow(_verify(words), "u long, v long")
+    return cut(rows.mapInArrow(_verify(words), "u long, v long"), "join-links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
@@ -299,24 +313,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     posted = base.select("key", "text").mapInArrow(_post(words, counts), _ddl(POSTED))
     lists = cut(posted.repartition(tasks, "token").sortWithinPartitions("token", "pos", "size", "g", "key").mapInArrow(_lists, _ddl(LISTED)), "join-lists")
     members, lists = lists.filter("pos < 0").select("g", "key"), lists.filter("pos >= 0").drop("key")
-    # texts that may link: of groups that meet another one, or that hold several
+    # distinct texts that may link: of groups that meet another one, or that hold several; numbered, and written so that they stay
     meet = lists.select("g").union(members.groupBy("g").count().filter("count > 1").select("g")).distinct()
-    wanted = cut(members.join(meet, "g"), "join-wanted")
-    keys = wanted.select("key").distinct()
-    keys = F.broadcast(keys) if wanted.count() <= BROADCAST_KEYS else keys
-    # the first of each text, where it is read; numbers are written, so they stay
-    texts = cut(base.select("key", "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-                .withColumn("num", F.monotonically_increasing_id()), "join-texts")
-    of = cut(wanted.join(texts.select("key", "num"), "key").select("g", "num"), "join-members")
-
-    hub_ok = _can_be_similar(F.col("size"), F.col("pos"), F.col("hub_size"), F.col("hub_pos"))
-    votes = lists.filter("g <> hub").filter(hub_ok).groupBy("g", "hub").agg(F.count("*").alias("votes"))
+    wanted = members.join(meet, "g")
+    nodes = cut(wanted.select("key").distinct().withColumn("num", F.monotonically_increasing_id()), "join-nodes")
+    of = cut(wanted.join(nodes, "key").select("g", "num"), "join-members")
+    base = base.select("key", "text")
+
+    near = _can_be_similar(F.col("size"), F.col("pos"), F.col("hub_size"), F.col("hub_pos"))
+    votes = lists.filter("g <> hub").filter(near).groupBy("g", "hub").agg(F.count("*").alias("votes"))
     best = votes.groupBy("g").agg(F.max(F.struct("votes", "hub")).alias("best")).select("g", F.col("best.hub").alias("hub"))
+    # how many tokens the two prefixes share, in the lists of whatever hub
+    mine = lists.join(best.withColumnRenamed("hub", "h"), "g").select("g", "h", "token", "size")
+    theirs = lists.select(F.col("g").alias("h"), "token", F.col("size").alias("h_size"))
+    best = (mine.join(theirs, ["h", "token"]).groupBy("g", "h").agg(F.count("*").alias("shared"), F.first("size").alias("size"), F.first("h_size").alias("h_size"))
+            .filter(_enough_shared(F.col("shared"), F.col("size"), F.col("h_size"))).select("g", F.col("h").alias("hub")))
     least = of.groupBy("g").agg(F.min("num").alias("a"))
     # each member of a group with the first member of its hub, and with that of its own group
     pairs = cut(of.join(best, "g").join(least.withColumnRenamed("g", "hub"), "hub").select("a", F.col("num").alias("b"))
                 .union(of.join(least, "g").filter("num <> a").select("a", F.col("num").alias("b"))), "join-pairs")
-    links = cut(verified(pairs, texts, words, tasks), "join-links")
+    links = verified(pairs, nodes, base, words, tasks)
 
     comp = cut(connected_components(links), "join-components")
     named = cut(of.join(comp, F.col("num") == F.col("node"), "left").select("g", "num", F.coalesce("component", "num").alias("c")), "join-named")
@@ -330,20 +346,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = cut(placed.join(main, "token"), "join-placed")
     small = placed.filter("c <> main")
     other = placed.select(F.col("token").alias("t"), F.col("g").alias("g2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"))
+    # a similar pair passes the place filter at each token it shares, so what is counted of it is whole
     across = small.join(other, (F.col("token") == F.col("t")) & (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("g") < F.col("g2")))
-                        & _can_be_similar(F.col("size"), F.col("pos"), F.col("size2"), F.col("pos2"))).select("g", "g2").distinct()
+                        & _can_be_similar(F.col("size"), F.col("pos"), F.col("size2"), F.col("pos2")))
+    across = (across.groupBy(F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2"))
+              .agg(F.count("*").alias("shared"), F.first("size").alias("size"), F.first("size2").alias("size2"))
+              .filter(_enough_shared(F.col("shared"), F.col("size"), F.col("size2"))).select("g", "g2"))
     mixed = where.filter("c < 0").select("g", F.col("g").alias("g2"))
     there = named.select(F.col("g").alias("g2"), F.col("num").alias("b"), F.col("c").alias("cb"))
     seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = (across.union(mixed).join(named.withColumnRenamed("num", "a"), "g").join(there, "g2").filter("c <> cb and (g <> g2 or a < b)")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(seen, ["a", "b"], "left_anti"))
-    more = cut(verified(cut(left, "join-left"), texts, words, tasks), "join-links")
+    more = verified(cut(left, "join-left"), nodes, base, words, tasks)
 
     comp = connected_components(links.union(more))
-    root = texts.select("key", "num").join(comp, F.col("num") == F.col("node"), "left").select("key", F.coalesce("component", "num").alias("c"))
-    # smallest id of each text, then of each component; a text without a partner is a component
-    by_key = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("first")).join(root, "key", "left")
-    by_comp = by_key.filter("c is not null").groupBy("c").agg(F.min("first").alias("least"))
-    final = by_key.join(by_comp, "c", "left").select("key", F.coalesce("least", "first").alias("component"))
+    # smallest id of each text, then of each component; a text without a partner is its own
+    by_key = rows.filter("n > 0").groupBy("key").agg(F.min("id").alias("first"))
+    linked = cut(nodes.join(comp, F.col("num") == F.col("node")).select("key", F.col("component").alias("c")).join(by_key, "key"), "join-linked")
+    least = linked.join(linked.groupBy("c").agg(F.min("first").alias("least")), "c").select("key", "least")
+    final = by_key.join(least, "key", "left").select("key", F.coalesce("least", "first").alias("component"))
     return rows.join(final, "key", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                                                   F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"))
