@@ -95,12 +95,12 @@ def headline_text(significant, test_name, p) -> Column:
                     F.when(_d(p).isNotNull(), F.format_string("p = %.4f", _d(p)))))
 
 
-def normality_text(test_used, w, p, is_normal, n) -> Column:
-    """Sentence for one normality check."""
+def normality_text(test_used, w, p, is_normal, n, max_n: int = 5000) -> Column:
+    """Sentence for one normality check; ``max_n``: the largest group that gets a p-value."""
     return (
         F.when(test_used == "skipped_large_sample", F.concat(
-            F.lit("Shapiro-Wilk not run on "), F.format_number(_d(n), 0),
-            F.lit(" values (limit 5,000); normality assumed, inspect the Q-Q points.")))
+            F.format_string("Shapiro-Wilk W = %.4f over ", _d(w)), F.format_number(_d(n), 0),
+            F.lit(f" values; no p-value above {max_n:,}, normality assumed, inspect the Q-Q points.")))
         .when(test_used == "too_few_rows", F.concat(
             F.lit("Shapiro-Wilk needs at least 3 values, got "),
             F.format_number(F.coalesce(_d(n), F.lit(0.0)), 0), F.lit(".")))

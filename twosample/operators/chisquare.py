@@ -92,13 +92,21 @@ def chisq_binned(frame: DataFrame, keys: Sequence[str], cap: int = 10) -> DataFr
 
 
 def category_counts(frame: DataFrame, keys: Sequence[str], category: str,
-                    weight: str | None = None) -> DataFrame:
+                    weight: str | None = None, aligned: bool = False) -> DataFrame:
     """Per (key, category): ``observed`` from group 1, ``expected`` from group 2
-    (row counts, or sums of ``weight`` when given)."""
+    (row counts, or sums of ``weight`` when given).  ``aligned``: every category must
+    have one row of each group, as positions of two vectors of equal length have (B5)."""
     w = F.col(weight) if weight else F.lit(1.0)
-    return frame.groupBy(*keys, category).agg(
+    out = frame.groupBy(*keys, category).agg(
         F.sum(F.when(F.col("g") == 1, w).otherwise(F.lit(0.0))).alias("observed"),
-        F.sum(F.when(F.col("g") == 2, w).otherwise(F.lit(0.0))).alias("expected"))
+        F.sum(F.when(F.col("g") == 2, w).otherwise(F.lit(0.0))).alias("expected"),
+        F.count(F.when(F.col("g") == 1, 1)).alias("_n1"), F.count(F.when(F.col("g") == 2, 1)).alias("_n2"))
+    if aligned:
+        uneven = F.concat(F.lit("chi-square by position needs two vectors of equal length: position "),
+                          F.coalesce(F.col(category).cast("string"), F.lit("null")), F.lit(" is not one of each"))
+        out = out.withColumn("observed", F.when((F.col("_n1") == 1) & (F.col("_n2") == 1), F.col("observed")).otherwise(
+            F.raise_error(uneven).cast("double")))
+    return out.drop("_n1", "_n2")
 
 
 @null_safe
@@ -155,11 +163,12 @@ def has_fraction(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @null_safe
 def chisq_auto(frame: DataFrame, keys: Sequence[str], category: str | None = None,
-               cap: int = 10) -> DataFrame:
+               cap: int = 10, aligned: bool = False) -> DataFrame:
     """The binned contingency test for keys with a value that is not
     whole; else a fit test of group 1 to group 2 by ``category``, or, without one,
     a contingency table of the whole values.  Each key's rows go to its own
-    variant only; ``variant`` names it."""
+    variant only; ``variant`` names it.  ``aligned``: the category is a position, so
+    values are counts, observed[i] against expected[i], and lengths must agree."""
     flag = has_fraction(frame, keys)
     routed = attach_stats(frame, flag, keys, "v", few_keys(frame, keys))
     binned = chisq_binned(routed.filter("non_integer"), keys, cap).select(
@@ -175,6 +184,6 @@ def chisq_auto(frame: DataFrame, keys: Sequence[str], category: str | None = Non
         ints = ints.select(*keys, "statistic", "df", "p_value", "n_total",
                            F.lit("contingency").alias("variant"))
     else:
-        ints = chisq_gof(category_counts(whole, keys, category, weight="v"), keys).select(
+        ints = chisq_gof(category_counts(whole, keys, category, weight="v", aligned=aligned), keys).select(
             *keys, "statistic", "df", "p_value", "n_total", F.lit("goodness_of_fit").alias("variant"))
     return binned.unionByName(ints)

@@ -266,7 +266,7 @@ PAIRS_SQL = ("SELECT l_orderkey, avg(l_quantity) FILTER (WHERE l_linenumber = 1)
     f"round(pv, 6) AS p_value, pv < 0.05 AS significant FROM p"))
 def q_ttest_paired(spark, d):
     res = paired(_t(spark, d, "lineitem"), "l_quantity", "l_linenumber", (1, 2), "l_orderkey",
-                 checks=False)
+                 checks=False, require_complete=False)
     return _flat_test(res)
 
 
@@ -400,6 +400,33 @@ def q_assumption_report(spark, d):
         "recommendation")
 
 
+@register("welch_recommendation", (
+    f"WITH s AS ({shapiro_sql(EV_CP, ('_all', 'g'))}) SELECT CASE WHEN bool_or(NOT is_normal) THEN '{T.REC_NON_NORMAL}' END "
+    f"AS recommendation, count(*) FILTER (WHERE is_normal) AS normal_groups FROM s"))
+def q_welch_recommendation(spark, d):
+    """H9, Welch chain: unequal variances are no reason to change the test."""
+    res = two_sample(_t(spark, d, "events"), "value", "event_type", ("click", "purchase"), test="welch_ttest")
+    normal = [F.col(f"assumption_checks.normality_group{g}.is_normal").cast("long") for g in (1, 2)]
+    return res.select("recommendation", (normal[0] + normal[1]).alias("normal_groups"))
+
+
+ACCOUNT_DIFF = ("SELECT 0 AS _all, c_mktsegment AS g, c_acctbal - (c_acctbal * 0.5 + c_custkey % 7 * 100) AS v FROM customer "
+                "WHERE c_acctbal IS NOT NULL AND NOT isnan(c_acctbal)")
+
+
+@register("paired_recommendation", (
+    f"WITH s AS ({shapiro_sql(ACCOUNT_DIFF, ('_all', 'g'))}) SELECT g AS c_mktsegment, sw_w, is_normal, "
+    f"CASE WHEN NOT is_normal THEN '{T.REC_PAIRED_NON_NORMAL}' END AS recommendation FROM s"))
+def q_paired_recommendation(spark, d):
+    """H9, paired chain, per segment; D15 checks the differences only."""
+    c = _t(spark, d, "customer")
+    x = c.select("c_mktsegment", "c_custkey", F.lit("x").alias("side"), F.col("c_acctbal").alias("v"))
+    y = c.select("c_mktsegment", "c_custkey", F.lit("y").alias("side"), (F.col("c_acctbal") * 0.5 + F.col("c_custkey") % 7 * 100).alias("v"))
+    res = paired(x.unionByName(y), "v", "side", ("x", "y"), "c_custkey", by=["c_mktsegment"])
+    nd = "assumption_checks.normality_of_differences"
+    return res.select("c_mktsegment", r(f"{nd}.statistic").alias("sw_w"), F.col(f"{nd}.is_normal").alias("is_normal"), "recommendation")
+
+
 # --------------------------------------------------------------------------
 # D1-D3 summaries, I3 means
 # --------------------------------------------------------------------------
@@ -791,10 +818,12 @@ def q_null_key_levene(spark, d):
 @register("null_key_chisq", (
     f"WITH fr AS ({NULL_KEY_SQL}), x AS (SELECT coalesce(status, '-') AS ks, * FROM fr), "
     + contingency_sql("SELECT ks, v, count(*) FILTER (WHERE g = 1) AS o1, count(*) FILTER (WHERE g = 2) AS o2 FROM x GROUP BY ks, v", "ks")
-    + " SELECT NULLIF(ks, '-') AS status, round(stat, 4) AS statistic, dfree AS df, n_total::BIGINT AS n_total, 'contingency' AS variant FROM s WHERE stat IS NOT NULL AND NOT isnan(stat)"))
+    + " SELECT NULLIF(ks, '-') AS status, round(stat, 4) AS statistic, dfree AS df, n_total::BIGINT AS n_total, 'contingency' AS variant FROM s").replace(
+        "round(stat, 4) AS statistic", "CASE WHEN stat IS NULL OR isnan(stat) THEN -1 ELSE round(stat, 4) END AS statistic"))
 def q_null_key_chisq(spark, d):
-    res = CS.chisq_auto(_null_key(spark, d), ["status"]).filter(~F.isnan("statistic"))
-    return res.select("status", r("statistic", 4).alias("statistic"), "df", F.col("n_total").cast("long").alias("n_total"), "variant")
+    """A statistic that is not defined (a group without rows) is -1 on both sides."""
+    res = CS.chisq_auto(_null_key(spark, d), ["status"])
+    return res.select("status", F.nanvl(r("statistic", 4), F.lit(-1.0)).alias("statistic"), "df", F.col("n_total").cast("long").alias("n_total"), "variant")
 
 
 @register("group_summary_approx", (
@@ -857,7 +886,8 @@ def q_interpretation_tests(spark, d):
         res = two_sample(li, "l_quantity", "l_returnflag", ("A", "R"), test=test, checks=False).select(
             "test_name", F.regexp_replace("interpretation", "the pattern.*", "").alias("interpretation"))
         out = res if out is None else out.unionByName(res)
-    return out.unionByName(paired(li, "l_quantity", "l_linenumber", (1, 2), "l_orderkey", checks=False).select("test_name", "interpretation"))
+    return out.unionByName(paired(li, "l_quantity", "l_linenumber", (1, 2), "l_orderkey", checks=False,
+                                  require_complete=False).select("test_name", "interpretation"))
 
 
 @register("json_requests", (
@@ -905,6 +935,86 @@ def q_csv_group_scan(spark, d):
                                 F.min("value").alias("min"), F.max("value").alias("max"))
 
 
+def _ordered_csv(spark, rows, order: list[str], name: str) -> str:
+    """``rows`` as headed CSV part files whose names and lines follow ``order``."""
+    from twosample.session import scratch_path
+    p = scratch_path(spark, name)
+    rows.orderBy(*order).drop(*order).write.option("header", True).csv(p)
+    return p
+
+
+# every 17th value is missing in both files, so positions count the usable values
+X_SQL = "SELECT o_totalprice AS x, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_orderkey % 17 > 0"
+Y_SQL = ("SELECT o_totalprice * 0.9 + 100 AS y, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS pos FROM orders "
+         "WHERE o_orderkey % 17 > 0")
+
+
+def _order_files(spark, d):
+    o = _t(spark, d, "orders")
+    kept = F.col("o_orderkey") % 17 > 0
+    x = o.select(F.when(kept, F.col("o_totalprice")).alias("amount"), "o_orderkey")
+    y = o.select(F.when(kept, F.col("o_totalprice") * 0.9 + 100).alias("amount"), "o_custkey", "o_orderkey")
+    return (_ordered_csv(spark, x, ["o_orderkey"], "csv-x"), _ordered_csv(spark, y, ["o_custkey", "o_orderkey"], "csv-y"))
+
+
+@register("paired_csv", (
+    f"WITH pr AS (SELECT x, y FROM ({X_SQL}) JOIN ({Y_SQL}) USING (pos)), "
+    "s AS (SELECT count(*) AS n, avg(x - y) AS md, var_samp(x - y) AS vd FROM pr), "
+    "t AS (SELECT *, md / sqrt(vd / n) AS stat, (n - 1)::DOUBLE AS dfree FROM s) "
+    f"SELECT n AS n_group1, n AS n_group2, round(stat, 4) AS statistic, dfree AS df, round({O.t_two_sided_sql('stat', 'dfree')}, 6) AS p_value FROM t"))
+def q_paired_csv(spark, d):
+    """C1 by position: observation i of one file with observation i of the other."""
+    from twosample.sources.readers import csv_groups
+    g = csv_groups(spark, *_order_files(spark, d), strict=True, positions=True)
+    res = paired(g, "value", "grp", ("group1", "group2"), "pos", checks=False)
+    return res.select("n_group1", "n_group2", r("statistic", 4).alias("statistic"), "df", r("p_value").alias("p_value"))
+
+
+VECTOR_SQL = ("SELECT 0 AS _all, c_custkey AS cat, count(o_orderkey) FILTER (WHERE o_orderstatus = 'F')::DOUBLE AS observed, "
+              "(count(o_orderkey) + 1)::DOUBLE AS expected FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
+
+
+@register("chisq_vectors", "WITH " + gof_sql(VECTOR_SQL, "_all", True) + " " + chisq_final_sql(()))
+def q_chisq_vectors(spark, d):
+    """D11 with whole values: observed[i] is fitted to expected[i], by line of two files."""
+    from twosample.sources.readers import csv_groups
+    o = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("f"), F.count("o_orderkey").alias("n"))
+    c = _t(spark, d, "customer").select("c_custkey").join(o, "c_custkey", "left").fillna(0)
+    paths = (_ordered_csv(spark, c.select(F.col("f").alias("observed"), "c_custkey"), ["c_custkey"], "csv-observed"),
+             _ordered_csv(spark, c.select((F.col("n") + 1).alias("expected"), "c_custkey"), ["c_custkey"], "csv-expected"))
+    res = run_test(csv_groups(spark, *paths, strict=True, positions=True), "chisquare", "value", "grp", ("group1", "group2"), position="pos")
+    return res.select(r("statistic").alias("statistic"), r("df").alias("df"), r("p_value").alias("p_value"), F.col("rows_tested").alias("n_total"))
+
+
+HEAD_ROWS = 5000        # fixed value: how many values feed a plot
+
+
+@register("csv_head", (
+    f"SELECT grp, count(*) AS n, round(avg(v), 4) AS mean, min(v) AS min, max(v) AS max FROM (SELECT 'group1' AS grp, x AS v, pos FROM ({X_SQL}) "
+    f"UNION ALL SELECT 'group2', y, pos FROM ({Y_SQL})) WHERE pos < {HEAD_ROWS} GROUP BY grp"))
+def q_csv_head(spark, d):
+    """B4 by arrival: the first values of each file, without a column that orders them."""
+    from twosample.sources.readers import csv_groups
+    g = csv_groups(spark, *_order_files(spark, d), strict=True, head=HEAD_ROWS)
+    return g.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), r(F.avg("value"), 4).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
+
+
+@register("csv_profile", (
+    f"WITH t AS ({DIRTY_SQL}), c AS (SELECT l_returnflag, count(*) AS rows, count(*) FILTER (WHERE txt IS NULL) AS missing, "
+    "count(*) FILTER (WHERE regexp_full_match(txt, '-?[0-9]+')) AS whole, count(*) FILTER (WHERE txt = 'NaN') AS fraction, "
+    "count(*) FILTER (WHERE txt = 'n/a') AS other FROM t GROUP BY l_returnflag) "
+    "SELECT l_returnflag, rows, missing, whole, fraction, other, CASE WHEN whole = rows - missing THEN 'bigint' "
+    "WHEN whole + fraction = rows - missing THEN 'double' ELSE 'string' END AS inferred FROM c"))
+def q_csv_profile(spark, d):
+    """A1 types of one column of a CSV file: one scan that parses that column, no inference over all."""
+    from twosample.session import scratch_path
+    from twosample.sources.readers import column_profile, read_csv
+    p = scratch_path(spark, "csv-dirty")
+    _dirty(spark, d).write.option("header", True).csv(p)
+    return column_profile(read_csv(spark, p), "txt", by=["l_returnflag"]).drop("boolean")
+
+
 @register("result_sink", ttest_sql(LI_PRICE, (), True))
 def q_result_sink(spark, d):
     """A4: the full result written as JSON documents by the executors and

@@ -1,9 +1,10 @@
 """Public test API and the full result row (D14 dispatcher, D15, H9).
 
 ``run_test`` (and the three entry points under it) return one lazy DataFrame
-with one row per ``by`` key.  Nothing here triggers a job: the core statistic,
-the group summaries and the assumption checks are separate small per-key
-tables joined on the keys, and Catalyst plans the whole thing at once.
+with one row per ``by`` key: the core statistic, the group summaries and the assumption
+checks are small per-key tables merged on the keys, and Catalyst plans the whole thing
+at once.  With ``by`` keys an operator may count them first, to know whether a
+per-key table can be broadcast; no other job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from twosample.operators.mannwhitney import mannwhitney
 from twosample.operators.prepare import (ALL_KEY, check_alpha, check_test_name, constant_key,
                                          drop_internal, keys_for, prepare,
                                          significance_flag)
-from twosample.operators.ranks import attach_stats, few_keys, null_safe
 from twosample.operators.sampling import sample_groups
-from twosample.operators.shapiro import shapiro
+from twosample.operators.shapiro import MAX_N, shapiro
 from twosample.operators.summary import group_stats_struct, moments
 from twosample.operators.ttests import (differences, pair_align, paired_t,
                                         two_sample_t)
@@ -61,14 +61,14 @@ def combine(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
-def normality_by_group(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+def normality_by_group(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFrame:
     """Shapiro-Wilk per group, pivoted to ``normality_group1/2`` structs."""
-    sw = shapiro(frame, [*keys, "g"])
+    sw = shapiro(frame, [*keys, "g"], max_n)
     sw = sw.withColumn("check", F.struct(
         F.col("is_normal"), F.col("sw_w").alias("statistic"), F.col("sw_p").alias("p_value"),
         F.col("test_used"),
         T.normality_text(F.col("test_used"), F.col("sw_w"), F.col("sw_p"),
-                         F.col("is_normal"), F.col("n")).alias("interpretation")))
+                         F.col("is_normal"), F.col("n"), max_n).alias("interpretation")))
     return sw.groupBy(*keys).agg(
         F.max(F.when(F.col("g") == 1, F.col("check"))).alias("normality_group1"),
         F.max(F.when(F.col("g") == 2, F.col("check"))).alias("normality_group2"))
@@ -135,10 +135,19 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
                by: Sequence[str] = (), checks: bool = True, strict: bool = False,
                sample_rows: int | None = None, row_key: Sequence[str] | None = None,
                seed: int = 42, category: str | None = None,
-               bounded_alpha: bool = True) -> DataFrame:
+               bounded_alpha: bool = True, position: str | None = None,
+               max_n: int = MAX_N) -> DataFrame:
     """Independent-sample tests (pooled t, Welch t, Mann-Whitney, chi-square)
-    of ``value`` between the two ``levels`` of ``group``, per ``by`` key."""
+    of ``value`` between the two ``levels`` of ``group``, per ``by`` key.
+
+    ``position`` (chi-square) takes whole values as counts: those of the first
+    level are fitted to those of the second at the same position.  ``max_n`` is the largest
+    group whose Shapiro-Wilk W gets a p-value."""
     check_test_name(test)
+    if position is not None:
+        if test != "chisquare" or category is not None:
+            raise ValueError("position is for a chi-square test without a category")
+        category = position
     alpha = check_alpha(alpha, bounded_alpha)
     if test == "paired_ttest":
         raise ValueError("paired_ttest needs a pair key: use paired(...)")
@@ -153,16 +162,18 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
     sampled = moments(frame, keys) if sample_rows else m
     if test in ("independent_ttest", "welch_ttest"):
         core = two_sample_t(frame, keys, equal_var=(test == "independent_ttest"), stats=sampled).select(
-            *keys, "statistic", "df", "p_value", (F.col("n1") + F.col("n2")).alias("n_tested"))
+            *keys, "statistic", "df", "p_value", (F.col("n1") + F.col("n2")).alias("n_tested"),
+            *([] if sample_rows else ["n1", "n2", "group_stats", "total_rows"]))
     elif test == "mannwhitney":
         core = mannwhitney(frame, keys).select(
             *keys, "statistic", F.lit(None).cast("double").alias("df"), "p_value", (F.col("n1") + F.col("n2")).alias("n_tested"))
     else:
-        core = CS.chisq_auto(frame, keys, category).select(
+        core = CS.chisq_auto(frame, keys, category, aligned=position is not None).select(
             *keys, "statistic", "df", "p_value", F.col("n_total").alias("n_tested"), "variant")
-    out = combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
+    # a t-test of all rows has the counts and summaries at hand: one read
+    out = core if "group_stats" in core.columns else combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
     if checks and test in ("independent_ttest", "welch_ttest"):
-        out = combine([out, normality_by_group(frame, keys), variance_check(frame, keys)], keys)
+        out = combine([out, normality_by_group(frame, keys, max_n), variance_check(frame, keys)], keys)
         out = out.withColumn("assumption_checks", F.struct(
             F.col("normality_group1"), F.col("normality_group2"), F.col("equal_variance"),
             _null_normality().alias("normality_of_differences")))
@@ -182,28 +193,33 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
 def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: str,
            alpha: float = 0.05, by: Sequence[str] = (), checks: bool = True,
            strict: bool = False, sample_rows: int | None = None, seed: int = 42,
-           bounded_alpha: bool = True, require_complete: bool = False) -> DataFrame:
+           bounded_alpha: bool = True, require_complete: bool = True, max_n: int = MAX_N) -> DataFrame:
     """Paired t-test: observation of group 1 and group 2 matched on
-    ``pair_key`` (C1), per ``by`` key; whole pairs are sampled when
-    ``sample_rows`` is set.  ``require_complete`` turns an unmatched key into
-    a query error (B5), as an unequal-length pairing is in the reference."""
+    ``pair_key`` (C1), which may be a position (``with_positions``, inline arrays), per
+    ``by`` key; whole pairs are sampled when ``sample_rows`` is set.  An unmatched key
+    is a query error (B5), as groups of unequal length are; with
+    ``require_complete=False`` incomplete pairs are left out."""
     alpha = check_alpha(alpha, bounded_alpha)
     by = list(by or [])
     keys = keys_for(by)
     frame = prepare(df, value, group, levels, by, strict, keep=[pair_key])
     pairs = pair_align(frame, keys, pair_key)
-    if require_complete:
-        # computed before any sampling, and a filter, which no column pruning drops
-        bad = pairs.groupBy(*keys).agg(F.count(F.when(~F.col("complete"), 1)).alias("_bad"))
-        pairs = _complete_or_error(pairs, keys, bad, pair_key)
     m = moments(frame, keys).withColumn("group_stats", group_stats_struct())
     if sample_rows:
         whole = pairs.filter("complete").withColumns({"g": F.lit(1).cast("tinyint"), "v": F.col("x")})
-        pairs = sample_groups(whole, keys, sample_rows, [pair_key], seed).drop("g", "v")
-    core = paired_t(pairs, keys).select(*keys, "statistic", "df", "p_value", "n")
+        sampled = sample_groups(whole, keys, sample_rows, [pair_key], seed).drop("g", "v")
+        core = combine([paired_t(sampled, keys).drop("unmatched"), paired_t(pairs, keys).select(*keys, "unmatched")], keys)
+        pairs = sampled
+    else:
+        core = paired_t(pairs, keys)
+    if require_complete:
+        # counted by the aggregate of the test itself; a filter, which no column pruning drops
+        text = F.concat(F.lit("paired test: "), F.col("unmatched").cast("string"), F.lit(" pair keys lack one of the two groups"))
+        core = core.filter(F.when(F.col("unmatched") > 0, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
+    core = core.select(*keys, "statistic", "df", "p_value", "n")
     out = combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
     if checks:
-        sw = normality_by_group(differences(pairs, keys), keys).select(
+        sw = normality_by_group(differences(pairs, keys), keys, max_n).select(
             *keys, F.col("normality_group1").alias("nd"))
         out = combine([out, sw], keys).withColumn("assumption_checks", F.struct(
             _null_normality().alias("normality_group1"), _null_normality().alias("normality_group2"),
@@ -217,14 +233,6 @@ def paired(df: DataFrame, value: str, group: str, levels: Sequence, pair_key: st
     return drop_internal(res, by)
 
 
-@null_safe
-def _complete_or_error(pairs: DataFrame, keys: Sequence[str], bad: DataFrame, pair_key: str) -> DataFrame:
-    """``pairs`` unchanged; reading them fails if a key has incomplete ones."""
-    checked = attach_stats(pairs, bad, keys, pair_key, few_keys(pairs, keys))
-    text = F.concat(F.lit("paired test: "), F.col("_bad").cast("string"), F.lit(" pair keys lack one of the two groups"))
-    return checked.filter(F.when(F.col("_bad") > 0, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))).drop("_bad")
-
-
 def chisquare_counts(counts: DataFrame, observed: str, expected: str | None = None,
                      alpha: float = 0.05, by: Sequence[str] = (),
                      bounded_alpha: bool = True) -> DataFrame:
