@@ -39,7 +39,7 @@ from twosample.operators.summary import moments  # noqa: E402
 from twosample.operators.ttests import pair_align, paired_t  # noqa: E402
 from twosample.session import local_session  # noqa: E402
 
-SPLIT = 2000  # force the bucket path at this small scale
+PARTS = 64  # range partitions at this small scale
 
 
 def main(sf_dir: str) -> None:
@@ -63,10 +63,10 @@ def main(sf_dir: str) -> None:
     jobs = {
         "naive_rank_window": fr.withColumn("r", F.rank().over(w)).groupBy("seg").agg(F.sum("r")),
         "moments": moments(fr, keys),
-        "mannwhitney": mannwhitney(fr, keys, split_rows=SPLIT),
-        "levene": levene(fr, keys, split_rows=SPLIT),
-        "box_stats": DI.box_stats(fr, keys, split_rows=SPLIT),
-        "qq_points": DI.qq_points(fr, keys, split_rows=SPLIT),
+        "mannwhitney": mannwhitney(fr, keys, parts=PARTS),
+        "levene": levene(fr, keys, parts=PARTS),
+        "box_stats": DI.box_stats(fr, keys, parts=PARTS),
+        "qq_points": DI.qq_points(fr, keys, parts=PARTS),
         "hist_density": DI.hist_density(fr, keys),
         "kde_curve": DI.kde_curve(fr, keys),
         "chisq_binned": CS.chisq_binned(fr, keys),

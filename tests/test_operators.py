@@ -95,11 +95,11 @@ def test_paired_equals_one_sample_on_differences(spark):
     assert r.statistic == pytest.approx(d.mean() / math.sqrt(d.var(ddof=1) / 60), rel=1e-10)
 
 
-@pytest.mark.parametrize("parts,split", [(1, None), (7, 0), (3, 0)])
-def test_mannwhitney_vs_ranks_and_swap(spark, parts, split):
+@pytest.mark.parametrize("parts,ranges", [(1, None), (7, 1), (3, 40)])
+def test_mannwhitney_vs_ranks_and_swap(spark, parts, ranges):
     g1 = np.round(A, 0)
     g2 = np.round(B, 0)  # heavy ties
-    r = one(mannwhitney(frame(spark, g1, g2, parts), KEYS, split_rows=split))
+    r = one(mannwhitney(frame(spark, g1, g2, parts), KEYS, parts=ranges))
     ranks = pd.Series(np.concatenate([g1, g2])).rank().values
     u1 = ranks[:len(g1)].sum() - len(g1) * (len(g1) + 1) / 2
     assert r.statistic == pytest.approx(u1)
@@ -117,7 +117,7 @@ def test_mannwhitney_exact_branch_small_groups(spark):
 def test_midranks_sum_and_partition_invariance(spark):
     vals = list(np.round(A, 0)) + list(np.round(B, 0))
     fr = frame(spark, vals, parts=7)
-    mr = RK.midranks(fr, ["_all"], split_rows=0).collect()
+    mr = RK.midranks(fr, ["_all"], parts=13).collect()
     n = len(vals)
     assert sum(r.midrank * r.t for r in mr) == pytest.approx(n * (n + 1) / 2)
     expect = pd.Series(vals).rank()
@@ -126,18 +126,18 @@ def test_midranks_sum_and_partition_invariance(spark):
         assert got[v] == pytest.approx(rk)
 
 
-@pytest.mark.parametrize("levels,split", [((8, 8), 0), (3, 0), ((2, 2, 2), 0), ((8, 8), None)])
-def test_exact_quantiles_vs_numpy(spark, levels, split):
+@pytest.mark.parametrize("ranges", [None, 1, 3, 30])
+def test_exact_quantiles_vs_numpy(spark, ranges):
     vals = np.concatenate([np.round(A, 0), [A.max()] * 30, RNG.normal(0, 1, 300)])
     q = one(RK.exact_quantiles(frame(spark, vals, parts=5), ["_all", "g"],
-                               [0.0, 0.25, 0.5, 0.75, 1.0], levels=levels, split_rows=split))
+                               [0.0, 0.25, 0.5, 0.75, 1.0], parts=ranges))
     for j, p in enumerate([0.0, 0.25, 0.5, 0.75, 1.0]):
         assert q[f"q{j}"] == pytest.approx(np.percentile(vals, p * 100), rel=1e-12)
 
 
 def test_observation_ranks_cover_every_row(spark):
     vals = [1.0] * 50 + [2.0] * 3 + [0.5]
-    r = RK.observation_ranks(frame(spark, vals), ["_all"], "v", chunk=7, split_rows=0).collect()
+    r = RK.observation_ranks(frame(spark, vals), ["_all"], "v", chunk=7, parts=5).collect()
     assert sorted(x.i for x in r) == list(range(1, 55))
     assert {x.v for x in r if x.i == 1} == {0.5}
 
@@ -248,12 +248,33 @@ def test_stack_groups_union(spark):
     assert got == [(1, 1.0), (1, 2.0), (2, 3.0)]
 
 
-def test_bucket_split_is_monotone_and_balanced(spark):
-    vals = RNG.exponential(1.0, 4000)
-    vc = RK.value_counts(frame(spark, vals), ["_all"])
-    b = RK.add_buckets(vc, ["_all"], "v", (3, 3), split_rows=0).toPandas().sort_values("v")
+def test_a_hot_key_is_spread_over_range_partitions(spark):
+    hot, cold = RNG.exponential(1.0, 4000), RNG.exponential(1.0, 50)
+    df = spark.createDataFrame([("hot", float(x)) for x in hot] + [("cold", float(x)) for x in cold], "k string, v double")
+    b = RK.ordered(RK.value_counts(df, ["k"]), ["k"], "v", 16).toPandas().sort_values(["k", "v"])
     assert b["_b"].is_monotonic_increasing
-    sizes = b.groupby("_b").size()
-    assert len(sizes) == 64 and sizes.max() < 3 * 4000 / 64
-    small = RK.add_buckets(vc, ["_all"], "v", (3, 3)).toPandas()
-    assert set(small["_b"]) == {0}  # under the split threshold nothing is split
+    assert b.groupby("_b").size().max() < 3 * 4050 / 16
+    for _, rows in b.groupby(["k", "_b"]):          # running counts begin anew with each key and partition
+        assert list(rows["_pre"]) == list(rows["t"].cumsum() - rows["t"])
+    pos = RK.value_positions(df, ["k"], "v", parts=16).toPandas()
+    for k, x in (("hot", hot), ("cold", cold)):
+        own = pos[pos["k"] == k].sort_values("v")
+        assert list(own["before"]) == list(range(len(x))) and set(own["n"]) == {len(x)}
+
+
+@pytest.mark.parametrize("op,most", [("midranks", 9), ("rank_sums", 4)])
+def test_ranks_take_few_exchanges(spark, op, most):
+    plan = getattr(RK, op)(frame(spark, A, B), ["_all"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= most
+
+
+def test_a_bad_sketch_is_widened_not_believed(spark, monkeypatch):
+    monkeypatch.setattr(RK, "SKETCH", 2)            # brackets that miss
+    monkeypatch.setattr(RK, "MARGIN", 0.0)
+    vals = RNG.lognormal(0, 2, 3000)
+    fr = frame(spark, vals, RNG.normal(0, 1, 40))
+    near = RK._at(RK.squeeze(fr, ["_all", "g"], [0.4], "v", True, 100), ["_all", "g"], [F.lit(1199)], "v", None, True)
+    assert [r._x0 for r in near.collect() if r.g == 1] == [None]
+    q = {r.g: r for r in RK.exact_quantiles(fr, ["_all", "g"], [0.4, 0.9], whole_rows=100).collect()}
+    assert q[1].q0 == pytest.approx(np.percentile(vals, 40)) and q[1].q1 == pytest.approx(np.percentile(vals, 90))
+    assert q[1].n == 3000 and q[2].n == 40

@@ -36,7 +36,7 @@ def test_shift_and_scale_invariance(spark, a, b, shift, scale):
     else:
         assert t.statistic == pytest.approx(base_t.statistic, rel=1e-9, abs=1e-9)
     u0 = one(mannwhitney(frame(spark, a, b), KEYS)).statistic
-    u1 = one(mannwhitney(frame(spark, *moved), KEYS, split_rows=0)).statistic
+    u1 = one(mannwhitney(frame(spark, *moved), KEYS, parts=5)).statistic
     assert u0 == u1
 
 
@@ -47,8 +47,8 @@ def test_partition_count_invariance(spark, parts):
     ref = (one(two_sample_t(frame(spark, a, b), KEYS, True)),
            one(mannwhitney(frame(spark, a, b), KEYS)), one(levene(frame(spark, a, b), KEYS)))
     got = (one(two_sample_t(frame(spark, a, b, parts), KEYS, True)),
-           one(mannwhitney(frame(spark, a, b, parts), KEYS, split_rows=0)),
-           one(levene(frame(spark, a, b, parts), KEYS, split_rows=0)))
+           one(mannwhitney(frame(spark, a, b, parts), KEYS, parts=5)),
+           one(levene(frame(spark, a, b, parts), KEYS, parts=5)))
     assert got[0].statistic == pytest.approx(ref[0].statistic, rel=1e-12)
     assert got[1].statistic == ref[1].statistic and got[1].p_value == pytest.approx(ref[1].p_value)
     assert got[2].levene_w == pytest.approx(ref[2].levene_w, rel=1e-12)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from twosample.functions.bins import bin_edges, bin_index, edge_at, widened_range
 from twosample.functions.special import with_norm_ppf
-from twosample.operators.ranks import (DEFAULT_LEVELS, attach_stats, exact_quantiles, few_keys,
+from twosample.operators.ranks import (attach_stats, exact_quantiles, few_keys,
                                        null_safe, observation_ranks)
 
 HIST_BINS = 30
@@ -92,11 +92,11 @@ def group_means(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @null_safe
 def box_stats(frame: DataFrame, keys: Sequence[str], whis: float = WHISKER,
-              levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+              parts: int | None = None) -> DataFrame:
     """I4: ``(keys, g, n, q1, median, q3, iqr, whisker_low, whisker_high,
     n_outliers)``."""
     gk, small = [*keys, "g"], few_keys(frame, keys)
-    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", levels, split_rows, small).select(
+    q = exact_quantiles(frame, gk, [0.25, 0.5, 0.75], "v", parts, small).select(
         *gk, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - F.lit(whis) * F.col("iqr")
@@ -124,10 +124,9 @@ def filliben(i, n):
 
 
 @null_safe
-def qq_points(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
-              split_rows: int | None = None) -> DataFrame:
+def qq_points(frame: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """``(keys, g, i, n, theoretical, sample)`` for every observation."""
-    r = observation_ranks(frame, [*keys, "g"], "v", levels=levels, split_rows=split_rows)
+    r = observation_ranks(frame, [*keys, "g"], "v", parts=parts)
     r = with_norm_ppf(r, filliben(F.col("i"), F.col("n")), "theoretical")
     return r.select(*keys, "g", "i", "n", "theoretical", F.col("v").alias("sample"))
 

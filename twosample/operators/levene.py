@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from twosample.functions.pvalues import t_pvalue
 from twosample.operators.prepare import assumption_flag, nan_if_null
-from twosample.operators.ranks import DEFAULT_LEVELS, attach_stats, exact_quantiles, few_keys, null_safe
+from twosample.operators.ranks import attach_stats, exact_quantiles, few_keys, null_safe
 
 
-def group_medians(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
-                  split_rows: int | None = None, small: bool | None = None) -> DataFrame:
-    q = exact_quantiles(frame, [*keys, "g"], [0.5], "v", levels, split_rows, small)
+def group_medians(frame: DataFrame, keys: Sequence[str], parts: int | None = None, small: bool | None = None) -> DataFrame:
+    q = exact_quantiles(frame, [*keys, "g"], [0.5], "v", parts, small)
     return q.select(*keys, "g", F.col("q0").alias("median"))
 
 
@@ -39,12 +38,12 @@ def _rejoin(frame: DataFrame, keys: Sequence[str], stats: DataFrame, spread: str
 
 
 @null_safe
-def levene(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
-           split_rows: int | None = None) -> DataFrame:
+def levene(frame: DataFrame, keys: Sequence[str], parts: int | None = None, medians: DataFrame | None = None) -> DataFrame:
     """Exact group medians, then one aggregate of the deviations from them
-    over raw rows: counts, means and central second moments."""
+    over raw rows: counts, means and central second moments.  ``medians`` (keys, g,
+    median): those that another operator has found."""
     small = few_keys(frame, keys)
-    med = group_medians(frame, keys, levels, split_rows, small)
+    med = group_medians(frame, keys, parts, small) if medians is None else medians
     z = _rejoin(frame, keys, med, "v", small)
     dev = F.abs(F.col("v") - F.col("median"))
     per_g = z.groupBy(*keys).agg(*[

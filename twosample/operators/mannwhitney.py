@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 from twosample.functions.pvalues import mannwhitney_pvalue
 from twosample.operators.prepare import nan_if_null
-from twosample.operators.ranks import DEFAULT_LEVELS, rank_sums
+from twosample.operators.ranks import rank_sums
 
 
-def mannwhitney(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS,
-                split_rows: int | None = None) -> DataFrame:
-    rs = rank_sums(frame, keys, levels, split_rows)
+def mannwhitney(frame: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    rs = rank_sums(frame, keys, parts)
     n1 = F.col("n1").cast("double")
     u1 = F.col("r1") - n1 * (n1 + 1.0) / 2.0
     out = rs.withColumn("statistic", nan_if_null(u1))

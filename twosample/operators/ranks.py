@@ -6,44 +6,32 @@ send a whole group -- possibly a third of the table -- to one task.  Instead:
 
 1. collapse ties: ``groupBy(keys, v).count()`` (map-side partial aggregation,
    so a hot value costs one row, not a hot task);
-2. per key, ``percentile_approx`` of the *distinct* values gives
-   ``2^L - 1`` cut points (a mergeable sketch, bounded memory);
-3. every distinct value gets a bucket = number of cut points <= v, found by
-   an L-step binary search over the cut array (plain codegen'd expressions;
-   a pure function of the value, so safe under task retry);
-4. windows run per ``(key, bucket)`` only -- each bucket holds about
-   ``distinct / 2^L`` rows whatever the skew of the key -- and bucket totals
-   give each bucket's starting offset through a window over the tiny
-   ``(key, bucket)`` table.
-
-Joins of per-key tables back onto per-value tables are plain equi-joins:
-the per-key side is one row (or one row per bucket) per key, so adaptive
-query execution broadcasts it when its measured size allows and falls back to
-a sort-merge join (with skew splitting) when the number of keys is large.
+2. range-partition and sort the distinct values by (keys, value), so a hot key
+   is spread over as many partitions as it fills, and add running counts per
+   (key, partition) in one streaming pass;
+3. totals per (key, partition) give each partition's first position through a
+   window over that tiny table (at most keys + partitions rows), which is joined back.
+
+The streaming pass takes all columns, so nothing above it prunes columns below it:
+the branches that need totals and rows share one range exchange.  Every row
+checks that its value lies in the span that its partition's totals name, so two
+exchanges with different bounds could only end in an error, never in a wrong rank.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twosample.operators.prepare import ALL_KEY
 
-# Buckets are refined in passes: each pass splits every bucket that holds more
-# than ``SPLIT_ROWS`` distinct values at 255 approximate quantiles of its
-# distinct values (one percentile_approx per (key, bucket), so sketches for
-# different buckets build in parallel).  Two passes give up to 65,536
-# buckets per key: at 10^12 distinct values per key a bucket window still
-# holds ~1.5*10^7 rows.  A key or bucket at or under ``SPLIT_ROWS`` is left
-# whole (one window task sorts it in a moment), so small inputs build no
-# sketches at all; the gate is a lazy count aggregate, not a driver decision.
-DEFAULT_LEVELS = (8, 8)
-SPLIT_ROWS = 1 << 16
-
 # A quantile's bracket (see ``squeeze``): sketch accuracy, its margin in rank,
 # and the group size up to which the bracket is the whole range.
 SKETCH = 10_000
@@ -114,13 +102,6 @@ def squeeze(frame: DataFrame, keys: Sequence[str], probs: Sequence[float], value
     return rows.select(*keys, F.when(inside, v).otherwise(floor).alias(value), inside.cast("long").alias("_in"))
 
 
-def _accuracy(levels: int) -> int:
-    """Sketch accuracy for a pass that splits into 2^levels parts: rank error
-    1/(16 * 2^levels) of the bucket keeps sub-buckets within ~6% of equal
-    size, with the smallest sketches that do (sketch work dominates a pass)."""
-    return 16 * (2 ** levels)
-
-
 def value_counts(frame: DataFrame, keys: Sequence[str], value: str = "v",
                  extra: Sequence[Column] = ()) -> DataFrame:
     """``(keys, value, t[, extra...])`` with ties collapsed."""
@@ -133,31 +114,6 @@ def _solid_counts(frame: DataFrame, keys: Sequence[str], value: str) -> DataFram
     return value_counts(frame, keys, value, [F.sum(solid).alias("tin")])
 
 
-def _payload(vc: DataFrame, keys: Sequence[str], value: str) -> list[str]:
-    skip = set(keys) | {value, "_b", "_sub", "_cuts"}
-    return [c for c in vc.columns if c not in skip]
-
-
-def _touch(vc: DataFrame, keys: Sequence[str], value: str) -> list[Column]:
-    """Sums of every payload column of the distinct-value table.
-
-    Each aggregate over that table carries them so that all branches of the
-    plan keep the *same* columns: column pruning then leaves one identical
-    partial aggregate + exchange under every branch, and adaptive execution
-    reuses it -- the raw data is scanned and shuffled once, not once per
-    branch."""
-    return [F.sum(c).alias(f"_s_{c}") for c in _payload(vc, keys, value)]
-
-
-def _touched(vc: DataFrame, keys: Sequence[str], value: str) -> Column:
-    """Always true for an existing group; makes the sums above referenced so
-    the optimizer cannot prune them (and the payload columns) away."""
-    sums = [F.col(f"_s_{c}") for c in _payload(vc, keys, value)]
-    if not sums:
-        return F.lit(True)
-    return (F.greatest(*sums) if len(sums) > 1 else sums[0]) > F.lit(-1)
-
-
 # Joins keyed by the ``by`` keys alone are salted: a distinct value's salt is
 # a hash of the value, and the per-key table is replicated once per salt.  If
 # AQE broadcasts the table nothing changes; if the table is too large to
@@ -181,66 +137,30 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
     return rows.withColumn("_salt", salt).join(t, [*keys, "_salt"], how).drop("_salt")
 
 
-def _salted_left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str],
-                      value: str) -> DataFrame:
-    return attach(rows, table, keys, value, "left")
-
-
-def _one_pass(vc: DataFrame, keys: Sequence[str], value: str, levels: int,
-              out: str, split_rows: int, salted: bool) -> DataFrame:
-    nb = 2 ** levels
-    probs = [i / nb for i in range(1, nb)]
-    # size gate: only keys (buckets) above ``split_rows`` distinct values feed
-    # the sketch.  A flag joined with a *left* join (a semi join would be
-    # pushed below the distinct-value aggregate and fork the plan); the flag
-    # and cut tables only hold the keys that are split.
-    flag = vc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"), *_touch(vc, keys, value))
-    flag = flag.filter((F.col("_nd") > F.lit(split_rows)) & _touched(vc, keys, value)) \
-               .select(*keys, F.lit(True).alias("_big"))
-    join = (lambda a, b: _salted_left_join(a, b, keys, value)) if salted else \
-        (lambda a, b: a.join(b, list(keys), "left"))
-    cuts = join(vc, flag).filter(F.col("_big")).groupBy(*keys).agg(
-        F.percentile_approx(F.col(value), probs, _accuracy(levels)).alias("_cuts"),
-        *_touch(vc, keys, value))
-    cuts = cuts.select(*keys, F.when(_touched(vc, keys, value), F.col("_cuts")).alias("_cuts"))
-    # keys without cut points (small ones) keep sub-bucket 0: element_at on a
-    # null array is null and the comparison falls to ``otherwise``
-    res = join(vc, cuts).withColumn(out, F.lit(0))
-    v = F.col(value)
-    for lvl in reversed(range(levels)):
-        step = 2 ** lvl
-        probe = F.element_at(F.col("_cuts"), F.col(out) + F.lit(step))
-        res = res.withColumn(out, F.when(probe <= v, F.col(out) + F.lit(step))
-                             .otherwise(F.col(out)))
-    return res.drop("_cuts")
-
-
-def add_buckets(vc: DataFrame, keys: Sequence[str], value: str = "v",
-                levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """Adds ``_b``, a bucket number monotone in ``value`` within each key.
-
-    Each pass finds the bucket as the number of cut points <= value by a
-    binary search over the cut array (``levels`` element_at probes, all
-    codegen'd), so it is a pure function of the value.
-    """
-    if isinstance(levels, int):
-        levels = (levels,)
-    split = SPLIT_ROWS if split_rows is None else split_rows
-    out = vc
-    for i, lv in enumerate(levels):
-        if i == 0:
-            out = _one_pass(out, list(keys), value, lv, "_sub", split, salted=True)
-            out = out.withColumn("_b", F.col("_sub").cast("long")).drop("_sub")
-        else:
-            out = _one_pass(out, [*keys, "_b"], value, lv, "_sub", split, salted=False)
-            out = out.withColumn("_b", F.col("_b") * F.lit(2 ** lv) + F.col("_sub")).drop("_sub")
-    return out
-
-
-def _before_in_bucket(keys: Sequence[str], value: str, count: str = "t") -> Column:
-    w = (Window.partitionBy(*keys, "_b").orderBy(value)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(F.sum(count).over(w), F.lit(0)).cast("long")
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with ``_h`` (hash of the key) and ``t``: adds the partition's number
+    ``_b`` and ``_pre``, the copies before the row in its (key, partition)."""
+    part, last, seen = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, t = batch.column("_h").to_numpy(), batch.column("t").to_numpy()
+        before = np.cumsum(t) - t
+        new = np.r_[last is None or h[0] != last, h[1:] != h[:-1]]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))
+        pre = np.where(start < 0, before + seen, before - before[start])       # negative: the key of the batch before goes on
+        last, seen = h[-1], int(pre[-1] + t[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(h), part, np.int32)), pa.array(pre.astype(np.int64))],
+                                         names=[*batch.schema.names, "_b", "_pre"])
+
+
+def ordered(vc: DataFrame, keys: Sequence[str], value: str = "v", parts: int | None = None) -> DataFrame:
+    """``vc`` (keys, value, t, ...; distinct values) range-partitioned and sorted, with
+    ``_b`` and ``_pre``.  ``parts``: partitions, by default ``spark.sql.shuffle.partitions``."""
+    n = parts or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = vc.withColumn("_h", F.xxhash64(*keys)).repartitionByRange(n, *keys, value).sortWithinPartitions(*keys, value)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_b", T.IntegerType()), T.StructField("_pre", T.LongType())])
+    return rows.mapInArrow(_running, schema).drop("_h")
 
 
 def bucket_starts(bt: DataFrame, keys: Sequence[str], total: str = "_T") -> DataFrame:
@@ -252,41 +172,43 @@ def bucket_starts(bt: DataFrame, keys: Sequence[str], total: str = "_T") -> Data
               .withColumn("_n", F.sum(total).over(Window.partitionBy(*keys)).cast("long")))
 
 
+def _positions(vc: DataFrame, keys: Sequence[str], value: str, parts: int | None, small: bool) -> DataFrame:
+    """``vc`` with ``before`` (copies of smaller values in the key) and ``n`` (all copies)."""
+    rows = ordered(vc, keys, value, parts)
+    spans = bucket_starts(rows.groupBy(*keys, "_b").agg(F.sum("t").alias("_T"), F.min(value).alias("_lo"), F.max(value).alias("_hi")), keys)
+    spans = spans.select(*keys, "_b", "_start", "_lo", "_hi", F.col("_n").alias("n"))
+    placed = rows.join(F.broadcast(spans) if small else spans, [*keys, "_b"])
+    apart = F.raise_error(F.lit("range partitions differ between two reads of one exchange")).cast("long")
+    return placed.select(*vc.columns, F.when((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")),
+                                             F.col("_start") + F.col("_pre")).otherwise(apart).alias("before"), "n")
+
+
 @null_safe
-def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v",
-                    levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+def value_positions(frame: DataFrame, keys: Sequence[str], value: str = "v", parts: int | None = None) -> DataFrame:
     """E1/E2 building block: one row per distinct value with
     ``t`` (copies), ``before`` (values strictly below, 0-based first position)
     and ``n`` (group size).  Mid-rank = before + (t + 1) / 2."""
-    vc = add_buckets(value_counts(frame, keys, value), keys, value, levels, split_rows)
-    bt = bucket_starts(vc.groupBy(*keys, "_b").agg(F.sum("t").alias("_T")), keys)
-    out = (vc.join(bt.select(*keys, "_b", "_start", "_n"), [*keys, "_b"])
-             .withColumn("before", F.col("_start") + _before_in_bucket(keys, value)))
-    return out.select(*keys, value, "t", "before", F.col("_n").alias("n"))
+    return _positions(value_counts(frame, keys, value), keys, value, parts, few_keys(frame, keys))
 
 
 @null_safe
-def midranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
-             levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+def midranks(frame: DataFrame, keys: Sequence[str], value: str = "v", parts: int | None = None) -> DataFrame:
     """Average rank of each distinct value within its key (ties share)."""
-    pos = value_positions(frame, keys, value, levels, split_rows)
+    pos = value_positions(frame, keys, value, parts)
     return pos.withColumn("midrank", F.col("before") + (F.col("t") + F.lit(1)) / F.lit(2.0))
 
 
 @null_safe
-def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+def rank_sums(frame: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Mann-Whitney building block over a canonical ``(keys, g, v)`` frame.
 
     Returns one row per key: ``n1, n2, r1`` (sum of group-1 mid-ranks over
     the pooled sample), ``tie_term`` = sum(t^3 - t) and ``max_tie``.  Ranks
-    are never materialised per row: within a bucket the running count comes
-    from a window, across buckets from the bucket start offsets.
-    """
-    vc = value_counts(frame, keys, "v",
-                      [F.count(F.when(F.col("g") == 1, F.lit(1))).alias("t1")])
-    b = add_buckets(vc, keys, "v", levels, split_rows).withColumn("_pre", _before_in_bucket(keys, "v"))
+    are never materialised per row: sums per (key, partition) are shifted by the
+    partition's first position."""
+    vc = value_counts(frame, keys, "v", [F.count(F.when(F.col("g") == 1, F.lit(1))).alias("t1")])
     td = F.col("t").cast("double")
-    per_b = b.groupBy(*keys, "_b").agg(
+    per_b = ordered(vc, keys, "v", parts).groupBy(*keys, "_b").agg(
         F.sum("t").alias("_T"),
         F.sum("t1").alias("_C1"),
         F.sum(F.col("t1").cast("double") * (F.col("_pre") + (td + 1.0) / 2.0)).alias("_W1"),
@@ -301,69 +223,55 @@ def rank_sums(frame: DataFrame, keys: Sequence[str], levels=DEFAULT_LEVELS, spli
         F.max("_maxt").alias("max_tie"))
 
 
+def _at(frame: DataFrame, keys: Sequence[str], targets: Sequence[Column], value: str, parts: int | None, small: bool) -> DataFrame:
+    """(keys, n, _x0, _x1, ...): the values at the positions ``targets`` (columns over ``n``).
+    In a squeezed frame a position on a collapsed row finds nothing; a value's
+    collapsed copies, which are larger values, come behind its own."""
+    pos = _positions(_solid_counts(frame, keys, value), keys, value, parts, small)
+    inside = [(F.col("before") <= at) & (at < F.col("before") + F.col("tin")) for at in targets]
+    return pos.groupBy(*keys).agg(F.max("n").alias("n"), *[
+        F.max(F.when(c, F.col(value))).cast("double").alias(f"_x{k}") for k, c in enumerate(inside)])
+
+
 @null_safe
-def values_at_positions(frame: DataFrame, keys: Sequence[str], targets: DataFrame, value: str = "v",
-                        levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
-    """Value found at 0-based sorted position ``pos`` within each key.
-
-    ``targets``: ``(keys..., tid, pos)``; positions outside ``[0, n)`` find
-    nothing.  Only the buckets that contain a target are windowed, so the
-    work after bucketing is proportional to the number of targets.
-    Returns ``(keys..., tid, pos, value)``.  In a squeezed frame a position on
-    a collapsed row finds nothing.
-    """
-    vc = add_buckets(_solid_counts(frame, keys, value), keys, value, levels, split_rows)
-    bt = bucket_starts(vc.groupBy(*keys, "_b").agg(F.sum("t").alias("_T")), keys)
-    hits = (targets.join(bt, list(keys))
-            .filter((F.col("pos") >= F.col("_start"))
-                    & (F.col("pos") < F.col("_start") + F.col("_T")))
-            .select(*keys, "tid", "pos", "_b", "_start"))
-    hit_buckets = hits.select(*keys, "_b", "_start").distinct()
-    inside = (vc.join(hit_buckets, [*keys, "_b"])
-              .withColumn("_first", F.col("_start") + _before_in_bucket(keys, value)))
-    found = inside.join(hits.drop("_start"), [*keys, "_b"]).filter(
-        (F.col("pos") >= F.col("_first")) & (F.col("pos") < F.col("_first") + F.col("tin")))
-    return found.select(*keys, "tid", "pos", F.col(value).alias("value"))
+def values_at(frame: DataFrame, keys: Sequence[str], probs: Sequence[float], targets: Sequence[Column], value: str = "v",
+              parts: int | None = None, small: bool | None = None, whole_rows: int = WHOLE_ROWS) -> DataFrame:
+    """(keys, n, _x0, _x1, ...): exact values at 0-based positions that lie near the
+    quantiles ``probs``; ``targets`` are columns over ``n``, the size of the key.
+
+    Values far from the quantiles are collapsed first (``squeeze``).  That selection is
+    certified: a key one of whose positions falls on a collapsed row, as a sketch worse than
+    its bound could bring about, is selected again from all its values."""
+    small = few_keys(frame, keys) if small is None else small
+    got = _at(squeeze(frame, keys, probs, value, small, whole_rows), keys, targets, value, parts, small)
+    lost = F.greatest(*[F.col(f"_x{k}").isNull() for k in range(len(targets))]) if len(targets) > 1 else F.col("_x0").isNull()
+    keys_lost = got.filter(lost).select(*keys)
+    # adaptive execution drops this branch, scan included, when no key is lost
+    again = _at(frame.select(*keys, value).join(F.broadcast(keys_lost) if small else keys_lost, list(keys), "left_semi"), keys, targets, value, parts, small)
+    return got.filter(~lost).unionByName(again)
 
 
 @null_safe
 def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                    value: str = "v", levels=DEFAULT_LEVELS, split_rows: int | None = None,
+                    value: str = "v", parts: int | None = None,
                     small: bool | None = None, whole_rows: int = WHOLE_ROWS) -> DataFrame:
     """Exact linearly interpolated quantiles per key (position (n-1)p), the
     definition of ``percentile`` / ``quantile_cont`` -- without holding a
     group's values in one aggregation buffer, and without shuffling values
-    far from the quantiles (``squeeze``).  A quantile outside its bracket, which
-    the sketch's error bound rules out, is an error, not another number.
+    far from the quantiles (``values_at``).
 
     Returns one row per key with columns ``q0, q1, ...`` in ``probs`` order
     and ``n``.
     """
-    small = few_keys(frame, keys) if small is None else small
-    near = squeeze(frame, keys, probs, value, small, whole_rows)
-    # sizes from the same distinct-value table, so it shares its exchange
-    sizes = _solid_counts(near, keys, value).groupBy(*keys).agg(F.sum("t").alias("n"), F.sum("tin").alias("_tin"))
-    sizes = sizes.filter("_tin >= 0").drop("_tin")
-    rows = []
-    for j, p in enumerate(probs):
-        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("long")
-        rows.append(F.struct(F.lit(2 * j).alias("tid"), lo.alias("pos")))
-        rows.append(F.struct(F.lit(2 * j + 1).alias("tid"),
-                             F.least(lo + 1, F.col("n") - 1).alias("pos")))
-    targets = sizes.select(*keys, "n", F.explode(F.array(*rows)).alias("_t")).select(
-        *keys, "n", "_t.tid", "_t.pos")
-    found = values_at_positions(near, keys, targets, value, levels, split_rows)
-    # sizes and values in one row per key, merged by a union (no join of results)
-    both = sizes.select(*keys, "n", F.lit(None).cast("int").alias("tid"), F.lit(None).cast("double").alias("value")).unionByName(
-        found.select(*keys, F.lit(None).cast("long").alias("n"), "tid", F.col("value").cast("double").alias("value")))
-    aggs = [F.max(F.when(F.col("tid") == k, F.col("value"))).alias(f"_x{k}") for k in range(2 * len(probs))]
-    out = both.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
-    lost = F.raise_error(F.lit("quantile outside the bracket of its sketch")).cast("double")
+    targets = []
+    for p in probs:
+        lo = F.floor((F.col("n") - 1).cast("double") * F.lit(float(p))).cast("long")
+        targets += [lo, F.least(lo + 1, F.col("n") - 1)]
+    out = values_at(frame, keys, probs, targets, value, parts, small, whole_rows)
     for j, p in enumerate(probs):
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
         frac = h - F.floor(h)
-        lo_v, hi_v = (F.coalesce(F.col(f"_x{k}"), lost) for k in (2 * j, 2 * j + 1))
+        lo_v, hi_v = F.col(f"_x{2 * j}"), F.col(f"_x{2 * j + 1}")
         out = out.withColumn(f"q{j}", F.when(frac == 0, lo_v)
                              .otherwise(lo_v + frac * (hi_v - lo_v)))
     return out.select(*keys, "n", *[f"q{j}" for j in range(len(probs))])
@@ -371,7 +279,7 @@ def exact_quantiles(frame: DataFrame, keys: Sequence[str], probs: Sequence[float
 
 @null_safe
 def observation_ranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
-                      chunk: int = 65536, levels=DEFAULT_LEVELS, split_rows: int | None = None) -> DataFrame:
+                      chunk: int = 65536, parts: int | None = None) -> DataFrame:
     """One row per observation with its 1-based
     rank ``i`` in sorted order and the group size ``n``.
 
@@ -380,7 +288,7 @@ def observation_ranks(frame: DataFrame, keys: Sequence[str], value: str = "v",
     the final expansion, so a value holding a third of the table is spread
     over all tasks instead of exploding inside one.
     """
-    pos = value_positions(frame, keys, value, levels, split_rows)
+    pos = value_positions(frame, keys, value, parts)
     nchunks = ((F.col("t") + F.lit(chunk - 1)) / F.lit(chunk)).cast("long")
     chunks = pos.select(*keys, value, "t", "before", "n",
                         F.explode(F.sequence(F.lit(0).cast("long"),

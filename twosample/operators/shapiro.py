@@ -30,8 +30,8 @@ MIN_N = 3
 @null_safe
 def shapiro(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFrame:
     """One row per key of ``frame`` (``keys`` usually include ``g``) with
-    ``n, sw_w, sw_p, is_normal, test_used``.  ``max_n`` decides the p-value and
-    the flag only."""
+    ``n, sw_w, sw_p, is_normal, test_used, median``.  ``max_n`` decides the p-value and
+    the flag only.  The median is at hand among the ranks, for Levene's check."""
     ranked = with_norm_ppf(observation_ranks(frame, keys), (F.col("i").cast("double") - 0.375)
                            / (F.col("n").cast("double") + 0.25), "m")
     agg = ranked.groupBy(*keys, "n").agg(
@@ -43,6 +43,7 @@ def shapiro(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFr
         F.max(F.when(F.col("i") == F.col("n"), F.col("v"))).alias("xn"),
         F.max(F.when(F.col("i") == F.col("n"), F.col("m"))).alias("mn"),
         F.max(F.when(F.col("i") == F.col("n") - 1, F.col("m"))).alias("mn1"),
+        F.avg(F.when(F.col("i").between(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1), F.col("v"))).alias("median"),
         (F.var_pop("v") * F.col("n")).alias("ssq"))
     n = F.col("n")
     # one column per intermediate so the AS241 expression is not re-inlined
@@ -64,7 +65,7 @@ def shapiro(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFr
     w = F.when(F.col("ssq") <= 0, F.lit(1.0)).otherwise(
         F.least(F.try_divide(F.col("lin") * F.col("lin"), F.col("ssq")), F.lit(1.0)))
     enough = F.col("n") >= MIN_N
-    out = agg.select(*keys, "n", F.when(enough, w).alias("sw_w"))
+    out = agg.select(*keys, "n", "median", F.when(enough, w).alias("sw_w"))
     out = out.withColumn("sw_p", F.when(enough & (F.col("n") <= max_n), F.when(F.col("sw_w") >= 1.0, F.lit(1.0))
                                         .otherwise(shapiro_pvalue(F.col("sw_w"), F.col("n")))))
     used = (F.when(F.col("n") > max_n, F.lit("skipped_large_sample"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twosample.operators.prepare import ALL_KEY, check_columns, coerce_lenient, constant_key, is_usable
-from twosample.operators.ranks import _solid_counts, few_keys, null_safe, squeeze, values_at_positions
+from twosample.operators.ranks import null_safe, values_at
 
 SUMMARY_FIELDS = ("mean", "std", "count", "min", "max")
 
@@ -43,13 +43,8 @@ def group_summary(df: DataFrame, value: str, group: str | None = None,
 
 @null_safe
 def _exact_summary(data: DataFrame, keys: Sequence[str], base: Sequence[Column]) -> DataFrame:
-    small = few_keys(data, keys)
-    near = squeeze(data, keys, [0.5], "v", small)
-    # the position from the squeezed values, so this branch shares their exchange
-    sizes = _solid_counts(near, keys, "v").groupBy(*keys).agg(F.sum("t").alias("_n"), F.sum("tin").alias("_tin"))
-    targets = sizes.filter("_tin >= 0").select(*keys, F.lit(0).alias("tid"),
-                                               (F.ceil(F.col("_n") / F.lit(2.0)) - 1).cast("long").alias("pos"))
-    med = values_at_positions(near, keys, targets).select(*keys, F.col("value").alias("median"))
+    lower_middle = (F.ceil(F.col("n") / F.lit(2.0)) - 1).cast("long")
+    med = values_at(data, keys, [0.5], [lower_middle]).select(*keys, F.col("_x0").alias("median"))
     return data.groupBy(*keys).agg(*base).join(med, list(keys), "left")
 
 

@@ -63,7 +63,10 @@ def combine(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
 def normality_by_group(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N) -> DataFrame:
     """Shapiro-Wilk per group, pivoted to ``normality_group1/2`` structs."""
-    sw = shapiro(frame, [*keys, "g"], max_n)
+    return _normality(shapiro(frame, [*keys, "g"], max_n), keys, max_n)
+
+
+def _normality(sw: DataFrame, keys: Sequence[str], max_n: int) -> DataFrame:
     sw = sw.withColumn("check", F.struct(
         F.col("is_normal"), F.col("sw_w").alias("statistic"), F.col("sw_p").alias("p_value"),
         F.col("test_used"),
@@ -74,8 +77,8 @@ def normality_by_group(frame: DataFrame, keys: Sequence[str], max_n: int = MAX_N
         F.max(F.when(F.col("g") == 2, F.col("check"))).alias("normality_group2"))
 
 
-def variance_check(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    lv = levene(frame, keys)
+def variance_check(frame: DataFrame, keys: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
+    lv = levene(frame, keys, medians=medians)
     return lv.select(*keys, F.struct(
         F.col("equal_variance"), F.col("levene_w").alias("statistic"),
         F.col("levene_p").alias("p_value"),
@@ -173,7 +176,9 @@ def two_sample(df: DataFrame, value: str, group: str, levels: Sequence,
     # a t-test of all rows has the counts and summaries at hand: one read
     out = core if "group_stats" in core.columns else combine([core, m.select(*keys, "n1", "n2", "group_stats", "total_rows")], keys)
     if checks and test in ("independent_ttest", "welch_ttest"):
-        out = combine([out, normality_by_group(frame, keys, max_n), variance_check(frame, keys)], keys)
+        # one rank table gives W and the medians that Levene's check starts from
+        sw = shapiro(frame, [*keys, "g"], max_n)
+        out = combine([out, _normality(sw, keys, max_n), variance_check(frame, keys, sw.select(*keys, "g", "median"))], keys)
         out = out.withColumn("assumption_checks", F.struct(
             F.col("normality_group1"), F.col("normality_group2"), F.col("equal_variance"),
             _null_normality().alias("normality_of_differences")))
