@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -344,18 +344,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .agg(F.max(F.struct("n", "c")).alias("main"), F.count("*").alias("components")).filter("components > 1")
             .select("token", F.col("main.c").alias("main")))
     placed = cut(placed.join(main, "token"), "join-placed")
-    # a group shares no more tokens with groups of other components than it has in these lists
-    placed = placed.join(placed.groupBy("g").agg(F.count("*").alias("listed")), "g")
+    # tokens a group has in these lists from here on: at the first common token of two groups, all that they share
+    in_order = Window.partitionBy("g").orderBy(F.desc("pos"))
+    placed = placed.withColumn("rest", F.row_number().over(in_order))          # at most a prefix of rows a group
     small = placed.filter("c <> main")
     other = placed.select(F.col("token").alias("t"), F.col("g").alias("g2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"),
-                          F.col("listed").alias("listed2"))
-    # a similar pair passes the place filter at each token it shares, so what is counted of it is whole
+                          F.col("rest").alias("rest2"))
+    # a similar pair passes both filters at the first token it shares
     across = small.join(other, (F.col("token") == F.col("t")) & (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("g") < F.col("g2")))
                         & _can_be_similar(F.col("size"), F.col("pos"), F.col("size2"), F.col("pos2"))
-                        & _enough_shared(F.least("listed", "listed2"), F.col("size"), F.col("size2")))
-    across = (across.groupBy(F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2"))
-              .agg(F.count("*").alias("shared"), F.first("size").alias("size"), F.first("size2").alias("size2"))
-              .filter(_enough_shared(F.col("shared"), F.col("size"), F.col("size2"))).select("g", "g2"))
+                        & _enough_shared(F.least("rest", "rest2"), F.col("size"), F.col("size2")))
+    across = across.select(F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2")).distinct()
     mixed = where.filter("c < 0").select("g", F.col("g").alias("g2"))
     there = named.select(F.col("g").alias("g2"), F.col("num").alias("b"), F.col("c").alias("cb"))
     seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
