@@ -278,3 +278,21 @@ def test_a_bad_sketch_is_widened_not_believed(spark, monkeypatch):
     q = {r.g: r for r in RK.exact_quantiles(fr, ["_all", "g"], [0.4, 0.9], whole_rows=100).collect()}
     assert q[1].q0 == pytest.approx(np.percentile(vals, 40)) and q[1].q1 == pytest.approx(np.percentile(vals, 90))
     assert q[1].n == 3000 and q[2].n == 40
+
+
+def test_samples_are_the_same_however_tasks_hand_them_on(spark, monkeypatch):
+    from twosample.operators import sampling as SA
+    df = spark.createDataFrame([("ab"[i % 2], i % 900, float(i)) for i in range(4000)] + [("c", 1, 1.0)] * 30,
+                               "st string, key int, v double").withColumn("g", F.lit(1).cast("tinyint"))
+
+    def picked():
+        got = SA.sample_groups(df.repartition(5), ["st"], 100, ["key", "v"], 7).collect()
+        return sorted((r.st, r.key, r.v) for r in got)
+    want = []
+    for st in "abc":
+        rows = df.filter(F.col("st") == st).withColumn("h", SA.row_number_hash(7, ["key", "v"])).orderBy("h", "key", "v").limit(100)
+        want += [(r.st, r.key, r.v) for r in rows.collect()]
+    assert picked() == sorted(want)
+    monkeypatch.setattr(SA, "HELD_ROWS", 0)
+    monkeypatch.setattr(SA, "max", lambda *a: 20, raising=False)         # prune all the time
+    assert picked() == sorted(want)

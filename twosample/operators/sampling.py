@@ -2,17 +2,21 @@
 
 Exact-size, reproducible per-group samples: every row has a 60-bit number from
 the md5 of a seed and its row key; a group keeps its ``k`` rows with the
-smallest (number, key).  Only rows under a coarse limit, about k / n of the
-number range plus slack, go to the window that picks them, so the table is not
-ranked.  A group whose limit let too few through (repeated keys can do that) is picked
-from all its rows instead.  B4 picks the first k by an order column the same way
-without a coarse limit on values: its limit is a quantile sketch of the column.
+smallest (number, key).  The k smallest of a union are among the k smallest of its
+parts, so one scan is enough: each task keeps the k smallest of every group it
+meets, a shuffle by (group, part of the number range) and the same step leave
+``SPREAD`` times k rows a group at most, and a window picks among these.
+B4 picks the first k by an order column behind a coarse limit from a
+quantile sketch of the column; a group whose limit let too few through is picked from
+all its rows instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +24,8 @@ from twosample.operators.ranks import attach_stats, few_keys, null_safe
 
 DEFAULT_SAMPLE_ROWS = 10_000    # fixed value: rows kept per group
 DEFAULT_SEED = 42               # fixed value
+SPREAD = 32                     # tasks that meet a group after the first step
+HELD_ROWS = 2_000_000           # rows that a task keeps before it hands them on
 HASH_DIGITS = 15                # hex digits of the md5: numbers below 16 ** 15
 
 
@@ -49,6 +55,37 @@ def _first(frame: DataFrame, keys: Sequence[str], order: Sequence[str], k: int,
     return _pick(enough.select(*frame.columns).unionByName(rest.select(*frame.columns)), keys, order, k)
 
 
+def _prune(rows: pa.Table, k: int) -> pa.Table:
+    """The rows with the ``k`` smallest numbers of each group, and those that tie with the last."""
+    g, h = rows.column("_group").to_numpy(), rows.column("_h").to_numpy()
+    order = np.lexsort((h, g))
+    g, h = g[order], h[order]
+    start = np.maximum.accumulate(np.where(np.r_[True, g[1:] != g[:-1]], np.arange(len(g)), 0))
+    rank = np.arange(len(g)) - start
+    last = h[np.minimum(start + k - 1, len(g) - 1)]
+    return rows.take(order[(rank < k) | (h == last)])
+
+
+def _smallest(k: int):
+    """Keeps the ``k`` smallest of each group of a task; where there are too many groups for
+    its memory, hands on what it has, which loses nothing."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, full = [], 0, max(4 * k, 50_000)
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= full:
+                rows = _prune(pa.Table.from_batches(held), k)
+                held, n = rows.to_batches(), rows.num_rows
+                full = max(full, 2 * n)
+                if n > HELD_ROWS:
+                    yield from rows.to_batches(max_chunksize=10_000)
+                    held, n = [], 0
+        if n:
+            yield from _prune(pa.Table.from_batches(held), k).to_batches(max_chunksize=10_000)
+    return run
+
+
 @null_safe
 def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE_ROWS,
                   row_key: Sequence[str] | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -58,12 +95,12 @@ def sample_groups(frame: DataFrame, keys: Sequence[str], k: int = DEFAULT_SAMPLE
     rows equal in all of them are interchangeable."""
     gk = [*keys, "g"]
     row_key = list(row_key or [c for c in frame.columns if c not in keys])
-    h = frame.withColumn("_h", row_number_hash(seed, row_key))
-    slack = 8 * int(k ** 0.5) + 50
-    limits = frame.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_limit", F.when(F.col("_n") <= k + slack, F.lit(16 ** HASH_DIGITS)).otherwise(
-            F.ceil(F.lit(float(k + slack)) / F.col("_n") * F.lit(float(16 ** HASH_DIGITS)))).cast("long"))
-    return _first(h, gk, ["_h", *[c for c in row_key if c in frame.columns], "v"], k, limits, few_keys(frame, keys)).drop("_h")
+    rows = frame.withColumn("_h", row_number_hash(seed, row_key)).withColumn("_group", F.xxhash64(*gk))
+    if k < 1:
+        return frame.limit(0)
+    few = rows.mapInArrow(_smallest(k), rows.schema)
+    few = few.repartition(*gk, F.pmod("_h", F.lit(SPREAD))).mapInArrow(_smallest(k), rows.schema)
+    return _pick(few.drop("_group"), gk, ["_h", *[c for c in row_key if c in frame.columns], "v"], k).drop("_h")
 
 
 @null_safe
