@@ -121,6 +121,10 @@ def test_keep_one_of_each(spark):
     got = SH.keep_one_of_each(docs(spark, rows))
     assert got.columns == docs(spark, rows).columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(5, a), (None, rows[3][1]), (8, "")], key=str)
+    # columns with the operator's own names keep their values and types
+    source = {5: "s", None: None, 8: "s"}
+    assert all(r[c] == source[r.doc_id] for r in got.collect() for c in ("_row", "id", "fp", "kept_0", "first"))
+    assert dict(got.dtypes)["_row"] == "string" and SH.keep_one_of_each(docs(spark, [])).count() == 0
 
 
 def test_components_of_a_path_and_a_star(spark):

@@ -265,10 +265,12 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      blocks: int | None = None, task_rows: int = 100_000) -> DataFrame:
     """``docs`` with all its columns and one row of each component: the one
     with the smallest id (null ids last; of rows that share it, the first in
-    the table).  Rows get numbers, which are written down with the fingerprints."""
-    numbered = docs.withColumns({"_row": F.monotonically_increasing_id()})
-    rows = fingerprints(numbered.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), "_row",
-                                        *[F.col(f"`{c}`").alias(f"kept_{k}") for k, c in enumerate(docs.columns)]), "text", words)
+    the table).  Rows get numbers, which are written down with the fingerprints.  No
+    documents give no rows; null and wordless texts are one component; columns of any name come
+    back as they were."""
+    rows = fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                                    F.monotonically_increasing_id().alias("_row"),
+                                    *[F.col(f"`{c}`").alias(f"kept_{k}") for k, c in enumerate(docs.columns)]), "text", words)
     rows = cut(rows.drop("text"), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("_row").alias("row"))
     stay = _components(rows.select("fp", "id", "_row"), F.min(order), max_bits, blocks, task_rows).select(
