@@ -210,6 +210,23 @@ def test_kde_matches_direct_sum(spark):
     assert np.allclose(k.density.values, dens, rtol=1e-10)
 
 
+def test_kde_with_far_values_and_few_values(spark):
+    """Cells much narrower than the grid's step, whole stretches without a value, two values."""
+    rng = np.random.default_rng(3)
+    for v in (np.r_[rng.normal(size=2000), 500.0, -900.0, 1e4], np.r_[np.zeros(50), 1.0], np.array([1.0, 2.0]), rng.exponential(size=1500) ** 3):
+        k = DI.kde_curve(frame(spark, v), KEYS).toPandas().sort_values("j")
+        h, x = v.std(ddof=1) * len(v) ** -0.2, k.x.to_numpy()
+        want = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert len(k) == 300 and np.abs(k.density.to_numpy() - want).max() < 1e-14 * want.max()
+
+
+def test_kde_shuffles_cells_not_values(spark):
+    """Repeating every value 40 times adds no cell: what is summed per grid point stays one row per cell."""
+    v = np.repeat(np.random.default_rng(5).normal(size=500), 40)
+    plan = DI.kde_curve(frame(spark, v), KEYS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(sequence(j_lo") < plan.index("sum(d15")       # cells are summed below the expansion
+
+
 def test_box_stats_vs_numpy(spark):
     vals = np.concatenate([A, [500.0, -400.0]])
     b = one(DI.box_stats(frame(spark, vals), KEYS))
