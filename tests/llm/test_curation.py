@@ -301,6 +301,27 @@ def test_decontamination(spark):
     assert BM.contaminated(docs(spark, rows), none).count() == 0 and BM.contaminated(docs(spark, []), table).count() == 0
 
 
+def test_decontamination_does_not_depend_on_the_blocks_of_items(spark):
+    """Every column is the same for one index of all items and for many small ones."""
+    rng = random.Random(44)
+    items = [(k % 50, " ".join(words(rng, rng.randrange(1, 14), vocab=60) + "." for _ in range(rng.randrange(1, 4)))) for k in range(60)]
+    rows = [(k, f"{words(rng, rng.randrange(0, 400))} {items[rng.randrange(60)][1]} {words(rng, rng.randrange(0, 400))}") for k in range(80)]
+    table = spark.createDataFrame([*items, (61, None), (62, ""), (63, "..."), (None, "x y z"), items[0]], "item_id long, text string")
+    whole = sorted((tuple(r) for r in BM.contaminated(docs(spark, rows + odd_rows()), table).collect()), key=str)
+    assert len(whole) > 60
+    for size in (300, 2000):
+        assert sorted((tuple(r) for r in BM.contaminated(docs(spark, rows + odd_rows()), table, block_bytes=size).collect()), key=str) == whole
+
+
+def test_drop_contaminated_on_odd_rows(spark):
+    """Null and empty texts stay, repeated rows go together, clashing columns keep their values, no items drop nothing."""
+    text = words(random.Random(33), 40)
+    table = spark.createDataFrame([(1, text)], "item_id long, text string")
+    d = spark.createDataFrame([(1, text, "a"), (1, text, "b"), (2, None, "c"), (None, "", "d"), (3, "one two", "e")], "doc_id long, text string, item_id string")
+    assert sorted(r.item_id for r in BM.drop_contaminated(d, table).collect()) == ["c", "d", "e"]
+    assert BM.drop_contaminated(d, table.limit(0)).count() == 5 and BM.drop_contaminated(d.limit(0), table).count() == 0
+
+
 def test_decontamination_finds_spread_items_at_all_offsets():
     """An item with a gap inside, over a span of at most twice the longest item, is found wherever it stands."""
     rng = random.Random(21)

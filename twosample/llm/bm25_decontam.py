@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,25 +58,36 @@ def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     return ws[:k], ws[k:]
 
 
+class ItemStats(NamedTuple):
+    """What BM25 and the passages need of all items with a word."""
+    count: int
+    mean: float                 # words of an item
+    longest: int
+    df: dict[bytes, int]        # items that hold a word
+
+
 class ItemIndex:
-    """Inverted index of test items with block maxima."""
+    """Inverted index of test items with block maxima.  ``stats`` are those of all
+    items where these are only a part of them; scores, thresholds and passages
+    then are the same as in one index of all."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int, containment: float, part_overlap: float, block: int = 16) -> None:
+    def __init__(self, items: list[tuple[int, str]], n: int, containment: float, part_overlap: float, block: int = 16,
+                 stats: ItemStats | None = None) -> None:
         self.n, self.containment, self.part_overlap = n, containment, part_overlap
         texts = [(i, words_of(t), *split_item(t)) for i, t in items]
         texts = [x for x in texts if x[1]]
         self.ids = [x[0] for x in texts]
         self.shingles = [shingles(x[1], n) for x in texts]
         self.question, self.answer = [set(x[2]) for x in texts], [set(x[3]) for x in texts]
-        self.longest = max((len(x[1]) for x in texts), default=1)
-        df = Counter(w for x in texts for w in set(x[1]))
-        mean = sum(len(x[1]) for x in texts) / max(1, len(texts))
-        self.term = {w: k for k, w in enumerate(sorted(df))}
-        lists: list[list[tuple[int, float]]] = [[] for _ in df]
+        here = Counter(w for x in texts for w in set(x[1]))
+        count, mean, self.longest, df = stats or ItemStats(
+            len(texts), sum(len(x[1]) for x in texts) / max(1, len(texts)), max((len(x[1]) for x in texts), default=1), here)
+        self.term = {w: k for k, w in enumerate(sorted(here))}
+        lists: list[list[tuple[int, float]]] = [[] for _ in here]
         self.theta = np.zeros(len(texts))
         for k, (_, ws, _, _) in enumerate(texts):
             tf = Counter(ws)
-            w = {t: math.log(1 + (len(texts) - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean))
+            w = {t: math.log(1 + (count - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean))
                  for t, c in tf.items()}
             full = sum(w.values())
             # k absent shingles are the end of k first occurrences of words; n - 1 more words can stand before the first end
@@ -154,19 +166,38 @@ class ItemIndex:
         return [(self.ids[k], *v) for k, v in sorted(found.items())]
 
 
-def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_bytes`` of text, one after the other."""
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word, n) of each distinct word of each item with n = null, and (block, null, n words) of the item."""
+    for b in batches:
+        rows = []
+        for block, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if ws := words_of(t):
+                rows += [(block, w, None) for w in set(ws)] + [(block, None, len(ws))]
+        cols = list(zip(*rows)) or [()] * 3
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64()))], names=["block", "word", "n"])
+
+
+def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[tuple[list[tuple[int, str]], ItemStats | None]]:
+    """The items in blocks of about ``block_bytes`` of text, one after the other, with
+    the statistics of all items where there is more than one block: document
+    frequencies are counted over all blocks, and a block gets those of its own words."""
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter(
         "t is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("t").cast("long")).alias("n")).first()["n"] or 0
     if total <= block_bytes:
-        yield [tuple(r) for r in rows.orderBy("i", "t").collect()]
+        yield [tuple(r) for r in rows.orderBy("i", "t").collect()], None
         return
     blocks = -(-total // block_bytes)
     placed = cut(rows.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks))), "bm25-items")
+    words = cut(placed.select("block", "t").mapInArrow(_item_words, "block long, word binary, n long").groupBy("block", "word").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("n").alias("n"), F.max("n").alias("longest")), "bm25-words")
+    lengths = words.filter("word is null").agg(F.sum("items").alias("c"), F.sum("n").alias("n"), F.max("longest").alias("longest")).first()
+    per_block = words.filter("word is not null").select("block", "word", "items")
+    df = cut(per_block.select("block", "word").join(per_block.groupBy("word").agg(F.sum("items").alias("df")), "word"), "bm25-df")
     for b in range(blocks):
         if part := [tuple(r) for r in placed.filter(F.col("block") == b).select("i", "t").orderBy("i", "t").collect()]:
-            yield part
+            mine = {bytes(w): int(c) for w, c in df.filter(F.col("block") == b).select("word", "df").collect()}
+            yield part, ItemStats(lengths["c"] or 0, (lengths["n"] or 0) / max(1, lengths["c"] or 0), lengths["longest"] or 1, mine)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -181,15 +212,16 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     first word of the passage (at most three times as long as the longest
     item) with the highest containment, the first of equals.
 
-    Items are taken in blocks of ``block_bytes``, each sent to all tasks.  Null
+    Items are taken in blocks of ``block_bytes``, each sent to all tasks; statistics
+    are those of all items, so the result does not depend on the blocks.  Null
     texts hold nothing and items without a word are left out; an item
     with a null id counts and keeps it; repeated documents give a row each, repeated items count once; null doc_ids
     are passed on; empty tables give an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for block in item_blocks(items, item_id, item_text, block_bytes):
-        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, n, containment, part_overlap))
+    for block, stats in item_blocks(items, item_id, item_text, block_bytes):
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, n, containment, part_overlap, stats=stats))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix = index.value
@@ -208,9 +240,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                       n: int = 5, containment: float = 0.8, part_overlap: float = 0.5, block_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` with all its columns, without the rows that hold an item, as
-    ``contaminated`` defines it: one pass for each block of items, no join."""
-    for block in item_blocks(items, item_id, item_text, block_bytes):
-        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, n, containment, part_overlap))
+    ``contaminated`` defines it: one pass for each block of items, no join.
+    Rows with a null or empty text stay, repeated rows share their lot, all columns
+    pass as they are whatever their names; without items every row stays, and an
+    empty table gives an empty one."""
+    for block, stats in item_blocks(items, item_id, item_text, block_bytes):
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, n, containment, part_overlap, stats=stats))
         at = docs.columns.index(text_col)
 
         def run(batches: Iterator[pa.RecordBatch], index=index, at=at) -> Iterator[pa.RecordBatch]:
