@@ -1,6 +1,7 @@
 """Sharding, quality, licenses, mixing, decontamination, language ID and the
 pipeline against plain-Python versions, and their behaviour on odd rows."""
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -134,6 +135,9 @@ def test_tree_takes_the_best_cuts():
 
 
 # --- licenses ----------------------------------------------------------------
+compiled = functools.cache(re.compile)      # more patterns than the module keeps
+
+
 def license_brute(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(LS.WORD.replace(r"\x", "\\x"), low)
@@ -146,7 +150,7 @@ def license_brute(text):
     if re.search(LS.GATE.replace(" ", "[^a-z]+"), low):
         for label, key, prio, conf, rx in LS.rules():
             if f" {key}" in norm:
-                for m in re.finditer(f"(?<= )(?:{rx})(?= )", norm):
+                for m in compiled(f"(?<= )(?:{rx})(?= )").finditer(norm):
                     s = norm[:m.start()].count(" ") - 1
                     found.append((s, s + m.group().count(" ") + 1, prio, label, conf))
     kept = []
@@ -195,7 +199,7 @@ def test_license_gate_and_keywords_lose_nothing(spark):
     got = {r.doc_id: (set(r["labels"].split(",")) - {""}, r.score) for r in LS.scan_licenses(docs(spark, list(enumerate(texts)), extra=False)).collect()}
     for k, t in enumerate(texts):
         norm = " " + " ".join(re.findall(LS.WORD, t.lower())) + " "
-        found = [(m.start(), -m.end(), prio, label) for label, _, prio, _, rx in LS.rules() for m in re.finditer(f"(?<= )(?:{rx})(?= )", norm)]
+        found = [(m.start(), -m.end(), prio, label) for label, _, prio, _, rx in LS.rules() for m in compiled(f"(?<= )(?:{rx})(?= )").finditer(norm)]
         kept = {d[3] for d in found if not any(o[0] <= d[0] and o[1] <= d[1] and o[2] <= d[2] and o < d for o in found)}
         base = {label for phrase, label in LS.BASE if f" {phrase} " in norm}
         assert got[k][0] == kept | base, t
@@ -203,6 +207,48 @@ def test_license_gate_and_keywords_lose_nothing(spark):
     assert all(got[k][0] for k in range(10))
 
 
+def _sample(parsed, rng):
+    """A text that a parsed pattern of words, groups, classes and repeats matches."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "ANY":
+            out += "x"
+        elif op == "IN":
+            kind, what = rng.choice(arg)
+            out += chr(what) if str(kind) == "LITERAL" else chr(rng.randint(*what))
+        elif op == "BRANCH":
+            out += _sample(rng.choice(arg[1]), rng)
+        elif op == "SUBPATTERN":
+            out += _sample(arg[3], rng)
+        elif op == "MAX_REPEAT":
+            lo, hi, inner = arg
+            out += "".join(_sample(inner, rng) for _ in range(rng.randint(lo, min(hi, lo + 1))))
+        else:
+            raise ValueError(op)
+    return out
+
+
+def test_every_rule_is_found_behind_gate_and_keyword(spark):
+    """Texts drawn from each pattern: the gate lets them pass, they hold the keyword, and Spark finds what the plain version finds."""
+    rng, rows = random.Random(8), []
+    for label, key, _, _, rx in LS.rules():
+        for _ in range(6):
+            text = _sample(re._parser.parse(rx), rng)
+            if not re.fullmatch(rx, text) or "  " in text or text != text.strip():
+                continue        # a repeat of any character that ran into a word border
+            assert re.search(LS.GATE.replace(" ", "[^a-z]+"), text), text
+            assert f" {key}" in f" {text}", (key, text)
+            rows.append((len(rows), f"Before: {text}. After"))
+    assert len(LS.SIGNATURES) > 50 and sum(map(len, LS.SIGNATURES.values())) > 180 and len(rows) > 5 * len(LS.rules())
+    got = {r[0]: (*r[1:7], round(r[7], 9)) for r in LS.scan_licenses(docs(spark, rows)).collect()}
+    for i, t in rows:
+        assert got[i] == license_brute(t), t
+        assert got[i][5], t
+
+
 # --- mixing ------------------------------------------------------------------
 def fill_brute(budget, children):
     """children: {name: (capacity, weight)} to {name: budget}, by rounds."""
