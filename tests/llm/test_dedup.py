@@ -1,6 +1,8 @@
 """Exact, SimHash, suffix-array and line dedup against plain-Python versions."""
 import collections
+import glob
 import hashlib
+import os
 import random
 import re
 import sys
@@ -20,7 +22,7 @@ from twosample.llm import suffix_dedup as SD  # noqa: E402
 from twosample.llm.catalog import QUERIES  # noqa: E402
 from twosample.llm.common import cut  # noqa: E402
 from twosample.llm.components import connected_components  # noqa: E402
-from twosample.llm.fuzzy_lines import dedup_lines, line_links, shingle_hashes, signatures  # noqa: E402
+from twosample.llm.fuzzy_lines import STRIDE, _set, _shingle_rows, _texts, dedup_lines, line_links, shingle_hashes, signatures  # noqa: E402
 
 
 # --- exact -------------------------------------------------------------------
@@ -281,3 +283,34 @@ def test_registered_line_dedup_takes_short_lines(spark, tmp_path):
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in QUERIES["op7_line_dedup"](spark, str(tmp_path)).collect()}
     assert got == {1: (4, 0, rows[0][1]), 2: (5, 3, " \nNo."), 3: (2, 1, "")}
+
+
+def test_line_dedup_stores_no_shingle_sets(spark):
+    """No table is much larger than the texts; sets of 64-bit hashes are some 8 bytes for each character."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(300):
+        ln = words(rng, 150, 5000)
+        rows += [(2 * k, ln), (2 * k + 1, ln + f" t{k}")]
+    df = docs(spark, rows)
+    tables = lambda: set(glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/llm/lines-*"))
+    old = tables()
+    assert sum(r.n_dropped for r in dedup_lines(df).collect()) == 300
+    sizes = {p: sum(os.path.getsize(f) for f in glob.glob(f"{p}/*.parquet")) for p in tables() - old}
+    assert sizes and max(sizes.values()) < 2 * sum(len(x) for _, x in rows), sizes
+
+
+def test_shingles_of_signatures_are_those_of_lines(spark):
+    """Cut as bytes, block by block or by regular expression, short lines and block ends included."""
+    rng = random.Random(13)
+    wide = "".join(rng.choice("ab\u00e9\u4e2d\U0001F600") for _ in range(700))
+    lines = ["a", "\u4e2d", "12345678", "123456789", *[wide[:n] for n in (8, 9, 31, 32, 33, 39, 40, 41, 64, 72, 73, 700)], *[words(rng, 200)[:n] for n in (10, 11, 12, 13, 600, 601, 900)]]
+    df = cut(spark.createDataFrame(list(enumerate(lines)), "lid long, line string"), "test-lines")
+    want = {r.lid: set(r.hs) for r in df.select("lid", shingle_hashes(F.col("line")).alias("hs")).collect()}
+    got, firsts = collections.defaultdict(set), collections.Counter()
+    for r in _shingle_rows(df, "lid").collect():
+        got[r.lid] |= {r[f"h{k}"] for k in range(STRIDE)}
+        firsts[r.lid] += r.first
+    assert got == want and set(firsts.values()) == {1}
+    texts = cut(_texts(df, df.select("lid")), "test-texts")
+    assert {r.lid: set(r.hs) for r in texts.select("lid", _set("line", "bytes").alias("hs")).collect()} == want
