@@ -314,3 +314,37 @@ def test_shingles_of_signatures_are_those_of_lines(spark):
     assert got == want and set(firsts.values()) == {1}
     texts = cut(_texts(df, df.select("lid")), "test-texts")
     assert {r.lid: set(r.hs) for r in texts.select("lid", _set("line", "bytes").alias("hs")).collect()} == want
+
+
+def test_signatures_match_no_pattern_per_block(spark):
+    """Lines beyond ASCII are cut as bytes too; a regular expression over them took most of the signatures' time."""
+    df = spark.createDataFrame([(1, "déjà vu, déjà lu, déjà su")], "lid long, line string")
+    assert "regexp_extract_all" not in signatures(df, 6, 3, 5)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_crowds_end_in_one_comparison(spark):
+    """Three lines that share a key are far apart: one round, then all that is left at once, with the links of all pairs."""
+    from twosample.llm.fuzzy_lines import similar_crowd
+
+    rng = random.Random(21)
+    lines = []
+    for _ in range(40):
+        base = words(rng, 40).split()
+        for k in range(3):                                 # ends that differ, so that 0.7 to 0.9 of the shingles are common
+            lines.append(" ".join(base[:34 + rng.randrange(4)] + words(rng, 3, 1000).split()) + f" é{k}")
+    lines = sorted(set(lines))
+    sets = [frozenset(x[i:i + 9] for i in range(len(x) - 8)) for x in lines]
+    df = cut(spark.createDataFrame(list(enumerate(lines)), "lid long, line string"), "test-lines")
+    keyed = cut(signatures(df, 6, 3, 5), "test-keys")
+    keys = {r.lid: set(r["keys"]) for r in keyed.collect()}
+    near = {(i, j) for i, j in all_pairs(len(lines)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    pairs = [(i, j) for i, j in all_pairs(len(lines)) if keys[i] & keys[j]]
+    assert 20 < len(near & set(pairs)) < len(pairs) - 20
+    tables = lambda: set(glob.glob(spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/llm/lines-marked-*"))
+    old = tables()
+    links = [(r.u, r.v) for r in line_links(df, keyed, 0.8, 6, 3, 5).collect()]
+    assert components(len(lines), links) == components(len(lines), [p for p in pairs if p in near])
+    assert len(tables() - old) == 2, tables() - old
+    table = cut(spark.createDataFrame(pairs, "a long, b long"), "test-pairs")
+    texts = cut(_texts(df, df.select("lid")), "test-texts")
+    assert {(r.a, r.b) for r in similar_crowd(table, texts, 0.8).collect()} == near & set(pairs)
